@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codexmill.llm import langid
+from codexmill.llm import langid, quality, toxicity
 from codexmill.llm.common import table
 
 
@@ -14,8 +14,16 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3_language_id(table(spark, sf_dir, "documents"))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op10_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op7_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_language_id": _op3}
+    return {"op3_language_id": _op3, "op7_quality": _op7, "op10_toxicity": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
