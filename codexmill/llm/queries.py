@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codexmill.llm import jaccard, langid, quality, toxicity
+from codexmill.llm import jaccard, langid, quality, substring, toxicity
 from codexmill.llm.common import table
 
 
@@ -22,12 +22,16 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op5_ngram_jaccard(table(spark, sf_dir, "documents"))
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.op6_substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op7_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_language_id": _op3, "op5_ngram_jaccard": _op5, "op7_quality": _op7, "op10_toxicity": _op10}
+    return {"op3_language_id": _op3, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op10_toxicity": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
