@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codexmill.llm import jaccard, langid, quality, substring, toxicity
+from codexmill.llm import decontam, jaccard, langid, quality, substring, toxicity
 from codexmill.llm.common import table
 
 
@@ -30,9 +30,13 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op7_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.op8_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_language_id": _op3, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op10_toxicity": _op10}
+    return {"op3_language_id": _op3, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op10_toxicity": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_decontamination": decontam.ORACLE}
