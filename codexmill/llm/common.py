@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,16 @@ def cut(df: DataFrame) -> DataFrame:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(tempfile.mkdtemp(prefix="codexmill-checkpoint-"))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    del df
+    release(spark)
+    return done
+
+
+def release(spark: SparkSession) -> None:
+    """Has the driver's JVM drop plans that nothing refers to any more; Spark then deletes their shuffle files, which else pile up until it happens to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def partitions(spark: SparkSession) -> int:

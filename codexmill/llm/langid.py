@@ -163,13 +163,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     `und` and 0.0 for a null text, one without letters, or an empty model. Repeated rows and ids come
     out as often as they go in; columns besides doc_id and text are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    parts = (model.langs, model.words, model.word_logs, model.grams, model.gram_logs, model.lengths)
+    shared = docs.sparkSession.sparkContext.broadcast(parts)  # plain values: executors needn't know the class
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(Model(*shared.value))
         for b in batches:
             if scorer.used - scorer.base >= scorer.limit:
-                scorer = Scorer(shared.value)
+                scorer = Scorer(Model(*shared.value))
             got = [scorer.score(x.as_py()) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 

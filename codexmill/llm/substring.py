@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.llm.common import BROADCAST_ROWS, cut, partitions, text_hash
+from codexmill.llm.common import cut, partitions, text_hash
 from codexmill.llm.fmindex import FMIndex
 from codexmill.llm.textkit import _SEEDS, BLANK, Hasher, U, grams, mix
 
 GRAM = 8
+#: What is joined to documents is broadcast if it has no more rows and entries than this (about 5 MB), else the documents are shuffled.
+BROADCAST_ENTRIES = 100_000
 #: Words in a block that an FM-index is built over, at least; one anchor's segments stay together.
 BLOCK_WORDS = 200_000
 #: An anchor with more different segments than this is counted by window instead.
@@ -78,7 +80,7 @@ def _segments(docs: DataFrame, width: int) -> DataFrame:
 def _with_entries(docs: DataFrame, entries: DataFrame, how: str) -> DataFrame:
     """docs (doc_id, text) joined with entries (doc_id, th, found array), which go out whole if they are few."""
     n, total = entries.agg(F.count("*"), F.coalesce(F.sum(F.size("found")), F.lit(0))).first()
-    few = n <= BROADCAST_ROWS and total <= 4 * BROADCAST_ROWS
+    few = n + total <= BROADCAST_ENTRIES
     keyed = entries.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "found")
     left = docs.select("doc_id", text_hash().alias("th"), "text")
     return left.join(F.broadcast(keyed) if few else keyed, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), how).select("doc_id", "text", "found")
@@ -153,11 +155,11 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     if width < GRAM + 1 or width > 39:
         raise ValueError("width must be 9 to 39")
     all_segments = _segments(docs, width)
-    often = all_segments.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    segments = cut(all_segments.join(often, "anchor"))
+    often = cut(all_segments.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor"))
+    segments = cut(all_segments.join(often, "anchor"))  # both sides plain exchanges: Spark can split a hot anchor
     kinds = segments.groupBy("anchor", "seg").agg(F.count("*").alias("m"), F.first("doc_id").alias("doc_id"), F.first("th").alias("th"), F.first("place").alias("place"))
     kinds = cut(kinds.select("*", F.expr("shiftleft(1L, cast(place & 255 as int)) - 1").alias("full")))
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    several = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     hot = several.where(F.col("kinds") > SEGMENTS).count()
     different = kinds.join(several, "anchor")
     masks = _search(_contents(docs, different.where(F.col("kinds") <= SEGMENTS), width, single=False), width)
@@ -165,7 +167,7 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
         one = cut(_contents(docs, different.where(F.col("kinds") > SEGMENTS), width, single=True))
         twice = one.groupBy("anchor", "hash").agg(F.count("*").alias("k")).where("k > 1").select("anchor", "hash")
         masks = masks.union(one.join(twice, ["anchor", "hash"]).groupBy("anchor", "seg").agg(F.expr("bit_or(shiftleft(1L, cast(bit as int)))").alias("mask")))
-    masks = masks.union(kinds.where("m > 1").select("anchor", "seg", F.col("full").alias("mask"))).groupBy("anchor", "seg").agg(F.expr("bit_or(mask)").alias("mask"))
+    masks = cut(masks.union(kinds.where("m > 1").select("anchor", "seg", F.col("full").alias("mask"))).groupBy("anchor", "seg").agg(F.expr("bit_or(mask)").alias("mask")))
     hits = segments.join(masks, ["anchor", "seg"]).select("doc_id", "th", F.expr("shiftleft(shiftright(place, 8), 32) | mask").alias("e"))
     return cut(hits.groupBy("doc_id", "th").agg(F.collect_set("e").alias("found")))
 
