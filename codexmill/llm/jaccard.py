@@ -4,10 +4,10 @@ Which sets can link at all is settled on an inverted index over set prefixes (in
 hashes). What a set is linked to then follows from a very similar set wherever it can:
 
 1. shingle every whole text; equal sets are one set from here on;
-2. index: the prefixes' tokens, with size and position. A set stays only if enough of its prefix is
-   shared with another set (`slack` tokens beyond the usual prefix make that test sharp, and exact);
-3. answers by relation: of the sets at one of a list's first positions, every one is compared with
-   the list's leading set only; linked sets form components, and inside one no other pair needs work;
+2. a set stays only if enough of its prefix is shared with another set (`slack` tokens beyond the
+   usual prefix make that test sharp, and exact), and then enough of all of it;
+3. answers by relation: in the lists of a few tokens of each set, every set is compared with the
+   list's leading set only; linked sets form components, and inside one no other pair needs work;
 4. skipping: a list whose sets are all in one component is skipped whole. In the others the sets
    outside the list's largest component are compared with the rest, but for pairs that size blocks,
    positions or the distances to a common leading set rule out;
@@ -29,7 +29,7 @@ from codexmill.llm.common import cut, small, text_hash
 from codexmill.llm.graph import components
 from codexmill.llm.textkit import BLANK, Hasher, U, grams, mix
 
-#: Positions of a set's list entries that take part in step 3.
+#: Tokens of a set whose lists take part in step 3.
 LEADING = 8
 
 
@@ -81,41 +81,52 @@ def _linked(common: Column, na: Column, nb: Column, percent: int) -> Column:
 
 
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b, ...) with na, nb and common, the sizes of the sets and of what they share."""
+    """pairs (a, b) with na, nb and common, the sizes of the sets and of what they share."""
     a = sets.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"))
 
 
-def link_sets(docs: DataFrame, rows: DataFrame, width: int, percent: int, slack: float) -> DataFrame:
-    """(node, root): components of the sets that have links; rows: shingles() of docs, materialised."""
-    index = shingles(docs, width, percent, slack, "prefix").where("n > 0").select("sid", "n", F.explode("tokens").alias("token"))
-    shared = index.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("token")
-    copies = rows.where("n > 0").groupBy("sid", "n").agg(F.count("*").alias("copies"), F.min_by(F.struct("doc_id", "th"), F.struct("doc_id", "th")).alias("first"))
+def candidates(docs: DataFrame, rows: DataFrame, width: int, percent: int, slack: float) -> DataFrame:
+    """Step 2, materialised: sid, n, tokens (those that another of these sets has, rarest first) of the sets that may link."""
+    index = shingles(docs, width, percent, slack, "prefix").where("n > 0").select("sid", F.explode("tokens").alias("token"))
+    shared = cut(index.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("token"))
+    copies = rows.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "th")).alias("first"))
     enough = F.greatest(F.lit(1), F.floor(F.col("n") * slack) - 1)
-    found = index.join(shared, "token").groupBy("sid", "n").agg(F.count("*").alias("hits"))
-    alive = cut(found.join(copies, ["sid", "n"]).where(F.col("hits") >= enough * F.col("copies")).select("first.doc_id", "first.th", F.col("sid").alias("want")))
+    hits = index.join(shared, "token").groupBy("sid").agg(F.count("*").alias("hits"))
+    alive = cut(hits.join(copies, "sid").where(F.col("hits") >= enough * F.col("copies")).select(F.col("first.doc_id").alias("k_id"), F.col("first.th").alias("k_th")))
 
     # Only the sets that stay are gathered, one row each, however many rows have them.
-    keys = alive.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "want")
-    theirs = docs.select("doc_id", "text", text_hash().alias("k")).join(small(keys, alive.count()), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("k") == F.col("k_th")), "left_semi").select("doc_id", "text")
-    sets = cut(shingles(theirs, width, percent, slack, "all").groupBy("sid", "n").agg(F.first("tokens").alias("tokens")))
-
-    # 3. every set against the leading set of its lists
-    first = sets.select("sid", "n", F.explode(F.slice("tokens", 1, LEADING)).alias("token"))
-    lead = first.groupBy("token").agg(F.min("sid").alias("lead"), F.count("*").alias("k")).where("k > 1").select("token", "lead")
-    star = first.join(lead, "token").where("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b")).distinct()
+    theirs = docs.select("doc_id", "text", text_hash().alias("th")).join(small(alive, alive.count()), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left_semi").select("doc_id", "text")
+    whole = cut(shingles(theirs, width, percent, slack, "all").groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
+    each = whole.select("sid", "n", F.explode("tokens").alias("token"))
+    known = cut(each.groupBy("token").agg(F.count("*").alias("k")).where("k > 1"))
+    kept = each.join(known, "token").groupBy("sid").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("k", "token"))).alias("t"))
+    # A set's answers lie within its shared tokens: too few of them and it has none.
+    return cut(kept.where(100 * F.size("t") >= percent * F.col("n")).select("sid", "n", F.col("t.token").alias("tokens")))
+
+
+def link_sets(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root): components of the sets that have links. Positions count the unshared tokens, which come first."""
+    alone = F.col("n") - F.size("tokens")
+
+    # 3. every set against the leading set of its lists: the one with the smallest share of tokens of its own
+    first = sets.select("sid", F.struct((1 - alone / F.col("n")).alias("s"), F.col("sid").alias("lead")).alias("rank"), F.explode(F.slice(F.array_sort(F.transform("tokens", lambda t: F.xxhash64(t))), 1, LEADING)).alias("token"))
+    lead = cut(first.groupBy("token").agg(F.max("rank").alias("top"), F.count("*").alias("k")).where("k > 1").select("token", F.col("top.sid").alias("lead")))
+    star = cut(first.join(lead, "token").where("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b")).distinct())
     measured = cut(_compare(star, sets))
-    links = measured.where(_linked(F.col("common"), F.col("na"), F.col("nb"), percent)).select("a", "b")
-    comps = components(links)
+    comps = cut(components(measured.where(_linked(F.col("common"), F.col("na"), F.col("nb"), percent)).select("a", "b")))
 
     # 4. lists that still hold several components
-    lists = sets.join(comps.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "sid", "n", F.coalesce("root", "sid").alias("root"), F.posexplode(F.expr(f"slice(tokens, 1, cast(n - ceil({percent} * n / 100D) + 1 as int))")).alias("pos", "token")
+    prefix = F.expr(f"cast(n - ceil({percent} * n / 100D) + 1 as int)") - alone
+    lists = cut(
+        sets.join(comps.withColumnRenamed("node", "sid"), "sid", "left")
+        .where(prefix > 0)
+        .select("sid", "n", alone.alias("alone"), F.coalesce("root", "sid").alias("root"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
+        .select("sid", "n", "root", (F.col("pos") + F.col("alone")).alias("pos"), F.col("alone"), "token")
     )
-    lists = cut(lists)
-    mixed = lists.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("token", "main")
-    entries = lists.join(mixed, "token")
+    mixed = cut(lists.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("token", "main"))
+    entries = cut(lists.join(mixed, "token"))
     x = entries.where("root <> main").select("token", "main", *[F.col(c).alias(f"x_{c}") for c in ("sid", "n", "pos", "root")])
     y = entries.select("token", *[F.col(c).alias(f"y_{c}") for c in ("sid", "n", "pos", "root")])
     bound = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
@@ -125,16 +136,16 @@ def link_sets(docs: DataFrame, rows: DataFrame, width: int, percent: int, slack:
         & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
         & ((100 + percent) * bound >= percent * (F.col("x_n") + F.col("y_n")))
     )
-    pairs = pairs.select(F.col("x_sid").alias("a"), F.col("y_sid").alias("b")).distinct()
+    pairs = cut(pairs.select(F.col("x_sid").alias("a"), F.col("y_sid").alias("b")).distinct())
     # A pair whose distances to a common leading set differ by more than a link allows has no link.
     apart = measured.select("a", F.col("b").alias("lead"), (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d"))
     known = pairs.join(apart.withColumnRenamed("d", "da"), "a").join(apart.select(F.col("a").alias("b"), "lead", F.col("d").alias("db")), ["b", "lead"])
     ruled_out = known.where(F.abs(F.col("da") - F.col("db")) > 1 - percent / 100 + 1e-9).select("a", "b").distinct()
-    rest = _compare(pairs.join(ruled_out, ["a", "b"], "left_anti"), sets)
-    more = rest.where(_linked(F.col("common"), F.col("na"), F.col("nb"), percent)).select("a", "b")
+    more = _compare(pairs.join(ruled_out, ["a", "b"], "left_anti"), sets).where(_linked(F.col("common"), F.col("na"), F.col("nb"), percent)).select("a", "b")
     more = more.join(comps.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(comps.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    over = components(more)
-    return comps.select("node", F.col("root").alias("mid")).union(over.select(F.col("node"), F.col("node").alias("mid"))).distinct().join(over.select(F.col("node").alias("mid"), F.col("root").alias("top")), "mid", "left").groupBy("node").agg(F.min(F.coalesce("top", "mid")).alias("root"))
+    over = cut(components(more))
+    below = comps.select("node", F.col("root").alias("mid")).union(over.select("node", F.col("node").alias("mid"))).distinct()
+    return below.join(over.select(F.col("node").alias("mid"), F.col("root").alias("top")), "mid", "left").groupBy("node").agg(F.min(F.coalesce("top", "mid")).alias("root"))
 
 
 def ngram_jaccard(docs: DataFrame, width: int = 5, percent: int = 80, slack: float = 0.1) -> DataFrame:
@@ -145,7 +156,7 @@ def ngram_jaccard(docs: DataFrame, width: int = 5, percent: int = 80, slack: flo
     for one set of doc_id and th in each component (for a row without words: itself).
     """
     rows = cut(shingles(docs, width, percent, slack, "none"))
-    comps = link_sets(docs, rows, width, percent, slack)
+    comps = link_sets(candidates(docs, rows, width, percent, slack), percent)
     sets = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "th")).alias("head"))
     placed = cut(sets.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")))
     tops = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.min("head").alias("head"))
