@@ -86,31 +86,48 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     return full.join(small(distinct, n_windows, 300_000), ["k", "window"]), windows
 
 
+def found_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """k_id, k_th (doc_id and text's hash), hit_words (places from 1), items (sorted strings) of the documents with hits."""
+    found, windows = hits(docs, benchmark)
+    found = cut(found.select("doc_id", "th", "start", "k", "window"))
+    covered = found.groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("start"), F.col("start") + F.col("k") - 1)))).alias("hit_words"))
+    items = found.select("doc_id", "th", "k", "window").distinct().join(windows, ["k", "window"]).groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    return covered.alias("c").join(items.alias("i"), F.col("c.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("c.th") == F.col("i.th")), "left").select(F.col("c.doc_id").alias("k_id"), F.col("c.th").alias("k_th"), "hit_words", "items")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least_items: int = 2) -> DataFrame:
-    """One row per row of docs: doc_id, th, n_words, n_hit, n_items, items (sorted strings), hit_words (places from 1), contaminated.
+    """One row per row of docs: doc_id, n_words, n_hit, n_items, items (sorted strings), contaminated.
 
     Equal rows have equal results; null texts have no words and no hits; an item without words occurs
     nowhere; items that are equal count each.
     """
-    found, windows = hits(docs, benchmark)
-    found = cut(found.select("doc_id", "th", "start", "k", "window"))
-    covered = found.groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("start"), F.col("start") + F.col("k") - 1)))).alias("hit_words"))
-    items = found.select("doc_id", "th", "k", "window").distinct().join(windows, ["k", "window"]).groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    per = covered.alias("c").join(items.alias("i"), F.col("c.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("c.th") == F.col("i.th")), "left").select(F.col("c.doc_id").alias("k_id"), F.col("c.th").alias("k_th"), "hit_words", "items")
     every = docs.select("doc_id", text_hash().alias("th"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(CASED_WORDS)).cast("long").alias("n_words"))
-    none = F.array().cast("array<string>")
-    return every.join(per, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left").select(
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return every.join(found_items(docs, benchmark), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left").select(
         "doc_id",
-        "th",
         "n_words",
         F.coalesce(F.size("hit_words"), F.lit(0)).cast("long").alias("n_hit"),
-        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.coalesce("items", none).alias("items"),
-        F.coalesce("hit_words", F.array().cast("array<int>")).alias("hit_words"),
-        (F.size(F.coalesce("items", none)) >= least_items).alias("contaminated"),
+        F.size(items).cast("long").alias("n_items"),
+        items.alias("items"),
+        (F.size(items) >= least_items).alias("contaminated"),
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, least_items: int = 2) -> DataFrame:
+    """docs without the contaminated documents, and without the words that are hit in the others; all else as it was.
+
+    Columns are docs' own; where text changes, n_chars (if there is one) follows.
+    """
+    found = cut(found_items(docs, benchmark))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), text_hash().alias("th"))
+    rows = rows.join(small(found, found.count(), 100_000), F.col("doc.doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left").where(F.coalesce(F.size("items") < least_items, F.lit(True)))
+    gap = CASED_WORDS.replace("[^", "[")
+    pieces = F.regexp_extract_all(F.col("doc.text"), F.lit(f"({gap[:-1]}*{CASED_WORDS})"), F.lit(1))
+    left = F.trim(F.concat(F.array_join(F.filter(pieces, lambda _, i: ~F.array_contains("hit_words", i + 1)), ""), F.regexp_extract(F.col("doc.text"), f"({gap[:-1]}*)$", 1)))
+    text = F.when(F.col("hit_words").isNull(), F.col("doc.text")).otherwise(left)
+    return rows.select(*[text.alias(c) if c == "text" else F.when(F.col("hit_words").isNull(), F.col("doc.n_chars")).otherwise(F.length(left)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("doc")[c].alias(c) for c in docs.columns])
+
+
 def op8_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return decontaminate(docs, benchmark).select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codexmill.llm import decontam, jaccard, langid, quality, substring, toxicity
+from codexmill.llm import decontam, jaccard, langid, mixing, quality, substring, toxicity
 from codexmill.llm.common import table
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op1_mixing(table(spark, sf_dir, "documents"))
+
+
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3_language_id(table(spark, sf_dir, "documents"))
 
@@ -35,8 +39,8 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_language_id": _op3, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op10_toxicity": _op10}
+    return {"op1_mixing": _op1, "op3_language_id": _op3, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op10_toxicity": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": decontam.ORACLE}
+    return {"op1_mixing": mixing.ORACLE, "op8_decontamination": decontam.ORACLE}

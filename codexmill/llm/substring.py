@@ -16,6 +16,7 @@ anchor form a segment. So whatever repeats meets under one anchor:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,12 +79,12 @@ def _segments(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _with_entries(docs: DataFrame, entries: DataFrame, how: str) -> DataFrame:
-    """docs (doc_id, text) joined with entries (doc_id, th, found array), which go out whole if they are few."""
+    """docs joined with entries (doc_id, th, found array): rest (a struct of the columns besides text), text, found."""
     n, total = entries.agg(F.count("*"), F.coalesce(F.sum(F.size("found")), F.lit(0))).first()
     few = n + total <= BROADCAST_ENTRIES
     keyed = entries.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "found")
-    left = docs.select("doc_id", text_hash().alias("th"), "text")
-    return left.join(F.broadcast(keyed) if few else keyed, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), how).select("doc_id", "text", "found")
+    left = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("rest"), text_hash().alias("th"), "text")
+    return left.join(F.broadcast(keyed) if few else keyed, F.col("rest.doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), how).select("rest", "text", "found")
 
 
 def _contents(docs: DataFrame, variants: DataFrame, width: int, single: bool) -> DataFrame:
@@ -112,7 +113,7 @@ def _contents(docs: DataFrame, variants: DataFrame, width: int, single: bool) ->
                 cols = [pa.array(anchors, pa.int64()), pa.array(segs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols + ([pa.array(windows, pa.int64()), pa.array(out, pa.int64())] if single else [pa.array(out, pa.binary())]), ["anchor", "seg"] + (["bit", "hash"] if single else ["words"]))
 
-    return _with_entries(docs, entries, "inner").mapInArrow(run, "anchor long, seg long, " + ("bit long, hash long" if single else "words binary"))
+    return _with_entries(docs.select("doc_id", "text"), entries, "inner").mapInArrow(run, "anchor long, seg long, " + ("bit long, hash long" if single else "words binary"))
 
 
 def _search(contents: DataFrame, width: int) -> DataFrame:
@@ -172,11 +173,17 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     return cut(hits.groupBy("doc_id", "th").agg(F.collect_set("e").alias("found")))
 
 
+#: A word with the blanks before it.
+PIECE = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
+
+
 def remove_repeated(docs: DataFrame, width: int = 35) -> DataFrame:
-    """One row per row of docs: doc_id, th, text, n_words, n_removed, kept (the words left, joined by one space).
+    """One row per row of docs: rest (a struct of its columns besides text), text, n_words, n_removed, kept, clean.
 
     Every word that lies in a repeated window goes, in all places where it repeats; windows are judged
-    on the input. A null text has no words. Rows that repeat whole repeat their windows.
+    on the input. kept has the words left, joined by one space; clean is the text as it was where
+    nothing goes, else without the words that go and the blanks before them. A null text has no words
+    and stays null in clean. Rows that repeat whole repeat their windows.
     """
     found = repeated_windows(docs, width)
 
@@ -184,9 +191,10 @@ def remove_repeated(docs: DataFrame, width: int = 35) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                total, removed, kept = [], [], []
-                for text, entries in zip(part.column("text"), part.column("found"), strict=True):
-                    words = (text.as_py() or "").encode().split()
+                total, removed, kept, clean = [], [], [], []
+                for value, entries in zip(part.column("text"), part.column("found"), strict=True):
+                    text = value.as_py()
+                    words = (text or "").encode().split()
                     total.append(len(words))
                     gone = 0
                     if entries.is_valid:
@@ -196,16 +204,19 @@ def remove_repeated(docs: DataFrame, width: int = 35) -> DataFrame:
                             first = (e >> 32)[(e >> j) & 1 == 1] + j
                             np.add.at(edge, first, 1)
                             np.add.at(edge, first + width, -1)
-                        stay = np.cumsum(edge)[:-1] == 0
-                        gone = len(words) - int(stay.sum())
-                        words = [words[i] for i in np.flatnonzero(stay)]
+                        stay = np.flatnonzero(np.cumsum(edge)[:-1] == 0)
+                        gone = len(words) - len(stay)
+                        pieces = PIECE.findall(text.encode())
+                        text = b"".join([pieces[i] for i in stay]).decode().strip()
+                        words = [words[i] for i in stay]
                     removed.append(gone)
                     kept.append(b" ".join(words).decode())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "text", "n_words", "n_removed", "kept"])
+                    clean.append(text)
+                yield pa.RecordBatch.from_arrays([part.column("rest"), part.column("text"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(clean, pa.string())], ["rest", "text", "n_words", "n_removed", "kept", "clean"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return _with_entries(docs, found, "left").mapInArrow(run, f"doc_id {kind}, text string, n_words long, n_removed long, kept string")
+    joined = _with_entries(docs, found, "left")
+    return joined.mapInArrow(run, f"rest {joined.schema['rest'].dataType.simpleString()}, text string, n_words long, n_removed long, kept string, clean string")
 
 
 def op6_substring_dedup(docs: DataFrame) -> DataFrame:
-    return remove_repeated(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return remove_repeated(docs.select("doc_id", "text")).select("rest.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
