@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codexmill.llm import decontam, jaccard, langid, mixing, quality, substring, toxicity
+from codexmill.llm import decontam, fingerprint, jaccard, langid, mixing, quality, substring, toxicity
 from codexmill.llm.common import table
 
 
@@ -22,6 +22,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op10_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.op4_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op5_ngram_jaccard(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": _op1, "op3_language_id": _op3, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op10_toxicity": _op10}
+    return {"op1_mixing": _op1, "op3_language_id": _op3, "op4_fingerprints": _op4, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op10_toxicity": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
