@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codexmill.llm import decontam, fingerprint, jaccard, langid, mixing, quality, substring, toxicity
+from codexmill.llm import chat, decontam, fingerprint, jaccard, langid, mixing, quality, substring, toxicity
 from codexmill.llm.common import table
 
 
@@ -14,6 +14,10 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op1_mixing(table(spark, sf_dir, "documents"))
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op2_chat_format(table(spark, sf_dir, "conversations"))
+
+
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3_language_id(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": _op1, "op3_language_id": _op3, "op4_fingerprints": _op4, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op10_toxicity": _op10}
+    return {"op1_mixing": _op1, "op2_chat_format": _op2, "op3_language_id": _op3, "op4_fingerprints": _op4, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op10_toxicity": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
