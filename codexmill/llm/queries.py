@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codexmill.llm import chat, decontam, fingerprint, jaccard, langid, mixing, quality, substring, toxicity
+from codexmill.llm import chat, decontam, fingerprint, jaccard, langid, licences, mixing, quality, substring, toxicity
 from codexmill.llm.common import table
 
 
@@ -22,6 +22,10 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3_language_id(table(spark, sf_dir, "documents"))
 
 
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.op9_licence_scan(table(spark, sf_dir, "documents"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op10_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,7 +51,7 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": _op1, "op2_chat_format": _op2, "op3_language_id": _op3, "op4_fingerprints": _op4, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op10_toxicity": _op10}
+    return {"op1_mixing": _op1, "op2_chat_format": _op2, "op3_language_id": _op3, "op4_fingerprints": _op4, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op9_licence_scan": _op9, "op10_toxicity": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
