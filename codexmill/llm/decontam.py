@@ -34,7 +34,7 @@ def folded(text: str) -> Column:
 
 def words(text: str) -> Column:
     """Words of a text with A-Z lower-cased; a null text has none."""
-    return F.regexp_extract_all(folded(text), F.lit(f"({WORDS})"), F.lit(1))
+    return F.array_remove(F.split(folded(text), WORDS.replace("[^", "[")), "")
 
 
 def _hashes(df: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, least_items: int = 2) -
     Equal rows have equal results; null texts have no words and no hits; an item without words occurs
     nowhere; items that are equal count each.
     """
-    every = docs.select("doc_id", text_hash().alias("th"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(CASED_WORDS)).cast("long").alias("n_words"))
+    every = docs.select("doc_id", text_hash().alias("th"), F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), CASED_WORDS.replace("[^", "[")), "")).cast("long").alias("n_words"))
     items = F.coalesce("items", F.array().cast("array<string>"))
     return every.join(found_items(docs, benchmark), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left").select(
         "doc_id",
