@@ -18,7 +18,7 @@ DIMENSIONS = ("source", "lang", "topic")
 #: A cell table of no more rows than this is raked in one task, without exchanges; a larger one in many.
 CELLS = 100_000
 #: Sweeps over the three marginals; so many in one job.
-SWEEPS, PER_JOB = 30, 10
+SWEEPS, PER_JOB = 30, 5
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Powers of the marginals' own shares that make the default targets.
 TEMPER = 0.7
@@ -28,14 +28,14 @@ SEED = 1
 
 
 def n_tokens(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORDS)).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), WORDS.replace("[^", "[")), "")).cast("long")
 
 
-def topic_of(text: Column) -> Column:
+def topic_of(text: Column, tokens: Column) -> Column:
     """A coarse topic for corpora without a topic column: figures (a digit in 200 characters or more), lists (under 12 words a line), else prose."""
     t = F.coalesce(text, F.lit(""))
     digits, lines = F.regexp_count(t, F.lit("[0-9]")), F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1
-    return F.when(digits * 200 >= F.greatest(F.length(t), F.lit(1)), "figures").when(n_tokens(text) < 12 * lines, "lists").otherwise("prose")
+    return F.when(digits * 200 >= F.greatest(F.length(t), F.lit(1)), "figures").when(tokens < 12 * lines, "lists").otherwise("prose")
 
 
 def uniform(doc_id: Column, seed: int) -> Column:
@@ -84,8 +84,9 @@ def mix(docs: DataFrame, topic: Column | None = None, targets: Mapping[str, Mapp
     """
     names = {d: F.coalesce(F.col(f"doc.{d}"), F.lit("?")) for d in ("source", "lang")}
     rows = docs.select(F.struct(*docs.columns).alias("doc"))
-    topic = topic_of(F.col("doc.text")) if topic is None else topic
-    rows = rows.select("doc", *[c.alias(d) for d, c in names.items()], F.coalesce(topic, F.lit("?")).alias("topic"), n_tokens(F.col("doc.text")).alias("n_tokens"))
+    rows = rows.withColumn("n_tokens", n_tokens(F.col("doc.text")))
+    topic = topic_of(F.col("doc.text"), F.col("n_tokens")) if topic is None else topic
+    rows = rows.select("doc", *[c.alias(d) for d, c in names.items()], F.coalesce(topic, F.lit("?")).alias("topic"), "n_tokens")
     cells = rake(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("t")), temper, targets)
     most = cells.agg(F.max("weight")).first()[0] or 1.0
     few = cells.count() <= CELLS
