@@ -29,8 +29,6 @@ from codexmill.llm.fmindex import FMIndex
 from codexmill.llm.textkit import _SEEDS, BLANK, Hasher, U, grams, mix
 
 GRAM = 8
-#: What is joined to documents is broadcast if it has no more rows and entries than this (about 5 MB), else the documents are shuffled.
-BROADCAST_ENTRIES = 100_000
 #: Words in a block that an FM-index is built over, at least; one anchor's segments stay together.
 BLOCK_WORDS = 200_000
 #: An anchor with more different segments than this is counted by window instead.
@@ -80,75 +78,81 @@ def _segments(docs: DataFrame, width: int) -> DataFrame:
 
 def _with_entries(docs: DataFrame, entries: DataFrame, how: str) -> DataFrame:
     """docs joined with entries (doc_id, th, found array): rest (a struct of the columns besides text), text, found."""
-    n, total = entries.agg(F.count("*"), F.coalesce(F.sum(F.size("found")), F.lit(0))).first()
-    few = n + total <= BROADCAST_ENTRIES
     keyed = entries.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "found")
     left = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("rest"), text_hash().alias("th"), "text")
-    return left.join(F.broadcast(keyed) if few else keyed, F.col("rest.doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), how).select("rest", "text", "found")
+    return left.join(keyed, F.col("rest.doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), how).select("rest", "th", "text", "found")
 
 
 def _contents(docs: DataFrame, variants: DataFrame, width: int, single: bool) -> DataFrame:
-    """The words of each variant (anchor, seg, place, doc_id, th), as 64-bit hashes; single: each window's hash instead."""
-    entries = cut(variants.groupBy("doc_id", "th").agg(F.collect_list(F.struct("anchor", "seg", "place")).alias("found")))
+    """The words of each variant (anchor, place, lone, doc_id, th), as 64-bit hashes; single: each window's hash instead."""
+    entries = cut(variants.groupBy("doc_id", "th").agg(F.collect_list(F.struct("anchor", "place", "lone")).alias("found")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANK, lower=False)
         for b in batches:
-            found = b.column("found")
+            found, ths = b.column("found"), b.column("th")
+            ids = b.column("rest").field("doc_id")
             for lo, hi, words, starts in hasher.rows(b.column("text")):
-                anchors, segs, windows, out = [], [], [], []
+                owners, anchors, places, lones, windows, out = [], [], [], [], [], []
                 for i in range(lo, hi):
                     for e in found[i].as_py():
                         first, count = starts[i - lo] + (e["place"] >> 8), e["place"] & 255
                         part = words[first : first + count + width - 1]
+                        times = count if single else 1
+                        owners += [i] * times
+                        anchors += [e["anchor"]] * times
+                        places += [e["place"]] * times
+                        lones += [e["lone"]] * times
                         if single:
-                            anchors += [e["anchor"]] * count
-                            segs += [e["seg"]] * count
                             windows += range(count)
                             out += grams(part, width).view(np.int64).tolist()
                         else:
-                            anchors.append(e["anchor"])
-                            segs.append(e["seg"])
                             out.append(part.tobytes())
-                cols = [pa.array(anchors, pa.int64()), pa.array(segs, pa.int64())]
-                yield pa.RecordBatch.from_arrays(cols + ([pa.array(windows, pa.int64()), pa.array(out, pa.int64())] if single else [pa.array(out, pa.binary())]), ["anchor", "seg"] + (["bit", "hash"] if single else ["words"]))
+                at = pa.array(owners, pa.int64())
+                cols = [ids.take(at), ths.take(at), pa.array(anchors, pa.int64()), pa.array(places, pa.int64()), pa.array(lones, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(cols + ([pa.array(windows, pa.int64()), pa.array(out, pa.int64())] if single else [pa.array(out, pa.binary())]), ["doc_id", "th", "anchor", "place", "lone"] + (["bit", "hash"] if single else ["words"]))
 
-    return _with_entries(docs.select("doc_id", "text"), entries, "inner").mapInArrow(run, "anchor long, seg long, " + ("bit long, hash long" if single else "words binary"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _with_entries(docs.select("doc_id", "text"), entries, "inner").mapInArrow(run, f"doc_id {kind}, th long, anchor long, place long, lone boolean, " + ("bit long, hash long" if single else "words binary"))
 
 
 def _search(contents: DataFrame, width: int) -> DataFrame:
-    """anchor, seg, mask: which windows of each segment occur twice in its shard; bit j is window j."""
+    """doc_id, th, e: first window << 32 | mask of each lone segment with windows that occur twice in its shard; bit j is window j."""
 
-    def block(anchors: list, segs: list, parts: list[np.ndarray]) -> pa.RecordBatch:
+    def block(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        parts = [r[-1] for r in rows]
         sizes = np.array([len(p) for p in parts])
         known, ids = np.unique(np.concatenate(parts), return_inverse=True)
         text = np.zeros(sizes.sum() + len(parts), np.int64)  # symbol 0 parts and ends the segments
         begin = np.cumsum([0, *(sizes[:-1] + 1)])
         text[np.repeat(begin - np.cumsum([0, *sizes[:-1]]), sizes) + np.arange(sizes.sum())] = ids + 1
-        counts = sizes - width + 1
-        starts = np.repeat(begin, counts) + np.concatenate([np.arange(c) for c in counts])
-        owner = np.repeat(np.arange(len(parts)), counts)
-        hit = FMIndex(text, len(known) + 1, width + 1).repeated(text, starts, width)
+        asked = np.flatnonzero([r[3] for r in rows])  # of segments that repeat whole all windows are known
+        counts = sizes[asked] - width + 1
+        owner = np.repeat(asked, counts)
+        bit = np.concatenate([np.arange(c) for c in counts] or [np.zeros(0, np.int64)])
+        hit = FMIndex(text, len(known) + 1, width + 1).repeated(text, begin[owner] + bit, width)
         masks = np.zeros(len(parts), np.int64)
-        np.add.at(masks, owner[hit], np.int64(1) << (starts - begin[owner])[hit])
+        np.add.at(masks, owner[hit], np.int64(1) << bit[hit])
         some = np.flatnonzero(masks)
-        return pa.RecordBatch.from_arrays([pa.array([anchors[i] for i in some], pa.int64()), pa.array([segs[i] for i in some], pa.int64()), pa.array(masks[some])], ["anchor", "seg", "mask"])
+        e = [(rows[i][2] >> 8 << 32) | int(masks[i]) for i in some]
+        return pa.RecordBatch.from_arrays([pa.array([rows[i][0] for i in some], kind), pa.array([rows[i][1] for i in some], pa.int64()), pa.array(e, pa.int64())], ["doc_id", "th", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, segs, parts, held = [], [], [], 0
+        rows, held, last, kind = [], 0, None, None
         for b in batches:
-            for anchor, seg, words in zip(b.column("anchor").to_pylist(), b.column("seg").to_pylist(), b.column("words"), strict=True):
-                if held >= BLOCK_WORDS and anchor != anchors[-1]:
-                    yield block(anchors, segs, parts)
-                    anchors, segs, parts, held = [], [], [], 0
-                anchors.append(anchor)
-                segs.append(seg)
-                parts.append(np.frombuffer(words.as_py(), U))
-                held += len(parts[-1])
-        if parts:
-            yield block(anchors, segs, parts)
+            kind = b.column("doc_id").type
+            for doc_id, th, anchor, place, lone, words in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "anchor", "place", "lone", "words")), strict=True):
+                if held >= BLOCK_WORDS and anchor != last:
+                    yield block(rows, kind)
+                    rows, held = [], 0
+                rows.append((doc_id, th, place, lone, np.frombuffer(words, U)))
+                held += len(words) // 8
+                last = anchor
+        if rows:
+            yield block(rows, kind)
 
-    return contents.repartition(partitions(contents.sparkSession), "anchor").sortWithinPartitions("anchor", "seg").mapInArrow(run, "anchor long, seg long, mask long")
+    kind = contents.schema["doc_id"].dataType.simpleString()
+    return contents.repartition(partitions(contents.sparkSession), "anchor").sortWithinPartitions("anchor").mapInArrow(run, f"doc_id {kind}, th long, e long")
 
 
 def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
@@ -158,18 +162,19 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     all_segments = _segments(docs, width)
     often = cut(all_segments.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor"))
     segments = cut(all_segments.join(often, "anchor"))  # both sides plain exchanges: Spark can split a hot anchor
-    kinds = segments.groupBy("anchor", "seg").agg(F.count("*").alias("m"), F.first("doc_id").alias("doc_id"), F.first("th").alias("th"), F.first("place").alias("place"))
-    kinds = cut(kinds.select("*", F.expr("shiftleft(1L, cast(place & 255 as int)) - 1").alias("full")))
-    several = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    kinds = cut(segments.groupBy("anchor", "seg").agg(F.count("*").alias("m"), F.first("doc_id").alias("doc_id"), F.first("th").alias("th"), F.first("place").alias("place")))
+    several = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("m") == 1).alias("lone")).where("kinds > 1 and lone > 0").select("anchor", "kinds"))
     hot = several.where(F.col("kinds") > SEGMENTS).count()
-    different = kinds.join(several, "anchor")
-    masks = _search(_contents(docs, different.where(F.col("kinds") <= SEGMENTS), width, single=False), width)
+    different = kinds.join(several, "anchor").withColumn("lone", F.col("m") == 1)
+    # Segments that repeat whole: all their windows, wherever they are. The others occur once, and bring their place along.
+    whole = segments.join(kinds.where("m > 1").select("anchor", "seg"), ["anchor", "seg"], "left_semi")
+    hits = whole.selectExpr("doc_id", "th", "shiftleft(shiftright(place, 8), 32) | (shiftleft(1L, cast(place & 255 as int)) - 1) as e")
+    hits = hits.union(_search(_contents(docs, different.where(F.col("kinds") <= SEGMENTS), width, single=False), width))
     if hot:
         one = cut(_contents(docs, different.where(F.col("kinds") > SEGMENTS), width, single=True))
-        twice = one.groupBy("anchor", "hash").agg(F.count("*").alias("k")).where("k > 1").select("anchor", "hash")
-        masks = masks.union(one.join(twice, ["anchor", "hash"]).groupBy("anchor", "seg").agg(F.expr("bit_or(shiftleft(1L, cast(bit as int)))").alias("mask")))
-    masks = cut(masks.union(kinds.where("m > 1").select("anchor", "seg", F.col("full").alias("mask"))).groupBy("anchor", "seg").agg(F.expr("bit_or(mask)").alias("mask")))
-    hits = segments.join(masks, ["anchor", "seg"]).select("doc_id", "th", F.expr("shiftleft(shiftright(place, 8), 32) | mask").alias("e"))
+        twice = cut(one.groupBy("anchor", "hash").agg(F.count("*").alias("k")).where("k > 1").select("anchor", "hash"))
+        again = one.where("lone").join(twice, ["anchor", "hash"], "left_semi").groupBy("doc_id", "th", "place").agg(F.expr("bit_or(shiftleft(1L, cast(bit as int)))").alias("mask"))
+        hits = hits.union(again.selectExpr("doc_id", "th", "shiftleft(shiftright(place, 8), 32) | mask as e"))
     return cut(hits.groupBy("doc_id", "th").agg(F.collect_set("e").alias("found")))
 
 
