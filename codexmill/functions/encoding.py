@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from codexmill.functions.text import let
+
 # cp1252's glyphs for the bytes 80-9F that it defines, and those bytes' code points.
 CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 C1 = "\x80\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x8b\x8c\x8e\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f"
@@ -47,10 +49,12 @@ def decode_entities(c: Column) -> Column:
 
 def fix_bytes(c: Column) -> Column:
     """The text whose UTF-8 bytes were read as cp1252, if c can be that; else c. Texts that are right stay."""
-    back = F.translate(c, CP1252, C1)
-    raw = F.encode(back, "ISO-8859-1")
-    able = back.rlike(r"^[\x00-\xFF]*\z") & back.rlike(r"[\x80-\xFF]")
-    return F.when(able & F.is_valid_utf8(F.when(able, raw).cast("string")), F.when(able, raw).cast("string")).otherwise(c)
+
+    def again(back: Column) -> Column:
+        able = back.rlike(r"^[\x00-\xFF]*\z") & back.rlike(r"[\x80-\xFF]")
+        return F.try_validate_utf8(F.when(able, F.encode(back, "ISO-8859-1")).cast("string"))
+
+    return F.coalesce(let(F.translate(c, CP1252, C1), again), c)
 
 
 def fix_words(c: Column) -> Column:
@@ -70,8 +74,7 @@ def fix_encoding(c: Column) -> Column:
 
 def fix_encoding_deep(c: Column) -> Column:
     """fix_encoding(), then by bytes where the result is still suspicious, then the table again."""
-    once = fix_encoding(c)
-    return F.when(once.rlike(SUSPICIOUS), fix_encoding(fix_words(once))).otherwise(once)
+    return let(fix_encoding(c), lambda once: F.when(once.rlike(SUSPICIOUS), fix_encoding(fix_words(once))).otherwise(once))
 
 
 @F.pandas_udf("string")

@@ -114,7 +114,7 @@ def titles(c: Column, compat: bool = False) -> Column:
     pair = r"([^\[\n]+)\s*\[(.*?)(?:\.\s*Translated|\])"
     items = F.slice(F.arrays_zip(F.transform(every(listed, pair, 1), strip).alias("t"), F.transform(every(listed, pair, 2), strip).alias("o")), 1, 2)
     several = F.coalesce(F.size(every(listed, pair, 1)) >= 2, F.lit(False))
-    joined = F.struct(F.array_join(F.transform(items, lambda x: x["0"]), " * ").alias("title"), F.array_join(F.transform(items, lambda x: x["1"]), " * ").alias("original"))
+    joined = F.struct(F.array_join(F.transform(items, lambda x: x["t"]), " * ").alias("title"), F.array_join(F.transform(items, lambda x: x["o"]), " * ").alias("original"))
     head = r"^([^\[]+)\s*\[(.*?)\]"
     bracketed = F.struct(strip(F.regexp_extract(flat, rf"(?dU){head}", 1)).alias("title"), strip(F.regexp_extract(flat, rf"(?dU){head}", 2)).alias("original"))
     only = F.struct(F.lit("").alias("title"), F.coalesce(first(flat, r"\[(.*?)\]"), F.lit("")).alias("original"))

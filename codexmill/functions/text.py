@@ -6,12 +6,18 @@ Python: Unicode character classes and case folding, and only \\n as a line end.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x computed once, however often f uses it; plain nesting would copy x's expression."""
+    return F.get(F.transform(F.array(x), lambda y: f(y)), F.lit(0))
+
+
 def rx(pattern: str, ignore_case: bool = False, dot_all: bool = False) -> str:
     return f"(?dU{'i' * ignore_case}{'s' * dot_all}){pattern}"
 

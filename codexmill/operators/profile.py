@@ -135,7 +135,7 @@ def page_bins(df: DataFrame, pages: str) -> DataFrame:
 
 def cross_counts(df: DataFrame, row: Column, c: str, values: Sequence[str]) -> DataFrame:
     """Counts of rows by row and one column for each of values, 0 where there are none."""
-    return df.groupBy(row.alias("row")).pivot(c, list(values)).agg(F.count("*")).na.fill(0)
+    return df.groupBy(row.alias("row")).pivot(c, list(values)).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def top_in_groups(df: DataFrame, group: str, c: str, k: int = 5) -> DataFrame:
@@ -169,7 +169,7 @@ def top_level(counts: DataFrame) -> DataFrame:
 
 def category_tree(counts: DataFrame) -> DataFrame:
     """path, depth, parent, n (with all that is below), n_children: every prefix of every category's path."""
-    parts = F.transform(F.split("category", "/"), F.trim)
+    parts = F.transform(F.split("category", "/"), lambda x: F.trim(x))
     paths = F.transform(F.sequence(F.lit(1), F.size("parts")), lambda i: F.array_join(F.slice(F.col("parts"), F.lit(1), i), " / "))
     rows = counts.select("n", parts.alias("parts")).select("n", F.posexplode(paths).alias("at", "path"))
     own = rows.groupBy("path", "at").agg(F.sum("n").alias("n"))
@@ -211,7 +211,7 @@ def timeline(df: DataFrame, c: str) -> DataFrame:
     """year, mentions, era (lifetime, posthumous or other) of all years named in texts, 1850 to 2025."""
     born, died = LIFETIME
     y = F.col("year")
-    rows = df.select(F.explode(every(F.col(c), YEAR)).cast("long").alias("year")).where(y.between(1850, 2025))
+    rows = df.select(F.explode(every(F.col(c), YEAR)).alias("year")).select(y.cast("long").alias("year")).where(y.between(1850, 2025))
     return rows.groupBy("year").agg(F.count("*").alias("mentions")).withColumn("era", F.when(y.between(born, died), "lifetime").when(y > died, "posthumous").otherwise("other"))
 
 

@@ -13,6 +13,14 @@ def pick(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select([c for c in columns if c in df.columns])
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """df behind a generator of one row each, over which the optimizer neither merges nor pushes expressions.
+
+    For plans of many derived columns: without it a filter on one would carry its whole expression down.
+    """
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("__r")).select("__r.*")
+
+
 def spread(df: DataFrame, **fields: Column) -> DataFrame:
     """df with several derived columns, all from the same row."""
     return df.withColumns(fields)

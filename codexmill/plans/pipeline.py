@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from codexmill.functions import classify, encoding, extract, markup
 from codexmill.functions.text import first_of
 from codexmill.operators.profile import drop_empty_columns
-from codexmill.operators.relations import keep_if_any, pick
+from codexmill.operators.relations import keep_if_any, pick, settle
 from codexmill.sources.schemas import FINAL
 
 
@@ -29,11 +29,11 @@ def finish(cleaned: DataFrame, compat: bool = False) -> DataFrame:
     """The final table, columns as FINAL has them; '' for what is missing but in page_id."""
     c = F.col("content_cleaned")
     df = drop_empty_columns(cleaned, ["page_title"]) if "page_title" in cleaned.columns else cleaned
-    df = df.withColumns({"year": F.col("year").try_cast("double"), **{x: encoding.fix_encoding_deep(F.col(x)) for x in ("content_cleaned", "publisher", "location") if x in df.columns}})
+    df = settle(df.withColumns({"year": F.col("year").try_cast("double"), **{x: encoding.fix_encoding_deep(F.col(x)) for x in ("content_cleaned", "publisher", "location") if x in df.columns}}))
     df = df.withColumns({"_redirect": markup.redirect_target(c), "_categories": markup.categories(c)})
     df = df.withColumns({"main_category": F.coalesce(markup.main_category(F.col("_categories")), F.lit("")), "categories": markup.format_categories(F.col("_categories")), "time_period": extract.time_period(F.col("year"))})
     numbers = extract.catalog_numbers(F.col("text_id"))
-    df = df.withColumns({"catalog_number_1": numbers["catalog_number_1"], "catalog_number_2": numbers["catalog_number_2"], "_titles": extract.titles(c, compat), "_place": extract.publisher_location(c), "_items": extract.content_items(c, compat)})
+    df = settle(df.withColumns({"catalog_number_1": numbers["catalog_number_1"], "catalog_number_2": numbers["catalog_number_2"], "_titles": extract.titles(c, compat), "_place": extract.publisher_location(c), "_items": extract.content_items(c, compat)}))
     df = df.withColumns(
         {
             "title": extract.extract_title(F.col("_redirect"), F.col("_titles")),
@@ -47,8 +47,9 @@ def finish(cleaned: DataFrame, compat: bool = False) -> DataFrame:
             **{f"content_item_{i}_{f}": F.get(F.col("_items"), F.lit(i - 1))[f] for i in (1, 2, 3) for f in ("title", "original_title", "translator", "pages")},
         }
     )
-    df = pick(df, FINAL)
+    df = settle(pick(df, FINAL))
     df = df.select([F.col(x) if x == "page_id" else F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in df.columns])
     texts = [x for x in ("title", "original_title", "full_bibliographic_entry", "publisher", "location", "clean_content") if x in df.columns]
     df = df.withColumns({x: F.when(F.col(x).rlike(encoding.SUSPICIOUS), encoding.fix_encoding_deep(encoding.fix_encoding_deep(F.col(x)))).otherwise(F.col(x)) for x in texts})
+    df = settle(df)
     return keep_if_any(df, ["catalog_number_1", "catalog_number_2"])

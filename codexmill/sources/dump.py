@@ -96,7 +96,7 @@ def insert_tuples_by_line(lines: DataFrame, line: str = "value", keep: tuple[str
     """The same for dumps of one statement a line, by Spark's expressions alone."""
     one = [F.regexp_extract_all(line, F.lit(TUPLE), F.lit(g)) for g in (1, 2, 3)]
     rows = lines.where(F.col(line).startswith("INSERT INTO")).select(*keep, F.explode(F.arrays_zip(one[0].alias("a"), one[1].alias("b"), one[2].alias("c"))).alias("t"))
-    return rows.select(*keep, F.col("t")["0"].cast("long").alias("text_id"), F.replace(F.col("t")["1"], F.lit("''"), F.lit("'")).alias("content"), F.replace(F.col("t")["2"], F.lit("''"), F.lit("'")).alias("flags"))
+    return rows.select(*keep, F.col("t.a").cast("long").alias("text_id"), F.replace(F.col("t.b"), F.lit("''"), F.lit("'")).alias("content"), F.replace(F.col("t.c"), F.lit("''"), F.lit("'")).alias("flags"))
 
 
 def blob_text(content: Column) -> Column:
