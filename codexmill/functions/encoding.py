@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from codexmill.functions.text import let
 
@@ -77,7 +78,7 @@ def fix_encoding_deep(c: Column) -> Column:
     return let(fix_encoding(c), lambda once: F.when(once.rlike(SUSPICIOUS), fix_encoding(fix_words(once))).otherwise(once))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(texts: pd.Series) -> pd.Series:
     """Unicode NFC; Spark has no function for it."""
     return texts.map(lambda t: t if t is None else unicodedata.normalize("NFC", t))

@@ -104,12 +104,18 @@ def decade(year: Column) -> Column:
     return (F.floor(year / 10) * 10).cast("long")
 
 
-def titles(c: Column, compat: bool = False) -> Column:
+def plain(c: Column, lines: bool = False, given: Column | None = None) -> Column:
+    """given, or c without markup; lines: line ends stay. Callers with many extractors compute it once and hand it on."""
+    return remove_wiki_markup(c, keep_lines=lines) if given is None else given
+
+
+def titles(c: Column, compat: bool = False, flat: Column | None = None, lines: Column | None = None) -> Column:
     """A struct of title and original: from the first two items of a contents list, else `title [original]`, else the first sentence.
 
     Unless compat, the contents list is looked for before line ends are collapsed.
     """
-    lines, flat = remove_wiki_markup(c, keep_lines=not compat), remove_wiki_markup(c)
+    flat = plain(c, given=flat)
+    lines = flat if compat else plain(c, True, lines)
     listed = first(lines, r"Contents\s*\n(.*?)(?:\n\n|\z)", ignore_case=True, dot_all=True)
     pair = r"([^\[\n]+)\s*\[(.*?)(?:\.\s*Translated|\])"
     items = F.slice(F.arrays_zip(F.transform(every(listed, pair, 1), strip).alias("t"), F.transform(every(listed, pair, 2), strip).alias("o")), 1, 2)
@@ -129,9 +135,9 @@ def extract_title(redirect: Column, pair: Column) -> Column:
     return F.coalesce(F.when(redirect.isNotNull(), remove_wiki_markup(redirect)), F.when((F.length(found) > 100) & (pair["original"] == ""), F.concat(F.array_join(F.slice(words, 1, 10), " "), F.lit("..."))).otherwise(found))
 
 
-def original_title(c: Column, title: Column) -> Column:
+def original_title(c: Column, title: Column, flat: Column | None = None) -> Column:
     """The bracket right after the title, else the first bracket; '' without."""
-    flat = remove_wiki_markup(c)
+    flat = plain(c, given=flat)
     at = F.instr(flat, title)
     after = F.when((title != "") & (at > 0), F.substring(flat, at + F.length(title), F.length(flat)))
     return F.coalesce(first(strip(after), r"^\[(.*?)\]"), first(c, r"\[(.*?)\]"), F.lit(""))
@@ -143,25 +149,25 @@ def catalog_numbers(text_id: Column) -> Column:
     return F.struct(F.when(two, F.get(parts, F.lit(0))).otherwise("").alias("catalog_number_1"), F.when(two, F.get(parts, F.lit(1))).otherwise("").alias("catalog_number_2"))
 
 
-def full_entry(c: Column, compat: bool = False) -> Column:
+def full_entry(c: Column, compat: bool = False, lines: Column | None = None) -> Column:
     """The first paragraph, else the first 250 characters."""
-    t = remove_wiki_markup(c, keep_lines=not compat)
+    t = plain(c) if compat else plain(c, True, lines)
     return strip(F.when(has(t, "\n\n"), F.substring_index(t, "\n\n", 1)).otherwise(F.substring(t, 1, 250)))
 
 
-def content_items(c: Column, compat: bool = False) -> Column:
+def content_items(c: Column, compat: bool = False, lines: Column | None = None) -> Column:
     """Array of (title, original_title, translator, pages): the items of an entry's list of contents.
 
     compat collapses line ends before the list is looked for, and deletes every number from titles with pages.
     """
-    t = remove_wiki_markup(c, keep_lines=not compat)
+    t = plain(c) if compat else plain(c, True, lines)
     numbered = every(t, r"(?:\n|^)(\d+\.\s+.*?)(?=\n\d+\.|\z)", dot_all=True)
-    lines = every(t, r"(?:\n|^)([^.\n]+\s*\[.*?\].*?)(?=\n|$)")
+    rows = every(t, r"(?:\n|^)([^.\n]+\s*\[.*?\].*?)(?=\n|$)")
     section = F.coalesce(
         first(t, r"[Cc]ontents\s*\n(.*?)(?:\n\n|\z)", dot_all=True),
         first(t, r"(?:\n\n|\n)(\d+\.\s+.*?)(?:\n\n|\z)", dot_all=True),
         F.when(F.size(numbered) > 0, F.array_join(numbered, "\n")),
-        F.when(F.size(lines) > 1, F.array_join(lines, "\n")),
+        F.when(F.size(rows) > 1, F.array_join(rows, "\n")),
     )
     items = F.filter(F.transform(F.split(section, r"\n\d+\.|\n-|\n\*|\n"), strip), lambda x: x != "")
 
@@ -177,9 +183,9 @@ def content_items(c: Column, compat: bool = False) -> Column:
     return F.coalesce(F.transform(items, fields), F.array().cast("array<struct<title: string, original_title: string, translator: string, pages: string>>"))
 
 
-def publisher_location(c: Column) -> Column:
+def publisher_location(c: Column, flat: Column | None = None) -> Column:
     """A struct of publisher (quoted, else after a keyword, else before the first comma or year) and location (before a colon, else a city)."""
-    t = remove_wiki_markup(c)
+    t = plain(c, given=flat)
     publisher = F.coalesce(first(t, r':\s+"([^"]+)"'), first(t, r"(?:Izdatel'stvo|Publishing|Verlag|Éditions)\s+\"?([^\",.]+)\"?"), first(t, r"(?:[A-Z][a-zA-Z\s]+:)?\s*([^,]+?)(?:,|\s+\d{4})"), F.lit(""))
     location = F.coalesce(first(t, r"([A-Z][a-zA-Z\s]+):"), first(t, r"(?:^|\s)(Moscow|Moskva|Berlin|London|New York|Paris|Wien|Vienna|Frankfurt|Leipzig)\b", ignore_case=True), F.lit(""))
     return F.struct(strip(publisher).alias("publisher"), strip(location).alias("location"))
@@ -192,8 +198,8 @@ def language_from_categories(names: Column) -> Column:
     return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
 
 
-def page_count(c: Column) -> Column:
-    t = remove_wiki_markup(c)
+def page_count(c: Column, flat: Column | None = None) -> Column:
+    t = plain(c, given=flat)
     return F.coalesce(first(t, r"(\d+)\s*(?:p\.|pages)"), first(t, r"(\d+)/\(\d+\)p\."), first(t, r"(?:total|in all|altogether)\s+(\d+)\s*(?:p\.|pages)", ignore_case=True), F.lit(""))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill.functions import classify, encoding, extract, markup
@@ -73,7 +73,12 @@ def on_table(name: str, source: str, f: Callable[[DataFrame], DataFrame], oracle
     query(name, oracle)(lambda spark, d: f(table(spark, d, source)))
 
 
-C = F.col("content")
+
+
+def _c() -> Column:
+    return F.col("content")
+
+
 _LEN = "count(*) as n, count(distinct text) as n_distinct, min(length(text)) as min_len, max(length(text)) as max_len, round(avg(length(text)), 4) as avg_len, cast(median(length(text)) as double) as median_len"
 
 # Profiles of the given tables.
@@ -169,18 +174,18 @@ on_entries("year_stats", lambda e: profile.number_stats(e, "year_no"), "select c
 on_entries("lifetime_split", lambda e: profile.lifetime_split(e, "year_no"), "select count(*) filter (year_no between 1881 and 1942) as lifetime, count(*) filter (year_no > 1942) as posthumous, round(100.0 * count(*) filter (year_no between 1881 and 1942) / count(year_no), 4) as pct_lifetime, round(100.0 * count(*) filter (year_no > 1942) / count(year_no), 4) as pct_posthumous from e")
 on_entries(
     "decade_type_pivot",
-    lambda e: profile.cross_counts(e.withColumn("kind", classify.classify_content(C)), extract.decade(F.col("year_no")), "kind", ["Category", "Essay", "Review", "Correspondence", "Film/Media", "Other"]),
+    lambda e: profile.cross_counts(e.withColumn("kind", classify.classify_content(_c())), extract.decade(F.col("year_no")), "kind", ["Category", "Essay", "Review", "Correspondence", "Film/Media", "Other"]),
     'select cast(year_no // 10 * 10 as bigint) as "row", ' + ", ".join(f"count(*) filter (page_id % 12 in ({m})) as \"{k}\"" for k, m in (("Category", "2, 4, 10"), ("Essay", "3"), ("Review", "5"), ("Correspondence", "6"), ("Film/Media", "7"))) + ', count(*) filter (page_id % 12 in (0, 1, 8, 9) or page_id % 24 = 23) as "Other" from e group by 1',
 )
 _CATS = r", c as (select page_id, year_no, unnest(regexp_extract_all(content, '\[\[Category:(.*?)(?:\|.*?)?\]\]', 1)) as category from e)"
-on_entries("top5_per_period", lambda e: profile.top_in_groups(e.select(extract.time_period(F.col("year_no")).alias("period"), F.explode(tx.every(C, markup.CATEGORY_KEYLESS)).alias("category")), "period", "category"), f"{_CATS}, k as (select {_PERIOD.format(y='year_no')} as period, category, count(*) as n from c group by 1, 2) select period, category, n, rn from (select *, row_number() over (partition by period order by n desc, category) as rn from k) where rn <= 5")
+on_entries("top5_per_period", lambda e: profile.top_in_groups(e.select(extract.time_period(F.col("year_no")).alias("period"), F.explode(tx.every(_c(), markup.CATEGORY_KEYLESS)).alias("category")), "period", "category"), f"{_CATS}, k as (select {_PERIOD.format(y='year_no')} as period, category, count(*) as n from c group by 1, 2) select period, category, n, rn from (select *, row_number() over (partition by period order by n desc, category) as rn from k) where rn <= 5")
 on_entries("category_counts", lambda e: profile.category_counts(e, "content"), f"{_CATS} select category, count(*) as n from c group by 1")
 on_entries("top_level_rollup", lambda e: profile.top_level(profile.category_counts(e, "content")), f"{_CATS} select trim(split_part(category, '/', 1)) as branch, count(*) as n from c group by 1")
 on_entries("category_tree", lambda e: profile.category_tree(profile.category_counts(e, "content")), f"{_CATS}, p as (select unnest([trim(split_part(category, '/', 1)), category]) as path, unnest([1, 2]) as depth from c), n as (select path, cast(depth as bigint) as depth, count(*) as n from p group by 1, 2) select path, depth, case when depth = 2 then trim(split_part(path, '/', 1)) end as parent, n, case when depth = 1 then (select count(*) from n m where m.depth = 2 and trim(split_part(m.path, '/', 1)) = n.path) else 0 end as n_children from n")
 on_entries("category_coverage", lambda e: profile.category_coverage(e, "content"), r"select count(*) as n, count(*) filter (regexp_matches(content, '\[\[Category:.*?\]\]')) as with_categories from e")
-on_entries("entry_categories", lambda e: e.select("page_id", markup.format_categories(markup.categories(C)).alias("categories"), F.coalesce(markup.main_category(markup.categories(C)), F.lit("")).alias("main_category")),
+on_entries("entry_categories", lambda e: e.select("page_id", markup.format_categories(markup.categories(_c())).alias("categories"), F.coalesce(markup.main_category(markup.categories(_c())), F.lit("")).alias("main_category")),
     r", c as (select page_id, regexp_extract_all(coalesce(content, ''), '\[\[Category:(.*?)\]\]', 1) as l from e) select page_id, array_to_string(l, '; ') as categories, coalesce(trim(split_part(l[1], '/', 1)), '') as main_category from c")
-on_entries("internal_links", lambda e: e.select("page_id", F.array_join(markup.internal_links(C), ";").alias("links")), r"select page_id, array_to_string(list_filter(regexp_extract_all(coalesce(content, ''), '\[\[(.*?)\]\]', 1), lambda x: not starts_with(x, 'Category:')), ';') as links from e")
+on_entries("internal_links", lambda e: e.select("page_id", F.array_join(markup.internal_links(_c()), ";").alias("links")), r"select page_id, array_to_string(list_filter(regexp_extract_all(coalesce(content, ''), '\[\[(.*?)\]\]', 1), lambda x: not starts_with(x, 'Category:')), ';') as links from e")
 on_entries("link_stats", lambda e: profile.link_stats(e, "content"), r", l as (select len(list_filter(regexp_extract_all(coalesce(content, ''), '\[\[(.*?)\]\]', 1), lambda x: not starts_with(x, 'Category:'))) as k from e) select cast(sum(k) as bigint) as total, round(avg(k), 4) as mean, max(k) as most, count(*) filter (k > 0) as with_links from l")
 
 # Features and classes.
@@ -189,49 +194,49 @@ _FEATURES = {
     "has_publisher": "regexp_matches(content, '(?i)(Verlag|Publisher|Press)')", "has_location": "regexp_matches(content, 'Wien|Berlin|Frankfurt|Leipzig|London|New York')", "has_list": "contains(content, '<lst')",
     "has_html": r"regexp_matches(content, '<\w+[^>]*>')", "has_category": "contains(content, '[[Category:')", "has_translation": r"regexp_matches(content, '(?i)\b(translation|translated by)\b')", "has_review": r"regexp_matches(content, '(?i)\b(review|reviewed|rezension)\b')",
 }
-on_entries("content_patterns", lambda e: e.select("page_id", *[v.alias(k) for k, v in classify.content_patterns(C).items()]), "select page_id, " + ", ".join(f"coalesce({v}, false) as {k}" for k, v in _FEATURES.items()) + " from e")
+on_entries("content_patterns", lambda e: e.select("page_id", *[v.alias(k) for k, v in classify.content_patterns(_c()).items()]), "select page_id, " + ", ".join(f"coalesce({v}, false) as {k}" for k, v in _FEATURES.items()) + " from e")
 on_entries("pattern_summary", lambda e: profile.pattern_summary(e, "content"), " union all ".join(f"select '{k}' as feature, count(*) filter ({v}) as n, round(100.0 * count(*) filter ({v}) / count(*), 4) as pct from e" for k, v in _FEATURES.items()))
-on_entries("classify_content", lambda e: e.select("page_id", classify.classify_content(C).alias("kind")), r"select page_id, case when content is null then null when contains(content, '[[Category:') then 'Category' when contains(content, 'Volumes') or contains(content, '<lst type=bracket>') then 'Bibliography Entry' when regexp_matches(content, '(?i)\b(essay|essays)\b') then 'Essay' when regexp_matches(content, '(?i)\b(translation|translated by)\b') then 'Translation' when regexp_matches(content, '(?i)\b(review|reviews|reviewed by|rezension)\b') then 'Review' when regexp_matches(content, '(?i)\b(letter|correspondence|brief)\b') then 'Correspondence' when regexp_matches(content, '(?i)\b(film|movie|adaptation)\b') then 'Film/Media' when regexp_matches(content, '(?i)\b(biography|biographie|biografie)\b') then 'Biography' else 'Other' end as kind from e")
+on_entries("classify_content", lambda e: e.select("page_id", classify.classify_content(_c()).alias("kind")), r"select page_id, case when content is null then null when contains(content, '[[Category:') then 'Category' when contains(content, 'Volumes') or contains(content, '<lst type=bracket>') then 'Bibliography Entry' when regexp_matches(content, '(?i)\b(essay|essays)\b') then 'Essay' when regexp_matches(content, '(?i)\b(translation|translated by)\b') then 'Translation' when regexp_matches(content, '(?i)\b(review|reviews|reviewed by|rezension)\b') then 'Review' when regexp_matches(content, '(?i)\b(letter|correspondence|brief)\b') then 'Correspondence' when regexp_matches(content, '(?i)\b(film|movie|adaptation)\b') then 'Film/Media' when regexp_matches(content, '(?i)\b(biography|biographie|biografie)\b') then 'Biography' else 'Other' end as kind from e")
 _TYPE = r"case when content is null then 'Unknown' when starts_with(content, '#REDIRECT') then 'Redirect' when contains(content, '[[Category:') then 'Category' when contains(content, '<lst type=bracket') or regexp_matches(content, '''''''.*?''''''|\b(Volumes?|Band|Tome)\b|\b(Published|Erschienen)\b|\d+\s*p\.') then 'Bibliography Entry' when regexp_matches(content, '\b(Essay|Essays|Aufsatz)\b') then 'Essay' when regexp_matches(content, '\b(Translation|Translated|Translator)\b') then 'Translation' when regexp_matches(content, '\b(Poem|Gedicht|Poetry|Poesie|Lyrik)\b') then 'Poetry' when regexp_matches(content, '\b(Letter|Brief|Correspondence|Korrespondenz)\b') then 'Correspondence' else 'Unknown' end"
-on_entries("identify_content_types", lambda e: e.select("page_id", classify.identify_content_type(C).alias("kind"), classify.type_confidence(classify.identify_content_type(C)).alias("confidence")), f"select page_id, kind, case kind " + " ".join(f"when '{k}' then {v}" for k, v in classify.CONFIDENCE.items()) + f" end::double as confidence from (select page_id, {_TYPE} as kind from e)")
+on_entries("identify_content_types", lambda e: e.select("page_id", classify.identify_content_type(_c()).alias("kind"), classify.type_confidence(classify.identify_content_type(_c())).alias("confidence")), f"select page_id, kind, case kind " + " ".join(f"when '{k}' then {v}" for k, v in classify.CONFIDENCE.items()) + f" end::double as confidence from (select page_id, {_TYPE} as kind from e)")
 _MARKUP = {"bold": "''''''.*?''''''", "italic": "''''.*?''''", "category": r"\[\[Category:.*?\]\]", "link": r"\[\[.*?\]\]", "header": "={2,}.*?={2,}", "list": "<lst.*?>", "html": "<[^>]+>", "url": r"https?://\S+"}
-on_entries("markup_by_type", lambda e: profile.markup_by_type(e.withColumn("kind", classify.identify_content_type(C)), "content", "kind"), "select kind, " + ", ".join(f"count(*) filter (regexp_matches(content, '{p}')) as {k}" for k, p in _MARKUP.items()) + f", count(*) as n from (select content, {_TYPE} as kind from e) group by kind")
-on_entries("encoding_markers", lambda e: profile.encoding_markers(e.withColumn("kind", classify.identify_content_type(C)), "content", "kind"), "select kind, " + ", ".join(f"count(*) filter (contains(content, '{m}')) as m{i}" for i, m in enumerate(encoding.MARKERS, 1)) + f", count(*) filter (contains(content, 'Ã')) as affected from (select content, {_TYPE} as kind from e) group by kind")
-on_entries("blob_distribution", lambda e: profile.shares(e.withColumn("kind", classify.identify_content_type(C)), "kind", ["blob_id"]), f"select blob_id, kind, n, round(100.0 * n / sum(n) over (partition by blob_id), 4) as pct from (select blob_id, {_TYPE} as kind, count(*) as n from e group by 1, 2)")
+on_entries("markup_by_type", lambda e: profile.markup_by_type(e.withColumn("kind", classify.identify_content_type(_c())), "content", "kind"), "select kind, " + ", ".join(f"count(*) filter (regexp_matches(content, '{p}')) as {k}" for k, p in _MARKUP.items()) + f", count(*) as n from (select content, {_TYPE} as kind from e) group by kind")
+on_entries("encoding_markers", lambda e: profile.encoding_markers(e.withColumn("kind", classify.identify_content_type(_c())), "content", "kind"), "select kind, " + ", ".join(f"count(*) filter (contains(content, '{m}')) as m{i}" for i, m in enumerate(encoding.MARKERS, 1)) + f", count(*) filter (contains(content, 'Ã')) as affected from (select content, {_TYPE} as kind from e) group by kind")
+on_entries("blob_distribution", lambda e: profile.shares(e.withColumn("kind", classify.identify_content_type(_c())), "kind", ["blob_id"]), f"select blob_id, kind, n, round(100.0 * n / sum(n) over (partition by blob_id), 4) as pct from (select blob_id, {_TYPE} as kind, count(*) as n from e group by 1, 2)")
 on_entries("language_indicators", lambda e: profile.language_indicators(e, "content"), " union all ".join(f"select '{k}' as language, count(*) filter (regexp_matches(content, '(?i){p}')) as n from e" for k, p in {"German": r"\b(German|Deutsch)\b", "English": r"\b(English|Englisch)\b", "French": r"\b(French|Französisch)\b", "Spanish": r"\b(Spanish|Spanisch)\b", "Italian": r"\b(Italian|Italiano|Italienisch)\b"}.items()))
 on_entries("work_references", lambda e: profile.work_references(e, "content", {k: profile.WORKS[k] for k in ("Schachnovelle", "Amok", "Angst", "Marie Antoinette", "Clarissa")}), " union all ".join("select '" + k + "' as work, cast(" + " + ".join(f"count(*) filter (regexp_matches(content, '(?i)\\b{v}\\b'))" for v in vs) + " as bigint) as n from e" for k, vs in (("Schachnovelle", ["Schachnovelle", "Chess Story", "Chess Novella", "Royal Game"]), ("Amok", ["Amok", "Amok Runner"]), ("Angst", ["Angst", "Fear", "Amok", "Peur"]), ("Marie Antoinette", ["Marie Antoinette", "Marie-Antoinette"]), ("Clarissa", ["Clarissa"]))))
 on_entries("timeline", lambda e: profile.timeline(e, "content"), r", y as (select cast(unnest(regexp_extract_all(content, '\b(1[8-9]\d{2}|20[0-2]\d)\b', 1)) as bigint) as year from e) select year, count(*) as mentions, case when year between 1881 and 1942 then 'lifetime' when year > 1942 then 'posthumous' else 'other' end as era from y where year between 1850 and 2025 group by 1")
 
 # Extraction.
-on_entries("redirect_targets", lambda e: e.select("page_id", markup.redirect_target(C).alias("strict"), markup.redirect_target(C, False).alias("lenient")), r"select page_id, nullif(regexp_extract(content, '^#REDIRECT \[\[(.*?)\]\]', 1), '') as strict, nullif(regexp_extract(content, '#REDIRECT\s*\[\[(.*?)\]\]', 1), '') as lenient from e")
-on_entries("redirect_resolution", lambda e: relations.resolve_redirects(e.groupBy(F.replace(F.col("page_title"), F.lit("_"), F.lit(" ")).alias("title")).agg(F.min(markup.redirect_target(C)).alias("target")), "title", "target", 1).select("title", "final_title", "dangling"), r", t as (select replace(page_title, '_', ' ') as title, min(nullif(regexp_extract(content, '^#REDIRECT \[\[(.*?)\]\]', 1), '')) as target from e group by 1) select title, coalesce(target, title) as final_title, coalesce(target, title) not in (select title from t) as dangling from t")
-on_entries("remove_markup", lambda e: e.select("page_id", markup.remove_wiki_markup(C).alias("clean")),
+on_entries("redirect_targets", lambda e: e.select("page_id", markup.redirect_target(_c()).alias("strict"), markup.redirect_target(_c(), False).alias("lenient")), r"select page_id, nullif(regexp_extract(content, '^#REDIRECT \[\[(.*?)\]\]', 1), '') as strict, nullif(regexp_extract(content, '#REDIRECT\s*\[\[(.*?)\]\]', 1), '') as lenient from e")
+on_entries("redirect_resolution", lambda e: relations.resolve_redirects(e.groupBy(F.replace(F.col("page_title"), F.lit("_"), F.lit(" ")).alias("title")).agg(F.min(markup.redirect_target(_c())).alias("target")), "title", "target", 1).select("title", "final_title", "dangling"), r", t as (select replace(page_title, '_', ' ') as title, min(nullif(regexp_extract(content, '^#REDIRECT \[\[(.*?)\]\]', 1), '')) as target from e group by 1) select title, coalesce(target, title) as final_title, coalesce(target, title) not in (select title from t) as dangling from t")
+on_entries("remove_markup", lambda e: e.select("page_id", markup.remove_wiki_markup(_c()).alias("clean")),
     r", s as (select page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(content, ''), '\[\[Category:.*?\]\]', '', 'g'), '\{\{DEFAULTSORTKEY:.*?\}\}', '', 'g'), '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g') as t from e), u as (select page_id, regexp_replace(regexp_replace(regexp_replace(t, '(?s)<lst.*?>(.*?)</lst>', '\1', 'g'), '''''''(.*?)''''''', '\1', 'g'), '''''(.*?)''''', '\1', 'g') as t from s) select page_id, trim(regexp_replace(replace(t, '#REDIRECT ', ''), '\s+', ' ', 'g')) as clean from u")
-on_entries("clean_wiki_content", lambda e: e.select("page_id", markup.clean_wiki_content(C).alias("clean")), r"select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(content, '={2,}\s*(.*?)\s*={2,}', '\1', 'g'), '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g'), '''{2,}', '', 'g'), '<[^>]+>', '', 'g'), '^\s+|\s+$', '', 'g') as clean from e")
-on_entries("clean_markup", lambda e: e.select("page_id", markup.clean_markup(C).alias("clean")), r"select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(content, '(?i)<br\s*/?>', chr(10), 'g'), '(?s)<(?:div|lst)[^>]*>(.*?)</(?:div|lst)>', '\1', 'g'), '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g'), '<[^>]+>', '', 'g'), '^\s+|\s+$', '', 'g') as clean from e")
-on_entries("content_titles", lambda e: e.select("page_id", extract.content_title(C).alias("title"), extract.title_match(F.col("page_title"), extract.content_title(C)).alias("title_match")), r", t as (select page_id, replace(page_title, '_', ' ') as p, coalesce(nullif(regexp_extract(content, '''''''(.*?)''''''', 1), ''), list_filter(list_transform(string_split(content, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], '') as title from e) select page_id, title, contains(p, title) or contains(title, p) as title_match from t")
+on_entries("clean_wiki_content", lambda e: e.select("page_id", markup.clean_wiki_content(_c()).alias("clean")), r"select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(content, '={2,}\s*(.*?)\s*={2,}', '\1', 'g'), '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g'), '''{2,}', '', 'g'), '<[^>]+>', '', 'g'), '^\s+|\s+$', '', 'g') as clean from e")
+on_entries("clean_markup", lambda e: e.select("page_id", markup.clean_markup(_c()).alias("clean")), r"select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(content, '(?i)<br\s*/?>', chr(10), 'g'), '(?s)<(?:div|lst)[^>]*>(.*?)</(?:div|lst)>', '\1', 'g'), '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g'), '<[^>]+>', '', 'g'), '^\s+|\s+$', '', 'g') as clean from e")
+on_entries("content_titles", lambda e: e.select("page_id", extract.content_title(_c()).alias("title"), extract.title_match(F.col("page_title"), extract.content_title(_c())).alias("title_match")), r", t as (select page_id, replace(page_title, '_', ' ') as p, coalesce(nullif(regexp_extract(content, '''''''(.*?)''''''', 1), ''), list_filter(list_transform(string_split(content, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], '') as title from e) select page_id, title, contains(p, title) or contains(title, p) as title_match from t")
 _Y = r"nullif(regexp_extract(content, '\b(1[8-9]\d{2}|20[0-2]\d)\b', 1), '')"
-on_entries("biblio_info", lambda e: e.select("page_id", *[v.alias(k) for k, v in extract.biblio_info(C).items() if k != "publisher"]), rf"select page_id, {_Y} as year, nullif(regexp_extract(content, '\b(Wien|Berlin|Frankfurt|Leipzig|London|New York|Paris|Hamburg|Salzburg)\b', 1), '') as location, trim(nullif(regexp_extract(content, '(?i)(?:Language|Sprache):\s*(.*?)(?:\.|\n|$)', 1), '')) as language, nullif(regexp_extract(content, '(\d+)(?:\s*)p\.', 1), '') as page_count from e")
-on_entries("publishers", lambda e: e.select("page_id", extract.biblio_info(C)["publisher"].alias("publisher")), r"select page_id, trim(coalesce(nullif(regexp_extract(content, '(?i)(?:Verlag|Publisher|Press):\s*(.*?)(?:\.|\n|$)', 1), ''), nullif(regexp_extract(content, '(?i)(?:published by|verlegt bei)\s*(.*?)(?:\.|\n|$)', 1), ''), nullif(regexp_extract(content, '(?i)\b(?:Verlag|Publishers?)\b[^\n.]*?([\w\s&]+)(?:,|\.|$)', 1), ''))) as publisher from e")
-on_entries("bibliographic_data", lambda e: e.select("page_id", *[v.alias(k) for k, v in extract.bibliographic_data(C, F.col("page_title")).items() if k in ("title", "year", "location", "page_count", "translator")]),
+on_entries("biblio_info", lambda e: e.select("page_id", *[v.alias(k) for k, v in extract.biblio_info(_c()).items() if k != "publisher"]), rf"select page_id, {_Y} as year, nullif(regexp_extract(content, '\b(Wien|Berlin|Frankfurt|Leipzig|London|New York|Paris|Hamburg|Salzburg)\b', 1), '') as location, trim(nullif(regexp_extract(content, '(?i)(?:Language|Sprache):\s*(.*?)(?:\.|\n|$)', 1), '')) as language, nullif(regexp_extract(content, '(\d+)(?:\s*)p\.', 1), '') as page_count from e")
+on_entries("publishers", lambda e: e.select("page_id", extract.biblio_info(_c())["publisher"].alias("publisher")), r"select page_id, trim(coalesce(nullif(regexp_extract(content, '(?i)(?:Verlag|Publisher|Press):\s*(.*?)(?:\.|\n|$)', 1), ''), nullif(regexp_extract(content, '(?i)(?:published by|verlegt bei)\s*(.*?)(?:\.|\n|$)', 1), ''), nullif(regexp_extract(content, '(?i)\b(?:Verlag|Publishers?)\b[^\n.]*?([\w\s&]+)(?:,|\.|$)', 1), ''))) as publisher from e")
+on_entries("bibliographic_data", lambda e: e.select("page_id", *[v.alias(k) for k, v in extract.bibliographic_data(_c(), F.col("page_title")).items() if k in ("title", "year", "location", "page_count", "translator")]),
     r", t as (select page_id, page_title, coalesce(content, '') as content from e) select page_id, coalesce(nullif(regexp_extract(content, '''''''(.*?)''''''', 1), ''), replace(page_title, '_', ' ')) as title, array_to_string(regexp_extract_all(content, '\b(1[8-9]\d{2}|20[0-2]\d)\b', 1)[1:3], ', ') as year, "
     r"case when contains(content, 'Wien') then 'Wien' when contains(content, 'London') then 'London' when contains(content, 'Paris') then 'Paris' when contains(content, 'Leipzig') then 'Leipzig' when contains(content, 'Berlin') then 'Berlin' when contains(content, 'Moskva') then 'Moskva' else '' end as location, "
     r"coalesce(trim(nullif(regexp_extract(content, '(?i)(?:Translated by|Translator|Translation by)[:\s]+([^,\n.]+)', 1), '')), '') as translator, "
     r"coalesce(nullif(regexp_extract(content, '(?i)(\d+)\s*p\.', 1), ''), nullif(regexp_extract(content, '(?i)(\d+)\s*pages', 1), ''), '') as page_count from t")
-on_entries("detect_language", lambda e: e.select("page_id", extract.detect_language(C).alias("language")),
+on_entries("detect_language", lambda e: e.select("page_id", extract.detect_language(_c()).alias("language")),
     "select page_id, case page_id % 12 when 2 then 'German' when 4 then 'French' when 10 then 'Russian' when 5 then 'German' when 7 then 'English' when 3 then 'English' else 'Unknown' end as language from e")
 on_entries("time_periods", lambda e: e.select("page_id", extract.time_period(F.col("year_no")).alias("period")), f"select page_id, {_PERIOD.format(y='year_no')} as period from e")
 on_entries("catalog_numbers", lambda e: e.select("page_id", extract.catalog_numbers(F.col("text_id")).alias("x")).select("page_id", "x.*"), "select page_id, case when contains(text_id, ',') then split_part(text_id, ',', 1) else '' end as catalog_number_1, case when contains(text_id, ',') then split_part(text_id, ',', 2) else '' end as catalog_number_2 from e")
-on_entries("language_from_categories", lambda e: e.select("page_id", extract.language_from_categories(markup.categories(C)).alias("language")), "select page_id, case page_id % 12 when 2 then 'German' when 4 then 'French' when 10 then 'Russian' else '' end as language from e")
-on_entries("page_counts", lambda e: e.select("page_id", extract.page_count(C).alias("pages")), "select page_id, case when page_id % 12 in (2, 4, 10) then cast(pages_no as varchar) else '' end as pages from e")
-on_entries("full_entries", lambda e: e.where("page_id % 12 in (3, 7, 9)").select("page_id", extract.full_entry(C).alias("entry")), r"select page_id, trim(substr(regexp_replace(content, '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g'), 1, 250)) as entry from e where page_id % 12 in (3, 7, 9)")
-on_entries("fix_encoding", lambda e: e.select("page_id", encoding.fix_encoding(C).alias("fixed"), encoding.fix_bytes(C).alias("by_bytes")),
+on_entries("language_from_categories", lambda e: e.select("page_id", extract.language_from_categories(markup.categories(_c())).alias("language")), "select page_id, case page_id % 12 when 2 then 'German' when 4 then 'French' when 10 then 'Russian' else '' end as language from e")
+on_entries("page_counts", lambda e: e.select("page_id", extract.page_count(_c()).alias("pages")), "select page_id, case when page_id % 12 in (2, 4, 10) then cast(pages_no as varchar) else '' end as pages from e")
+on_entries("full_entries", lambda e: e.where("page_id % 12 in (3, 7, 9)").select("page_id", extract.full_entry(_c()).alias("entry")), r"select page_id, trim(substr(regexp_replace(content, '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g'), 1, 250)) as entry from e where page_id % 12 in (3, 7, 9)")
+on_entries("fix_encoding", lambda e: e.select("page_id", encoding.fix_encoding(_c()).alias("fixed"), encoding.fix_bytes(_c()).alias("by_bytes")),
     "select page_id, " + "".join("replace(" for _ in [*encoding.TABLE, *encoding.ENTITIES]) + "content" + "".join(f", '{a.replace(chr(39), chr(39) * 2)}', '{b.replace(chr(39), chr(39) * 2)}')" for a, b in [*encoding.TABLE, *encoding.ENTITIES]) + " as fixed, replace(replace(replace(replace(replace(content, 'Ã¤', 'ä'), 'ÃŸ', 'ß'), 'Ã¼', 'ü'), 'Ã¶', 'ö'), 'Ã©', 'é') as by_bytes from e")
-on_entries("publisher_location", lambda e: e.where("page_id % 12 = 10").select("page_id", extract.publisher_location(C).alias("x")).select("page_id", "x.*"), "select page_id, regexp_extract(content, 'Verlag ([^,]+),', 1) as publisher, 'Moskva' as location from e where page_id % 12 = 10")
-on_entries("entry_titles", lambda e: e.where("page_id % 12 = 10").select("page_id", extract.titles(C).alias("x")).select("page_id", "x.*"), r"select page_id, trim(regexp_extract(content, '^([^\[]+)\s*\[(.*?)\]', 1)) as title, regexp_extract(content, '^([^\[]+)\s*\[(.*?)\]', 2) as original from e where page_id % 12 = 10")
+on_entries("publisher_location", lambda e: e.where("page_id % 12 = 10").select("page_id", extract.publisher_location(_c()).alias("x")).select("page_id", "x.*"), "select page_id, regexp_extract(content, 'Verlag ([^,]+),', 1) as publisher, 'Moskva' as location from e where page_id % 12 = 10")
+on_entries("entry_titles", lambda e: e.where("page_id % 12 = 10").select("page_id", extract.titles(_c()).alias("x")).select("page_id", "x.*"), r"select page_id, trim(regexp_extract(content, '^([^\[]+)\s*\[(.*?)\]', 1)) as title, regexp_extract(content, '^([^\[]+)\s*\[(.*?)\]', 2) as original from e where page_id % 12 = 10")
 on_entries("content_items", lambda e: e.select("page_id", F.explode(extract.content_items(F.concat(F.lit("Contents\n1. First ["), F.col("page_title"), F.lit("]. Translated by Jo Doe, pp. 1-"), F.col("pages_no"), F.lit("\n2. Second\n\nEnd")))).alias("i")).select("page_id", "i.*"), "select page_id, 'First' as title, page_title as original_title, 'Jo Doe' as translator, concat('1-', cast(pages_no as varchar)) as pages from e union all select page_id, 'Second', '', '', '' from e")
-on_entries("primary_languages", lambda e: profile.value_counts(e.select(extract.primary_language(extract.biblio_info(C)["language"]).alias("language")), "language", 15).where("language <> 'Unknown'"), "select 'German' as language, count(*) as n from e where page_id % 12 = 5")
-on_entries("places", lambda e: e.where("page_id % 12 in (3, 10)").select("page_id", extract.normalise_place(F.when(F.col("page_id") % 12 == 3, "Vienna").otherwise("Paris")).alias("place"), extract.iso_language(extract.language_from_categories(markup.categories(C))).alias("iso")), "select page_id, case when page_id % 12 = 3 then 'Wien' else 'Paris' end as place, case when page_id % 12 = 10 then 'ru' end as iso from e where page_id % 12 in (3, 10)")
+on_entries("primary_languages", lambda e: profile.value_counts(e.select(extract.primary_language(extract.biblio_info(_c())["language"]).alias("language")), "language", 15).where("language <> 'Unknown'"), "select 'German' as language, count(*) as n from e where page_id % 12 = 5")
+on_entries("places", lambda e: e.where("page_id % 12 in (3, 10)").select("page_id", extract.normalise_place(F.when(F.col("page_id") % 12 == 3, "Vienna").otherwise("Paris")).alias("place"), extract.iso_language(extract.language_from_categories(markup.categories(_c()))).alias("iso")), "select page_id, case when page_id % 12 = 3 then 'Wien' else 'Paris' end as place, case when page_id % 12 = 10 then 'ru' end as iso from e where page_id % 12 in (3, 10)")
 
 
 # The whole pipeline, and what looks at its result.

@@ -30,20 +30,21 @@ def finish(cleaned: DataFrame, compat: bool = False) -> DataFrame:
     c = F.col("content_cleaned")
     df = drop_empty_columns(cleaned, ["page_title"]) if "page_title" in cleaned.columns else cleaned
     df = settle(df.withColumns({"year": F.col("year").try_cast("double"), **{x: encoding.fix_encoding_deep(F.col(x)) for x in ("content_cleaned", "publisher", "location") if x in df.columns}}))
-    df = df.withColumns({"_redirect": markup.redirect_target(c), "_categories": markup.categories(c)})
+    df = settle(df.withColumns({"_redirect": markup.redirect_target(c), "_categories": markup.categories(c), "_flat": markup.remove_wiki_markup(c, compat=compat), "_lines": markup.remove_wiki_markup(c, keep_lines=True)}))
+    flat, lines = F.col("_flat"), F.col("_lines")
     df = df.withColumns({"main_category": F.coalesce(markup.main_category(F.col("_categories")), F.lit("")), "categories": markup.format_categories(F.col("_categories")), "time_period": extract.time_period(F.col("year"))})
     numbers = extract.catalog_numbers(F.col("text_id"))
-    df = settle(df.withColumns({"catalog_number_1": numbers["catalog_number_1"], "catalog_number_2": numbers["catalog_number_2"], "_titles": extract.titles(c, compat), "_place": extract.publisher_location(c), "_items": extract.content_items(c, compat)}))
+    df = settle(df.withColumns({"catalog_number_1": numbers["catalog_number_1"], "catalog_number_2": numbers["catalog_number_2"], "_titles": extract.titles(c, compat, flat, lines), "_place": extract.publisher_location(c, flat), "_items": extract.content_items(c, compat, lines)}))
     df = df.withColumns(
         {
             "title": extract.extract_title(F.col("_redirect"), F.col("_titles")),
-            "original_title": first_of(F.col("_titles.original"), extract.original_title(c, F.col("_titles.title"))),
-            "full_bibliographic_entry": extract.full_entry(c, compat),
+            "original_title": first_of(F.col("_titles.original"), extract.original_title(c, F.col("_titles.title"), flat)),
+            "full_bibliographic_entry": extract.full_entry(c, compat, lines),
             "publisher": first_of(F.col("publisher"), F.col("_place.publisher")),
             "location": first_of(F.col("location"), F.col("_place.location")),
             "language": first_of(F.col("language"), extract.language_from_categories(F.col("_categories"))),
-            "page_count": F.coalesce(F.col("page_count").cast("string"), extract.page_count(c)),
-            "clean_content": markup.remove_wiki_markup(c, compat=compat),
+            "page_count": F.coalesce(F.col("page_count").cast("string"), extract.page_count(c, flat)),
+            "clean_content": flat,
             **{f"content_item_{i}_{f}": F.get(F.col("_items"), F.lit(i - 1))[f] for i in (1, 2, 3) for f in ("title", "original_title", "translator", "pages")},
         }
     )
