@@ -140,9 +140,9 @@ def near_classes(docs: DataFrame, least: float = 0.8, per_band: int = 4) -> Data
     prints = cut(fingerprints(docs))
     kinds = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("doc_id", "th")).alias("of")).withColumn("kind", F.xxhash64("fingerprint"))
     kinds = cut(kinds)
-    octaves = F.length("fingerprint") / SAMPLES
+    octaves = (F.length("fingerprint") / SAMPLES).cast("int")
     spans = F.filter(F.array(octaves - 1, octaves - 2, octaves - 3), lambda k: k >= 0)
-    own = kinds.where("fingerprint <> ''").select("kind", "fingerprint", F.explode(spans).cast("int").alias("o")).select("kind", "o", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(SAMPLES // per_band - 1)), lambda i: F.substring(F.col("fingerprint"), F.col("o") * SAMPLES + i * per_band + 1, F.lit(per_band)))).alias("band", "bits"))
+    own = kinds.where("fingerprint <> ''").select("kind", "fingerprint", F.explode(spans).alias("o")).select("kind", "o", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(SAMPLES // per_band - 1)), lambda i: F.substring(F.col("fingerprint"), F.col("o") * SAMPLES + i * per_band + 1, F.lit(per_band)))).alias("band", "bits"))
     lead = own.groupBy("o", "band", "bits").agg(F.min("kind").alias("lead"), F.count("*").alias("n")).where("n > 1")
     pairs = own.join(lead, ["o", "band", "bits"]).where("kind <> lead").select("kind", "lead").distinct()
     texts = docs.select(F.col("doc_id"), text_hash().alias("th"), "text").join(kinds.select(F.col("of.doc_id").alias("k_id"), F.col("of.th").alias("k_th"), "kind"), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th"))).groupBy("kind").agg(F.first("text").alias("text"))

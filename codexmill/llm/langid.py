@@ -106,7 +106,7 @@ class Scorer:
     def __init__(self, model: Model, cache: int = 200_000):
         self.m, self.limit = model, cache
         self.index = dict(model.words)
-        self.rows = np.zeros((len(model.words) + cache + 1, max(1, len(model.langs))), np.float32)
+        self.rows = np.zeros((len(model.words) + cache + 1, len(model.langs)), np.float32)
         self.rows[: len(model.words)] = model.word_logs
         self.used = self.base = len(model.words)
 
