@@ -5,7 +5,9 @@ A window is `width` consecutive words. Each window is assigned to an anchor, the
 anchor form a segment. So whatever repeats meets under one anchor:
 
 1. anchors that occur once are dropped, and with them all that is unique;
-2. equal segments are counted before anything is gathered: all windows of one that occurs twice repeat;
+2. equal segments are counted before anything is gathered: all windows of one that occurs twice repeat.
+   Those that occur very often are few; they are broadcast (if their number allows) and looked up
+   where the documents are;
 3. the different segments of an anchor go to shards. A shard builds a compressed FM-index (wavelet
    matrix) over blocks of its segments and streams their windows through backward search: a window
    repeats if its matching statistic reaches the width in two places;
@@ -24,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.llm.common import cut, partitions, text_hash
+from codexmill.llm.common import BROADCAST_ROWS, cut, partitions, text_hash
 from codexmill.llm.fmindex import FMIndex
 from codexmill.llm.textkit import _SEEDS, BLANK, Hasher, U, grams, mix
 
 GRAM = 8
 #: Words in a block that an FM-index is built over, at least; one anchor's segments stay together.
 BLOCK_WORDS = 200_000
+#: A segment that occurs so often is found in the documents against a broadcast, not by a shuffle.
+COMMON = 500
 #: An anchor with more different segments than this is counted by window instead.
 SEGMENTS = 4_000
 
@@ -61,21 +65,53 @@ def _runs(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray
     return row[first], first - starts[row[first]], count, g[anchor], mix(total)
 
 
-def _segments(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, th, anchor, seg, place (first window << 8 | windows)."""
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among known, sorted and not empty."""
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return known[at] == values
+
+
+def _segments(docs: DataFrame, width: int, anchors: np.ndarray | None = None, without: np.ndarray | None = None) -> DataFrame:
+    """doc_id, th, anchor, seg, place (first window << 8 | windows): of some anchors only, or without some segments (both sorted, from a broadcast)."""
+    given = docs.sparkSession.sparkContext.broadcast((anchors, without))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors, without = given.value
         hasher = Hasher(BLANK, lower=False)
         for b in batches:
             for lo, _, words, starts in hasher.rows(b.column("text")):
                 row, first, count, anchor, seg = _runs(words, starts, width)
+                anchor, seg = anchor.view(np.int64), seg.view(np.int64)
+                if anchors is not None or without is not None:
+                    stay = _among(anchor, anchors) if anchors is not None else ~_among(seg, without)
+                    row, first, count, anchor, seg = row[stay], first[stay], count[stay], anchor[stay], seg[stay]
                 at = pa.array(row + lo)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("th").take(at), pa.array(anchor.view(np.int64)), pa.array(seg.view(np.int64)), pa.array(first << 8 | count)], ["doc_id", "th", "anchor", "seg", "place"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("th").take(at), pa.array(anchor), pa.array(seg), pa.array(first << 8 | count)], ["doc_id", "th", "anchor", "seg", "place"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_hash().alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, anchor long, seg long, place long")
 
 
+def _common_hits(docs: DataFrame, width: int, common: np.ndarray) -> DataFrame:
+    """doc_id, th, found: the documents' segments among common, all of whose windows repeat; one row a document."""
+    given = docs.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(BLANK, lower=False)
+        for b in batches:
+            for lo, hi, words, starts in hasher.rows(b.column("text")):
+                row, first, count, _, seg = _runs(words, starts, width)
+                hit = _among(seg.view(np.int64), given.value) if len(seg) else np.zeros(0, bool)
+                row, e = row[hit], first[hit] << 32 | ((np.int64(1) << count[hit]) - 1)
+                ends = np.searchsorted(row, np.arange(hi - lo + 1))
+                some = pa.array(np.flatnonzero(np.diff(ends)))
+                found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(e))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo).take(some), b.column("th").slice(lo, hi - lo).take(some), found.take(some)], ["doc_id", "th", "found"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", text_hash().alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, found array<long>")
+
+
 def _with_entries(docs: DataFrame, entries: DataFrame, how: str) -> DataFrame:
     """docs joined with entries (doc_id, th, found array): rest (a struct of the columns besides text), text, found."""
     keyed = entries.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "found")
@@ -155,14 +191,30 @@ def _search(contents: DataFrame, width: int) -> DataFrame:
     return contents.repartition(partitions(contents.sparkSession), "anchor").sortWithinPartitions("anchor").mapInArrow(run, f"doc_id {kind}, th long, e long")
 
 
+def _common(docs: DataFrame, width: int, often: DataFrame) -> DataFrame | None:
+    """Segments that occur COMMON times or more, one row each as in kinds; None if there are none, or too many to broadcast."""
+    hot = often.where(F.col("k") >= COMMON).select("anchor").limit(BROADCAST_ROWS + 1).toPandas()["anchor"].to_numpy()
+    if not 0 < len(hot) <= BROADCAST_ROWS:
+        return None
+    found = cut(_kinds(_segments(docs, width, anchors=np.sort(hot))).where(F.col("m") >= COMMON))
+    return found if found.limit(1).count() else None
+
+
+def _kinds(segments: DataFrame) -> DataFrame:
+    """One row for each segment that differs: how often it occurs, and one place where it does."""
+    return segments.groupBy("anchor", "seg").agg(F.count("*").alias("m"), F.first("doc_id").alias("doc_id"), F.first("th").alias("th"), F.first("place").alias("place"))
+
+
 def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, th, found: per document its repeated windows, each entry first window << 32 | mask."""
     if width < GRAM + 1 or width > 39:
         raise ValueError("width must be 9 to 39")
-    all_segments = _segments(docs, width)
-    often = cut(all_segments.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor"))
-    segments = cut(all_segments.join(often, "anchor"))  # both sides plain exchanges: Spark can split a hot anchor
-    kinds = cut(segments.groupBy("anchor", "seg").agg(F.count("*").alias("m"), F.first("doc_id").alias("doc_id"), F.first("th").alias("th"), F.first("place").alias("place")))
+    often = cut(_segments(docs, width).groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1"))
+    common = _common(docs, width, often)
+    known = None if common is None else np.sort(common.select("seg").toPandas()["seg"].to_numpy())
+    segments = cut(_segments(docs, width, without=known).join(often.select("anchor"), "anchor"))  # both sides plain exchanges: Spark can split a hot anchor
+    kinds = _kinds(segments)
+    kinds = cut(kinds if common is None else kinds.union(common))
     several = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("m") == 1).alias("lone")).where("kinds > 1 and lone > 0").select("anchor", "kinds"))
     hot = several.where(F.col("kinds") > SEGMENTS).count()
     different = kinds.join(several, "anchor").withColumn("lone", F.col("m") == 1)
@@ -175,7 +227,10 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
         twice = cut(one.groupBy("anchor", "hash").agg(F.count("*").alias("k")).where("k > 1").select("anchor", "hash"))
         again = one.where("lone").join(twice, ["anchor", "hash"], "left_semi").groupBy("doc_id", "th", "place").agg(F.expr("bit_or(shiftleft(1L, cast(bit as int)))").alias("mask"))
         hits = hits.union(again.selectExpr("doc_id", "th", "shiftleft(shiftright(place, 8), 32) | mask as e"))
-    return cut(hits.groupBy("doc_id", "th").agg(F.collect_set("e").alias("found")))
+    found = hits.groupBy("doc_id", "th").agg(F.collect_set("e").alias("found"))
+    if known is not None:
+        found = found.union(_common_hits(docs, width, known)).groupBy("doc_id", "th").agg(F.flatten(F.collect_set("found")).alias("found"))
+    return cut(found)
 
 
 #: A word with the blanks before it.
