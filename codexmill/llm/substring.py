@@ -26,15 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.llm.common import BROADCAST_ROWS, cut, partitions, text_hash
+from codexmill.llm.common import cut, partitions, text_hash
 from codexmill.llm.fmindex import FMIndex
 from codexmill.llm.textkit import _SEEDS, BLANK, Hasher, U, grams, mix
 
 GRAM = 8
 #: Words in a block that an FM-index is built over, at least; one anchor's segments stay together.
 BLOCK_WORDS = 200_000
-#: A segment that occurs so often is found in the documents against a broadcast, not by a shuffle.
-COMMON = 500
+#: A segment that occurs so often is found in the documents against a broadcast, not by a shuffle,
+#: as long as there are no more such anchors than this (a few MB; else fewer, commoner ones).
+COMMON, BROADCAST_ANCHORS = 16, 200_000
 #: An anchor with more different segments than this is counted by window instead.
 SEGMENTS = 4_000
 
@@ -192,12 +193,20 @@ def _search(contents: DataFrame, width: int) -> DataFrame:
 
 
 def _common(docs: DataFrame, width: int, often: DataFrame) -> DataFrame | None:
-    """Segments that occur COMMON times or more, one row each as in kinds; None if there are none, or too many to broadcast."""
-    hot = often.where(F.col("k") >= COMMON).select("anchor").limit(BROADCAST_ROWS + 1).toPandas()["anchor"].to_numpy()
-    if not 0 < len(hot) <= BROADCAST_ROWS:
+    """The commonest segments, one row each as in kinds; None if there are none.
+
+    They occur COMMON times or more, or as many times more as it takes for their anchors to be no more
+    than BROADCAST_ANCHORS, whatever the corpus's size.
+    """
+    found = {r["e"]: r["n"] for r in often.groupBy(F.floor(F.log2("k")).alias("e")).agg(F.count("*").alias("n")).collect()}
+    least = COMMON
+    while sum(n for e, n in found.items() if 2 << e > least) > BROADCAST_ANCHORS:  # 2 << e: above all k of e
+        least *= 2
+    hot = often.where(F.col("k") >= least).select("anchor").toPandas()["anchor"].to_numpy()
+    if not len(hot):
         return None
-    found = cut(_kinds(_segments(docs, width, anchors=np.sort(hot))).where(F.col("m") >= COMMON))
-    return found if found.limit(1).count() else None
+    kinds = cut(_kinds(_segments(docs, width, anchors=np.sort(hot))).where(F.col("m") >= least))
+    return kinds if kinds.limit(1).count() else None
 
 
 def _kinds(segments: DataFrame) -> DataFrame:
