@@ -16,6 +16,7 @@ from codexmill.functions import text as tx
 from codexmill.operators import profile, relations, search
 from codexmill.plans import pipeline
 from codexmill.sources import dump
+from codexmill.sources.schemas import FINAL
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -240,18 +241,22 @@ on_entries("places", lambda e: e.where("page_id % 12 in (3, 10)").select("page_i
 
 
 # The whole pipeline, and what looks at its result.
-def _final(e: DataFrame) -> DataFrame:
-    return pipeline.finish(pipeline.clean_step(pipeline.analyse(e.select("page_id", "page_title", "text_id", "content", F.lit("utf-8").alias("flags"), "blob_id"))))
+def _final(e: DataFrame, *columns: str) -> DataFrame:
+    """The final table, or only some of its columns."""
+    return pipeline.finish(pipeline.clean_step(pipeline.analyse(e.select("page_id", "page_title", "text_id", "content", F.lit("utf-8").alias("flags"), "blob_id"))), columns=columns or FINAL)
+
+
+_FACETS = ("page_id", "main_category", "language", "time_period", "year")
 
 
 on_entries("final_table", _final)
 on_entries("validate_final", lambda e: profile.validate(_final(e)))
 _FINAL = rf", f as (select page_id, coalesce({_Y}, '') as y, coalesce(trim(split_part(regexp_extract(content, '\[\[Category:(.*?)\]\]', 1), '/', 1)), '') as main_category, case page_id % 12 when 2 then 'German' when 4 then 'French' when 10 then 'Russian' when 5 then 'German' else '' end as language from e), g as (select *, {_PERIOD.format(y='try_cast(y as double)')} as time_period from f)"
-on_entries("facet_counts", lambda e: search.facet_counts(_final(e)), f"{_FINAL} select facet, value, count(*) as n from (select 'category' as facet, main_category as value from g union all select 'language', language from g union all select 'timePeriod', time_period from g) where value <> '' group by 1, 2")
-on_entries("facet_years", lambda e: search.facet_values(_final(e), "year").select(F.col("value").try_cast("double").alias("value")), f"{_FINAL} select distinct cast(y as double) as value from g where y <> ''")
-on_entries("search_entries", lambda e: search.search(_final(e), "marie ANTOINETTE", timePeriod=extract.PERIODS[1]).select("page_id"), f"{_FINAL} select page_id from g where page_id % 12 = 7 and time_period = '{extract.PERIODS[1]}'")
-on_entries("search_year", lambda e: search.search(_final(e), "", category="Fiction", year="1902").select("page_id", "language"), f"{_FINAL} select page_id, language from g where main_category = 'Fiction' and y = '1902'")
-on_entries("dashboard", lambda e: search.dashboard(_final(e)), f"{_FINAL}, t as (select count(*) as n, min(try_cast(y as double)) as a, max(try_cast(y as double)) as b from g), c as (select main_category as label, count(*) as n from g where main_category <> '' group by 1 order by n desc, label limit 12), l as (select language as label, count(*) as n from g where language <> '' group by 1 order by n desc, label limit 10) select 'total' as part, 'entries' as label, n::double as n from t union all select 'total', 'first_year', a from t union all select 'total', 'last_year', b from t union all select 'category', label, n from c union all select 'language', label, n from l union all select 'period', time_period, count(*) from g where time_period <> '' group by 2")
+on_entries("facet_counts", lambda e: search.facet_counts(_final(e, *_FACETS)), f"{_FINAL} select facet, value, count(*) as n from (select 'category' as facet, main_category as value from g union all select 'language', language from g union all select 'timePeriod', time_period from g) where value <> '' group by 1, 2")
+on_entries("facet_years", lambda e: search.facet_values(_final(e, "year"), "year").select(F.col("value").try_cast("double").alias("value")), f"{_FINAL} select distinct cast(y as double) as value from g where y <> ''")
+on_entries("search_entries", lambda e: search.search(_final(e, *_FACETS, *search.SEARCHED), "marie ANTOINETTE", timePeriod=extract.PERIODS[1]).select("page_id"), f"{_FINAL} select page_id from g where page_id % 12 = 7 and time_period = '{extract.PERIODS[1]}'")
+on_entries("search_year", lambda e: search.search(_final(e, *_FACETS), "", category="Fiction", year="1902").select("page_id", "language"), f"{_FINAL} select page_id, language from g where main_category = 'Fiction' and y = '1902'")
+on_entries("dashboard", lambda e: search.dashboard(_final(e, *_FACETS)), f"{_FINAL}, t as (select count(*) as n, min(try_cast(y as double)) as a, max(try_cast(y as double)) as b from g), c as (select main_category as label, count(*) as n from g where main_category <> '' group by 1 order by n desc, label limit 12), l as (select language as label, count(*) as n from g where language <> '' group by 1 order by n desc, label limit 10) select 'total' as part, 'entries' as label, n::double as n from t union all select 'total', 'first_year', a from t union all select 'total', 'last_year', b from t union all select 'category', label, n from c union all select 'language', label, n from l union all select 'period', time_period, count(*) from g where time_period <> '' group by 2")
 on_entries("entry_page", lambda e: search.page(e.select("page_id", "page_title"), "page_title", 2, 10), "select page_id, page_title from e order by page_title, page_id limit 10 offset 20")
 on_entries("entry_detail", lambda e: search.detail(search.by_id(e.select("page_id", F.lit("").alias("title"), F.lit(None).cast("string").alias("publisher")), 7)), "select cast(page_id as varchar) as page_id, 'Untitled' as title, '-' as publisher from e where page_id = 7")
 

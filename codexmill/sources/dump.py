@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,6 +17,8 @@ COMPAT_WINDOW = 2000
 # A tuple `(id, _binary 'content', _binary 'flags')` as it stands in a dump.
 TUPLE = r"\((\d+),\s*_binary '((?:[^'\\]|\\.|'')*)',\s*_binary '((?:[^'\\]|\\.|'')*)'\)"
 
+STOP = re.compile(r"['\\]")
+
 
 def read_blobs(spark: SparkSession, glob: str) -> DataFrame:
     """Files as rows (blob_id by the number that ends the name, path, content bytes); missing files are no error within a glob."""
@@ -55,7 +58,8 @@ def insert_tuples(blobs: DataFrame, text: str = "text", compat: bool = False) ->
                         i += len(quote)
                         begin = i
                         while i < len(text):
-                            stop = min((k for k in (text.find("'", i), text.find("\\", i)) if k >= 0), default=len(text))
+                            found = STOP.search(text, i)  # not two find()s: one that finds nothing would read to the end each time
+                            stop = found.start() if found else len(text)
                             if stop >= len(text):
                                 i = stop
                             elif text[stop] == "\\" or text[stop : stop + 2] == "''":
