@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +28,9 @@ def cut(df: DataFrame) -> DataFrame:
     if not spark.conf.get("spark.checkpoint.dir", None):
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="codexmill-checkpoint-"))
+            folder = tempfile.mkdtemp(prefix="codexmill-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            context.setCheckpointDir(folder)
     done = df.checkpoint(eager=True)
     del df
     release(spark)

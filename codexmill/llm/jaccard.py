@@ -159,7 +159,7 @@ def ngram_jaccard(docs: DataFrame, width: int = 5, percent: int = 80, slack: flo
     comps = link_sets(candidates(docs, rows, width, percent, slack), percent)
     sets = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "th")).alias("head"))
     placed = cut(sets.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")))
-    tops = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.min("head").alias("head"))
+    tops = cut(placed.groupBy("root").agg(F.min("least").alias("component_id"), F.min("head").alias("head")))  # a plain exchange follows: a large component can be split
     named = placed.select("sid", "root").join(tops, "root").select("sid", "component_id", "head")
     full = rows.where("n > 0").join(named, "sid").select("doc_id", "th", F.col("n").alias("n_shingles"), "component_id", (F.struct("doc_id", "th").eqNullSafe(F.col("head"))).alias("first"))
     return full.union(rows.where("n = 0").select("doc_id", "th", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("first")))
