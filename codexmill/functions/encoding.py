@@ -26,6 +26,8 @@ TABLE: list[tuple[str, str]] = [
     ("Ã¦", "æ"), ("Å¸", "ÿ"),
     ("â€™", "'"), ("â€œ", '"'), ("â€\x9d", '"'), ("â€“", "–"), ("â€”", "—"),
 ]
+# What the table also replaced once, in compat mode only, as it damages texts that are right.
+COMPAT: list[tuple[str, str]] = [("w re ", "wäre "), ("kongre ", "kongre"), ("gre es", "greßes"), ("Ä", "č"), ("Ð", "И"), ("Ñ", "Н"), ('Å"', "œ")]
 # Entities and what they stand for; &amp; comes last, so that nothing is decoded twice.
 ENTITIES: list[tuple[str, str]] = [
     ("&nbsp;", " "), ("&mdash;", "—"), ("&ndash;", "–"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
@@ -68,9 +70,10 @@ def remove_controls(c: Column) -> Column:
     return F.regexp_replace(c, "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F​‌‍⁠﻿]", "")
 
 
-def fix_encoding(c: Column) -> Column:
-    """Table, entities, controls; null stays null."""
-    return remove_controls(decode_entities(fix_table(c)))
+def fix_encoding(c: Column, compat: bool = False) -> Column:
+    """Table, entities, controls; null stays null. compat goes on with substitutions that were once part of the table."""
+    t = fix_table(c)
+    return remove_controls(decode_entities(fix_table(t, COMPAT) if compat else t))
 
 
 def fix_encoding_deep(c: Column) -> Column:

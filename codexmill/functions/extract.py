@@ -34,7 +34,16 @@ VOTES = {
 CATEGORY_LANGUAGE = rf"\[\[Category:.*?\(({EIGHT})\)\]\]"
 LANGUAGES = ["Russian", "German", "English", "French", "Spanish", "Italian", "Portuguese", "Japanese", "Chinese", "Arabic", "Hindi", "Sanskrit", "Hebrew"]
 ISO = {"German": "de", "English": "en", "French": "fr", "Spanish": "es", "Italian": "it", "Russian": "ru", "Portuguese": "pt", "Japanese": "ja", "Chinese": "zh", "Arabic": "ar", "Hindi": "hi", "Sanskrit": "sa", "Hebrew": "he"}
-PLACES = {"Vienna": "Wien", "Moscow": "Moskva", "Moskau": "Moskva", "Prag": "Praha", "Prague": "Praha", "Warsaw": "Warszawa", "Munich": "München", "Zurich": "Zürich"}
+PLACES = {"Wien": "Vienna", "Zürich": "Zurich", "München": "Munich", "Köln": "Cologne", "Praha": "Prague", "Moskva": "Moscow"}
+SCORED_YEARS = [(r"(?:published|erschienen|veröffentlicht).*?(\d{4})", 0.9), (r"\[(\d{4})\]", 0.8), (YEAR, 0.7)]
+SCORED_PUBLISHERS = [(PUBLISHER_WIDE[0], 0.9), (PUBLISHER_WIDE[1], 0.9), (PUBLISHER_WIDE[2], 0.8)]
+ISO_INDICATORS = {
+    "de": ["verlag", "deutsche", "herausgegeben", "übersetzt"],
+    "en": ["publisher", "english", "translated", "edited by"],
+    "fr": ["édition", "française", "traduit", "publié"],
+    "es": ["edición", "española", "traducido", "publicado"],
+    "it": ["edizione", "italiana", "tradotto", "pubblicato"],
+}
 SENTENCE_END = r"(?<!\w)\.(?!\w)"
 PERIODS = ["Before 1881", "1881-1942 (Lifetime)", "1943-1980 (Post-war)", "1981-2000 (Late 20th century)", "2001-present (21st century)"]
 
@@ -216,9 +225,23 @@ def iso_language(language: Column) -> Column:
     return F.create_map(*[F.lit(x) for p in ISO.items() for x in p])[language]
 
 
+def _scored(c: Column, options: list[tuple[str, float]], name: str) -> Column:
+    found = [strip(first(c, p, ignore_case=True)) for p, _ in options]
+    return F.coalesce(*[F.when(f.isNotNull(), F.struct(f.alias(name), F.lit(s).alias("confidence"))) for f, (_, s) in zip(found, options, strict=True)])
+
+
 def scored_year(c: Column) -> Column:
-    """A struct of year and confidence: after a copyright or publishing word, in brackets, anywhere."""
-    options = [(rf"(?:©|Copyright|published|erschienen)\D{{0,20}}{YEAR}", 0.95), (rf"\({YEAR}\)", 0.85), (YEAR, 0.6)]
-    found = [first(c, p, 1, ignore_case=True) for p, _ in options]
-    chosen = F.coalesce(*[F.when(f.isNotNull(), F.struct(f.alias("year"), F.lit(s).alias("confidence"))) for f, (_, s) in zip(found, options, strict=True)])
-    return chosen
+    """A struct of year and confidence, by the surest pattern that is found; null without a year."""
+    return _scored(c, SCORED_YEARS, "year")
+
+
+def scored_publisher(c: Column) -> Column:
+    return _scored(c, SCORED_PUBLISHERS, "publisher")
+
+
+def iso_by_indicators(c: Column) -> Column:
+    """The language with the most indicator words in the text, ties by their order; null without any."""
+    low = F.lower(c)
+    scores = F.array(*[F.struct(votes(*[F.coalesce(low.contains(w), F.lit(False)) for w in words]).alias("n"), F.lit(-i).alias("i"), F.lit(k).alias("k")) for i, (k, words) in enumerate(ISO_INDICATORS.items())])
+    best = F.array_max(scores)
+    return F.when(best["n"] > 0, best["k"])

@@ -185,6 +185,23 @@ def pattern_summary(df: DataFrame, c: str) -> DataFrame:
     return long_form(row, "feature", "v").select("feature", "v.n", "v.pct")
 
 
+def bibliography_patterns(df: DataFrame, c: str, kind: str, label: str = "Bibliography Entry") -> DataFrame:
+    """pattern, n, pct over eight patterns, in the rows of one type; publisher to page_count are columns."""
+    t = F.col(c)
+    tests = {"has_volumes_header": has(t, "===Volumes==="), "has_triple_quotes": has(t, "'''"), "has_lst_tag": has(t, "<lst"), **{f"has_{x}": F.col(x).isNotNull() for x in ("publisher", "year", "location", "page_count")}, "is_redirect": F.coalesce(t.startswith("#REDIRECT"), F.lit(False))}
+    row = df.where(F.col(kind) == label).agg(*[F.struct(F.count_if(v).alias("n"), F.round(100 * F.avg(v.cast("int")), 4).alias("pct")).alias(k) for k, v in tests.items()])
+    return long_form(row, "pattern", "v").select("pattern", "v.n", "v.pct")
+
+
+def true_rate(df: DataFrame, c: Column) -> DataFrame:
+    return df.agg(F.round(100 * F.avg(c.cast("int")), 4).alias("pct"))
+
+
+def all_equal(df: DataFrame, c: str) -> DataFrame:
+    """Whether a column has one value only; nulls don't count."""
+    return df.agg((F.countDistinct(c) == 1).alias("all_equal"))
+
+
 def markup_by_type(df: DataFrame, c: str, kind: str) -> DataFrame:
     """Per type the number of rows with each kind of markup, all in one pass."""
     return df.groupBy(kind).agg(*[F.count_if(matches(F.col(c), p)).alias(k) for k, p in FEATURES.items()], F.count("*").alias("n"))

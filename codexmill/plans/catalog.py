@@ -237,7 +237,15 @@ on_entries("publisher_location", lambda e: e.where("page_id % 12 = 10").select("
 on_entries("entry_titles", lambda e: e.where("page_id % 12 = 10").select("page_id", extract.titles(_c()).alias("x")).select("page_id", "x.*"), r"select page_id, trim(regexp_extract(content, '^([^\[]+)\s*\[(.*?)\]', 1)) as title, regexp_extract(content, '^([^\[]+)\s*\[(.*?)\]', 2) as original from e where page_id % 12 = 10")
 on_entries("content_items", lambda e: e.select("page_id", F.explode(extract.content_items(F.concat(F.lit("Contents\n1. First ["), F.col("page_title"), F.lit("]. Translated by Jo Doe, pp. 1-"), F.col("pages_no"), F.lit("\n2. Second\n\nEnd")))).alias("i")).select("page_id", "i.*"), "select page_id, 'First' as title, page_title as original_title, 'Jo Doe' as translator, concat('1-', cast(pages_no as varchar)) as pages from e union all select page_id, 'Second', '', '', '' from e")
 on_entries("primary_languages", lambda e: profile.value_counts(e.select(extract.primary_language(extract.biblio_info(_c())["language"]).alias("language")), "language", 15).where("language <> 'Unknown'"), "select 'German' as language, count(*) as n from e where page_id % 12 = 5")
-on_entries("places", lambda e: e.where("page_id % 12 in (3, 10)").select("page_id", extract.normalise_place(F.when(F.col("page_id") % 12 == 3, "Vienna").otherwise("Paris")).alias("place"), extract.iso_language(extract.language_from_categories(markup.categories(_c()))).alias("iso")), "select page_id, case when page_id % 12 = 3 then 'Wien' else 'Paris' end as place, case when page_id % 12 = 10 then 'ru' end as iso from e where page_id % 12 in (3, 10)")
+on_entries("places", lambda e: e.where("page_id % 12 in (3, 10)").select("page_id", extract.normalise_place(F.when(F.col("page_id") % 12 == 3, "Wien").otherwise("Paris")).alias("place"), extract.iso_language(extract.language_from_categories(markup.categories(_c()))).alias("iso")), "select page_id, case when page_id % 12 = 3 then 'Vienna' else 'Paris' end as place, case when page_id % 12 = 10 then 'ru' end as iso from e where page_id % 12 in (3, 10)")
+
+on_entries("scored_fields", lambda e: e.select("page_id", extract.scored_year(_c()).alias("y"), extract.iso_by_indicators(_c()).alias("iso")).select("page_id", "y.year", "y.confidence", "iso"),
+    r", t as (select page_id, lower(content) as low, nullif(regexp_extract(content, '(?i)(?:published|erschienen).*?(\d{4})', 1), '') as a, nullif(regexp_extract(content, '\[(\d{4})\]', 1), '') as b, " + _Y + " as c from e) select page_id, coalesce(a, b, c) as year, case when a is not null then 0.9 when b is not null then 0.8 when c is not null then 0.7 end::double as confidence, case when low is null then null when contains(low, 'verlag') then 'de' when contains(low, 'english') or contains(low, 'translated') then 'en' end as iso from t")
+on_entries("bibliography_patterns", lambda e: profile.bibliography_patterns(e.select("content", classify.classify_content(_c()).alias("kind"), *[v.alias(k) for k, v in extract.biblio_info(_c()).items()]), "content", "kind", "Category"),
+    r", b as (select * from e where page_id % 12 in (2, 4, 10)), n as (select count(*) as n, count(*) filter (page_id % 12 = 2) as two, count(*) filter (page_id % 12 = 4) as four, count(*) filter (page_id % 12 = 10) as ten, count(*) filter (regexp_matches(content, '\b(1[8-9]\d{2}|20[0-2]\d)\b')) as y from b) select pattern, k as n, round(100.0 * k / n, 4) as pct from (" + " union all ".join(f"select '{p}' as pattern, {v} as k, n from n" for p, v in (("has_volumes_header", "two"), ("has_triple_quotes", "two + four"), ("has_lst_tag", "two"), ("has_publisher", "two + ten"), ("has_year", "y"), ("has_location", "two + four"), ("has_page_count", "two + ten"), ("is_redirect", "0"))) + ")")
+on_entries("title_match_rate", lambda e: profile.true_rate(e, extract.title_match(F.col("page_title"), extract.content_title(_c()))), r", t as (select replace(page_title, '_', ' ') as p, coalesce(nullif(regexp_extract(content, '(.*?)', 1), ''), list_filter(list_transform(string_split(content, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], '') as title from e) select round(100.0 * count(*) filter (contains(p, title) or contains(title, p)) / count(*), 4) as pct from t")
+on_entries("types_unknown_last", lambda e: relations.unknown_last(e.groupBy(classify.identify_content_type(_c()).alias("kind")).agg(F.count("*").alias("n")), "kind", "n"), f"select {_TYPE} as kind, count(*) as n from e group by 1")
+on_entries("one_blob_per_id", lambda e: profile.all_equal(e.where("page_id % 8 = 3"), "blob_id"), "select count(distinct blob_id) = 1 as all_equal from e where page_id % 8 = 3")
 
 
 # The whole pipeline, and what looks at its result.

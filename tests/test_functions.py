@@ -51,6 +51,10 @@ def test_encoding(spark, broken, repaired):
     assert one(spark, encoding.fix_encoding_deep, broken) == repaired
 
 
+def test_encoding_compat(spark):
+    assert one(spark, lambda c: encoding.fix_encoding(c, compat=True), "Ärger Ñandú") == "črger Нandú"
+
+
 @pytest.mark.parametrize("broken,repaired", [("wÃ¤re", "wäre"), ("â€œAâ€™", "“A’"), ("KongreÃŸes", "Kongreßes"), ("Ñandú", "Ñandú"), ("日本 Ã¤", "日本 Ã¤"), ("plain", "plain")])
 def test_bytes(spark, broken, repaired):
     assert one(spark, encoding.fix_bytes, broken) == repaired
@@ -92,7 +96,9 @@ def test_fields(spark):
     assert one(spark, lambda c: extract.detect_language(c, compat=True), "German edition") == "edition"
     assert one(spark, extract.detect_language, "x [[Category:A (French)]]") == "French"
     assert one(spark, extract.publisher_location, 'Moskva: "Raduga", 1990') == {"publisher": "Raduga", "location": "Moskva"}
-    assert one(spark, extract.scored_year, "printed 1950 (1933)")["year"] == "1933"
+    assert one(spark, extract.scored_year, "printed 1950 [1933]") == {"year": "1933", "confidence": 0.8}
+    assert one(spark, extract.scored_publisher, "Verlag: Insel") == {"publisher": "Insel", "confidence": 0.9}
+    assert one(spark, extract.iso_by_indicators, "herausgegeben, translated, Verlag") == "de" and one(spark, extract.iso_by_indicators, None) is None
     assert one(spark, lambda c: extract.language_from_categories(markup.categories(c)), "[[Category:Z (Hindi)]]") == "Hindi"
 
 

@@ -121,3 +121,21 @@ def test_left_merge_multiplies(spark):
     a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, v int")
     b = spark.createDataFrame([(None, 3), (None, 4)], "k string, w int")
     assert sorted((r["v"], r["w"] or 0) for r in relations.left_merge(a, b, "k").collect()) == [(1, 3), (1, 4), (2, 0)]
+
+
+def test_command_line(spark, tmp_path):
+    from codexmill import cli
+
+    (tmp_path / "part_03").write_text(DUMP)
+    report = cli.main(["--extract", f"{tmp_path}/part_*", "--blob-id", "3", "--output", f"{tmp_path}/out"], spark)
+    assert "content_type: Bibliography Entry" in report.read_text()
+    again = cli.main(["--csv", f"{tmp_path}/out/entries", "--analyze-only", "--limit", "2", "--output", f"{tmp_path}/two"], spark)
+    assert again.exists()
+    with pytest.raises(SystemExit):
+        cli.main([], spark)
+
+
+def test_files_compared(spark, tmp_path):
+    for i, n in enumerate((2, 3)):
+        spark.range(n).coalesce(1).write.csv(f"{tmp_path}/f{i}")
+    assert sorted(r["n_rows"] for r in files.compare_files(spark.read.csv(f"{tmp_path}/f*")).collect()) == [2, 3]
