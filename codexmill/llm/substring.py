@@ -120,9 +120,9 @@ def _with_entries(docs: DataFrame, entries: DataFrame, how: str) -> DataFrame:
     return left.join(keyed, F.col("rest.doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), how).select("rest", "th", "text", "found")
 
 
-def _contents(docs: DataFrame, variants: DataFrame, width: int, single: bool) -> DataFrame:
-    """The words of each variant (anchor, place, lone, doc_id, th), as 64-bit hashes; single: each window's hash instead."""
-    entries = cut(variants.groupBy("doc_id", "th").agg(F.collect_list(F.struct("anchor", "place", "lone")).alias("found")))
+def _contents(docs: DataFrame, variants: DataFrame, width: int) -> DataFrame:
+    """The words of each variant (anchor, place, lone, hot, doc_id, th), as 64-bit hashes; of hot ones only windows' hashes are needed, which _windows() takes from them."""
+    entries = cut(variants.groupBy("doc_id", "th").agg(F.collect_list(F.struct("anchor", "place", "lone", "hot")).alias("found")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANK, lower=False)
@@ -130,27 +130,36 @@ def _contents(docs: DataFrame, variants: DataFrame, width: int, single: bool) ->
             found, ths = b.column("found"), b.column("th")
             ids = b.column("rest").field("doc_id")
             for lo, hi, words, starts in hasher.rows(b.column("text")):
-                owners, anchors, places, lones, windows, out = [], [], [], [], [], []
+                owners, rows, out = [], [], []
                 for i in range(lo, hi):
                     for e in found[i].as_py():
                         first, count = starts[i - lo] + (e["place"] >> 8), e["place"] & 255
-                        part = words[first : first + count + width - 1]
-                        times = count if single else 1
-                        owners += [i] * times
-                        anchors += [e["anchor"]] * times
-                        places += [e["place"]] * times
-                        lones += [e["lone"]] * times
-                        if single:
-                            windows += range(count)
-                            out += grams(part, width).view(np.int64).tolist()
-                        else:
-                            out.append(part.tobytes())
+                        owners.append(i)
+                        rows.append(e)
+                        out.append(words[first : first + count + width - 1].tobytes())
                 at = pa.array(owners, pa.int64())
-                cols = [ids.take(at), ths.take(at), pa.array(anchors, pa.int64()), pa.array(places, pa.int64()), pa.array(lones, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(cols + ([pa.array(windows, pa.int64()), pa.array(out, pa.int64())] if single else [pa.array(out, pa.binary())]), ["doc_id", "th", "anchor", "place", "lone"] + (["bit", "hash"] if single else ["words"]))
+                cols = [pa.array([e[c] for e in rows], t) for c, t in (("anchor", pa.int64()), ("place", pa.int64()), ("lone", pa.bool_()), ("hot", pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([ids.take(at), ths.take(at), *cols, pa.array(out, pa.binary())], ["doc_id", "th", "anchor", "place", "lone", "hot", "words"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _with_entries(docs.select("doc_id", "text"), entries, "inner").mapInArrow(run, f"doc_id {kind}, th long, anchor long, place long, lone boolean, " + ("bit long, hash long" if single else "words binary"))
+    return _with_entries(docs.select("doc_id", "text"), entries, "inner").mapInArrow(run, f"doc_id {kind}, th long, anchor long, place long, lone boolean, hot boolean, words binary")
+
+
+def _windows(contents: DataFrame, width: int) -> DataFrame:
+    """doc_id, th, anchor, place, lone, bit, hash: one row for each window of the contents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                hashes = [grams(np.frombuffer(w.as_py(), U), width) for w in part.column("words")]
+                sizes = [len(h) for h in hashes]
+                owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                bits = np.concatenate([np.arange(n) for n in sizes])
+                yield pa.RecordBatch.from_arrays([*[part.column(c).take(owner) for c in ("doc_id", "th", "anchor", "place", "lone")], pa.array(bits), pa.array(np.concatenate(hashes).view(np.int64))], ["doc_id", "th", "anchor", "place", "lone", "bit", "hash"])
+
+    kind = contents.schema["doc_id"].dataType.simpleString()
+    return contents.mapInArrow(run, f"doc_id {kind}, th long, anchor long, place long, lone boolean, bit long, hash long")
 
 
 def _search(contents: DataFrame, width: int) -> DataFrame:
@@ -225,14 +234,14 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     kinds = _kinds(segments)
     kinds = cut(kinds if common is None else kinds.union(common))
     several = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("m") == 1).alias("lone")).where("kinds > 1 and lone > 0").select("anchor", "kinds"))
-    hot = several.where(F.col("kinds") > SEGMENTS).count()
-    different = kinds.join(several, "anchor").withColumn("lone", F.col("m") == 1)
+    different = kinds.join(several, "anchor").select("*", (F.col("m") == 1).alias("lone"), (F.col("kinds") > SEGMENTS).alias("hot"))
     # Segments that repeat whole: all their windows, wherever they are. The others occur once, and bring their place along.
     whole = segments.join(kinds.where("m > 1").select("anchor", "seg"), ["anchor", "seg"], "left_semi")
     hits = whole.selectExpr("doc_id", "th", "shiftleft(shiftright(place, 8), 32) | (shiftleft(1L, cast(place & 255 as int)) - 1) as e")
-    hits = hits.union(_search(_contents(docs, different.where(F.col("kinds") <= SEGMENTS), width, single=False), width))
-    if hot:
-        one = cut(_contents(docs, different.where(F.col("kinds") > SEGMENTS), width, single=True))
+    contents = cut(_contents(docs, different, width))
+    hits = hits.union(_search(contents.where("not hot"), width))
+    if several.where(F.col("kinds") > SEGMENTS).limit(1).count():
+        one = _windows(contents.where("hot"), width)
         twice = cut(one.groupBy("anchor", "hash").agg(F.count("*").alias("k")).where("k > 1").select("anchor", "hash"))
         again = one.where("lone").join(twice, ["anchor", "hash"], "left_semi").groupBy("doc_id", "th", "place").agg(F.expr("bit_or(shiftleft(1L, cast(bit as int)))").alias("mask"))
         hits = hits.union(again.selectExpr("doc_id", "th", "shiftleft(shiftright(place, 8), 32) | mask as e"))
