@@ -41,8 +41,10 @@ ALNUM = separators((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 
 
 class Hasher:
-    def __init__(self, word_bytes: np.ndarray, lower: bool):
-        self.is_word = word_bytes
+    """prefix: words are hashed twice, whole and by so many bytes of their beginning; arrays of them have two rows then."""
+
+    def __init__(self, word_bytes: np.ndarray, lower: bool, prefix: int = 0):
+        self.is_word, self.prefix = word_bytes, prefix
         values = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
         self.fold = np.arange(256, dtype=np.uint8)
         if lower:
@@ -67,7 +69,10 @@ class Hasher:
         starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
         sums = np.zeros(n + 1, U)
         np.cumsum(self.values[buf] * self.power[:n], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * self.unpower[starts]), starts, ends
+        words = mix((sums[ends] - sums[starts]) * self.unpower[starts])
+        if self.prefix:
+            words = np.stack([words, mix((sums[np.minimum(ends, starts + self.prefix)] - sums[starts]) * self.unpower[starts])])
+        return words, starts, ends
 
     def long_text(self, buf: np.ndarray) -> np.ndarray:
         """Hashes of the words of one text of any length."""
@@ -85,11 +90,13 @@ class Hasher:
                         rest = np.flatnonzero(~self.is_word[buf[end : end + PIECE]])
                         end = end + int(rest[0]) if len(rest) else min(len(buf), end + PIECE)
                     found.append(np.array([xxhash.xxh64_intdigest(self.fold[buf[at:end]].tobytes())], U))
+                    if self.prefix:
+                        found[-1] = np.stack([found[-1], self.piece(buf[at : at + self.prefix], np.zeros(0, np.int64))[0][0]])
                     at = end
                     continue
             found.append(self.piece(part, np.zeros(0, np.int64))[0])
             at = end
-        return np.concatenate(found) if found else np.zeros(0, U)
+        return np.concatenate(found, axis=-1) if found else np.zeros((2, 0) if self.prefix else 0, U)
 
     def rows(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Groups of rows lo..hi: their words' hashes in order, and for each row where its words start (one more at the end)."""
@@ -99,7 +106,7 @@ class Hasher:
             hi = int(np.searchsorted(offsets, offsets[lo] + PIECE, side="right")) - 1
             if hi <= lo:  # one text longer than a piece
                 words = self.long_text(data[offsets[lo] : offsets[lo + 1]])
-                yield lo, lo + 1, words, np.array([0, len(words)])
+                yield lo, lo + 1, words, np.array([0, words.shape[-1]])
                 lo += 1
                 continue
             hi = min(hi, n)

@@ -1,7 +1,8 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features are the presence of single words, pairs of neighbours and pairs with one word between,
-hashed to 2^BITS places. Learning sees one row after another; every place has its own rate, and L1
+Features are the presence of single words, pairs of neighbours and pairs with one word between, and
+of words' beginnings (so that inflected and compound forms have something in common), hashed to
+2^BITS places. Learning sees one row after another; every place has its own rate, and L1
 leaves few weights, which are what is broadcast.
 """
 
@@ -18,13 +19,17 @@ from codexmill.llm.common import bounded_sample, fold_of
 from codexmill.llm.textkit import ALNUM, Hasher, U, mix
 
 BITS = 20
+#: Bytes of a word that make its beginning.
+STEM = 6
 
 
 def _features(words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows and places of each kind of feature."""
+    """Rows and places of each kind of feature; words: whole words' and beginnings' hashes."""
+    words, stems = words
     row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     shift = U(64 - BITS)
     yield row, (words >> shift).astype(np.int64)
+    yield row, (mix(stems + U(0x5851F42D4C957F2D)) >> shift).astype(np.int64)
     for gap, salt in ((1, U(0x9FB21C651E98DF25)), (2, U(0xC2B2AE3D27D4EB4F))):
         if len(words) > gap:
             same = row[:-gap] == row[gap:]
@@ -64,7 +69,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(ALNUM, lower=True)
+        hasher = Hasher(ALNUM, lower=True, prefix=STEM)
         for b in batches:
             for lo, hi, words, starts in hasher.rows(b.column("text")):
                 keys = np.unique(np.concatenate([r * (1 << BITS) + p for r, p in _features(words, starts)] or [np.zeros(0, np.int64)]))
@@ -99,7 +104,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataF
         places, weights, bias = shared.value
         table = np.zeros(1 << BITS, np.float32)
         table[places] = weights
-        hasher = Hasher(ALNUM, lower=True)
+        hasher = Hasher(ALNUM, lower=True, prefix=STEM)
         for b in batches:
             for lo, hi, words, starts in hasher.rows(b.column("text")):
                 keys = [np.zeros(0, np.int64)]

@@ -23,6 +23,17 @@ def test_words_are_told_apart(lower, monkeypatch):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_beginnings(monkeypatch):
+    monkeypatch.setattr(textkit, "PIECE", 64)
+    texts = ["prefixes prefixed pre", "a " * 60 + "prefix", "", "x" * 300 + " prefab"]
+    hasher, got = Hasher(ALNUM, True, prefix=6), []
+    for _, _, words, starts in hasher.rows(pa.array(texts)):
+        assert words.shape == (2, starts[-1])
+        got += [words[:, i:j] for i, j in zip(starts[:-1], starts[1:], strict=True)]
+    first = got[0][1]
+    assert first[0] == first[1] == got[1][1][-1] != first[2] and got[3][1][1] not in first and len(set(got[0][0].tolist())) == 3
+
+
 def test_alnum_and_slices():
     column = pa.array(["x", "Don't stop-é1", None]).slice(1)
     ((_, _, words, starts),) = list(Hasher(ALNUM, True).rows(column))
