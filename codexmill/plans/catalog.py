@@ -93,7 +93,7 @@ on_table("share_within_group", "documents", lambda df: profile.shares(df, "lang"
 
 @query(
     "missing_profile",
-    "with j as (select c_name, o_orderkey, o_orderstatus, case when c_custkey % 5 = 0 then '' else c_mktsegment end as segment from customer left join orders on c_custkey = o_custkey and o_orderkey % 3 = 0), "
+    "with j as (select c_name, o_orderkey, o_orderstatus, case when c_custkey % 5 = 0 then '' else c_mktsegment end as segment from customer left join orders on c_custkey = o_custkey), "
     + "p as ("
     + " union all ".join(f"select '{c}' as \"column\", count(*) - count({c}) as n_null, {e} as n_empty, count(*) as n from j" for c, e in (("c_name", "count(*) filter (c_name = '')"), ("o_orderkey", "0"), ("o_orderstatus", "count(*) filter (o_orderstatus = '')"), ("segment", "count(*) filter (segment = '')")))
     + ') select "column", n_null, cast(n_empty as bigint) as n_empty, round(100.0 * n_null / n, 4) as pct_null from p',
@@ -103,13 +103,11 @@ def _missing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _customers(spark: SparkSession, d: str) -> DataFrame:
-    c, o = table(spark, d, "customer"), table(spark, d, "orders").where("o_orderkey % 3 = 0")
+    c, o = table(spark, d, "customer"), table(spark, d, "orders")
     return c.join(o, c["c_custkey"] == o["o_custkey"], "left").select("c_name", "o_orderkey", "o_orderstatus", F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.col("c_mktsegment")).alias("segment"))
 
 
-query("high_missing", "with j as (select o_orderkey, c_custkey from customer left join orders on c_custkey = o_custkey and o_orderkey % 97 = 0) select 'o_orderkey' as \"column\", round(100.0 * (count(*) - count(o_orderkey)) / count(*), 4) as pct_null from j having 100.0 * (count(*) - count(o_orderkey)) / count(*) > 50")(
-    lambda spark, d: profile.high_missing(table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderkey % 97 = 0").select("o_orderkey", "o_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left").select("o_orderkey", "c_custkey"))
-)
+on_table("high_missing", "customer", lambda df: profile.high_missing(df.select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_name")).alias("builder"))), "select 'builder' as \"column\", round(100.0 * count(*) filter (c_mktsegment <> 'BUILDING') / count(*), 4) as pct_null from customer")
 on_table("duplicate_texts", "documents", lambda df: profile.duplicated(df, "text", "doc_id"), "select doc_id, times from (select doc_id, count(*) over (partition by text) as times from documents) where times > 1")
 on_table("html_strip", "pages", lambda df: df.select("page_id", F.md5(markup.strip_html(F.col("html")).cast("binary")).alias("digest")), r"select page_id, md5(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[\s\x{A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{85}]+', ' ', 'g'), '^ | $', '', 'g')) as digest from pages")
 on_table("page_urls", "pages", lambda df: df.select("page_id", F.array_join(markup.urls(F.col("url")), " ").alias("urls")), r"select page_id, array_to_string(regexp_extract_all(url, 'https?://\S+'), ' ') as urls from pages")
@@ -120,10 +118,10 @@ on_table("part_page_bins", "part", lambda df: profile.page_bins(df.select((F.col
 on_table("part_size_stats", "part", lambda df: profile.number_stats(df, "p_size"), "select count(p_size) as n, cast(min(p_size) as double) as least, cast(max(p_size) as double) as greatest, round(avg(p_size), 4) as mean, cast(median(p_size) as double) as median, cast(max(p_size) - min(p_size) + 1 as double) as span from part")
 
 
-@query("left_merge_nullsafe", "select d.doc_id, l.quality, l.toxic from (select doc_id, case when doc_id % 10 = 0 then null else doc_id end as k from documents) d left join (select case when doc_id % 10 = 1 then null else doc_id end as k, quality, toxic from labels where doc_id < 200) l on d.k is not distinct from l.k")
+@query("left_merge_nullsafe", "select d.doc_id, l.quality, l.toxic from (select doc_id, case when doc_id % 50 = 0 then null else doc_id end as k from documents) d left join (select case when doc_id % 50 = 1 then null else doc_id end as k, quality, toxic from labels) l on d.k is not distinct from l.k")
 def _left_merge(spark: SparkSession, d: str) -> DataFrame:
-    left = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 10 != 0, F.col("doc_id")).alias("k"))
-    right = table(spark, d, "labels").where("doc_id < 200").select(F.when(F.col("doc_id") % 10 != 1, F.col("doc_id")).alias("k"), "quality", "toxic")
+    left = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 50 != 0, F.col("doc_id")).alias("k"))
+    right = table(spark, d, "labels").select(F.when(F.col("doc_id") % 50 != 1, F.col("doc_id")).alias("k"), "quality", "toxic")
     return relations.left_merge(left, right, "k").select("doc_id", "quality", "toxic")
 
 
@@ -208,7 +206,13 @@ on_entries("language_indicators", lambda e: profile.language_indicators(e, "cont
 on_entries("work_references", lambda e: profile.work_references(e, "content", {k: profile.WORKS[k] for k in ("Schachnovelle", "Amok", "Angst", "Marie Antoinette", "Clarissa")}), " union all ".join("select '" + k + "' as work, cast(" + " + ".join(f"count(*) filter (regexp_matches(content, '(?i)\\b{v}\\b'))" for v in vs) + " as bigint) as n from e" for k, vs in (("Schachnovelle", ["Schachnovelle", "Chess Story", "Chess Novella", "Royal Game"]), ("Amok", ["Amok", "Amok Runner"]), ("Angst", ["Angst", "Fear", "Amok", "Peur"]), ("Marie Antoinette", ["Marie Antoinette", "Marie-Antoinette"]), ("Clarissa", ["Clarissa"]))))
 on_entries("timeline", lambda e: profile.timeline(e, "content"), r", y as (select cast(unnest(regexp_extract_all(content, '\b(1[8-9]\d{2}|20[0-2]\d)\b', 1)) as bigint) as year from e) select year, count(*) as mentions, case when year between 1881 and 1942 then 'lifetime' when year > 1942 then 'posthumous' else 'other' end as era from y where year between 1850 and 2025 group by 1")
 
-# Extraction.
+# Extraction. _FLAT has the plain texts (flat; lines: with line ends) of all entries.
+_Q3, _Q2 = "'" * 6, "'" * 4
+_FLAT = (
+    r", s as (select *, regexp_replace(regexp_replace(regexp_replace(coalesce(content, ''), '\[\[Category:.*?\]\]', '', 'g'), '\{\{DEFAULTSORTKEY:.*?\}\}', '', 'g'), '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g') as t0 from e)"
+    rf", u as (select *, replace(regexp_replace(regexp_replace(regexp_replace(t0, '(?s)<lst.*?>(.*?)</lst>', '\1', 'g'), '{_Q3}(.*?){_Q3}', '\1', 'g'), '{_Q2}(.*?){_Q2}', '\1', 'g'), '#REDIRECT ', '') as t1 from s)"
+    r", f as (select *, trim(regexp_replace(t1, '\s+', ' ', 'g')) as flat, regexp_replace(regexp_replace(t1, '[ \t\r\f\v]+', ' ', 'g'), '^\s+|\s+$', '', 'g') as lines from u)"
+)
 on_entries("redirect_targets", lambda e: e.select("page_id", markup.redirect_target(_c()).alias("strict"), markup.redirect_target(_c(), False).alias("lenient")), r"select page_id, nullif(regexp_extract(content, '^#REDIRECT \[\[(.*?)\]\]', 1), '') as strict, nullif(regexp_extract(content, '#REDIRECT\s*\[\[(.*?)\]\]', 1), '') as lenient from e")
 on_entries("redirect_resolution", lambda e: relations.resolve_redirects(e.groupBy(F.replace(F.col("page_title"), F.lit("_"), F.lit(" ")).alias("title")).agg(F.min(markup.redirect_target(_c())).alias("target")), "title", "target", 1).select("title", "final_title", "dangling"), r", t as (select replace(page_title, '_', ' ') as title, min(nullif(regexp_extract(content, '^#REDIRECT \[\[(.*?)\]\]', 1), '')) as target from e group by 1) select title, coalesce(target, title) as final_title, coalesce(target, title) not in (select title from t) as dangling from t")
 on_entries("remove_markup", lambda e: e.select("page_id", markup.remove_wiki_markup(_c()).alias("clean")),
@@ -230,14 +234,17 @@ on_entries("time_periods", lambda e: e.select("page_id", extract.time_period(F.c
 on_entries("catalog_numbers", lambda e: e.select("page_id", extract.catalog_numbers(F.col("text_id")).alias("x")).select("page_id", "x.*"), "select page_id, case when contains(text_id, ',') then split_part(text_id, ',', 1) else '' end as catalog_number_1, case when contains(text_id, ',') then split_part(text_id, ',', 2) else '' end as catalog_number_2 from e")
 on_entries("language_from_categories", lambda e: e.select("page_id", extract.language_from_categories(markup.categories(_c())).alias("language")), "select page_id, case page_id % 12 when 2 then 'German' when 4 then 'French' when 10 then 'Russian' else '' end as language from e")
 on_entries("page_counts", lambda e: e.select("page_id", extract.page_count(_c()).alias("pages")), "select page_id, case when page_id % 12 in (2, 4, 10) then cast(pages_no as varchar) else '' end as pages from e")
-on_entries("full_entries", lambda e: e.where("page_id % 12 in (3, 7, 9)").select("page_id", extract.full_entry(_c()).alias("entry")), r"select page_id, trim(substr(regexp_replace(content, '\[\[([^\]|]*\|)?([^\]]*)\]\]', '\2', 'g'), 1, 250)) as entry from e where page_id % 12 in (3, 7, 9)")
+on_entries("full_entries", lambda e: e.select("page_id", extract.full_entry(_c()).alias("entry")), f"{_FLAT} select page_id, regexp_replace(case when contains(lines, chr(10) || chr(10)) then split_part(lines, chr(10) || chr(10), 1) else substr(lines, 1, 250) end, '^\\s+|\\s+$', '', 'g') as entry from f")
 on_entries("fix_encoding", lambda e: e.select("page_id", encoding.fix_encoding(_c()).alias("fixed"), encoding.fix_bytes(_c()).alias("by_bytes")),
     "select page_id, " + "".join("replace(" for _ in [*encoding.TABLE, *encoding.ENTITIES]) + "content" + "".join(f", '{a.replace(chr(39), chr(39) * 2)}', '{b.replace(chr(39), chr(39) * 2)}')" for a, b in [*encoding.TABLE, *encoding.ENTITIES]) + " as fixed, replace(replace(replace(replace(replace(content, 'Ã¤', 'ä'), 'ÃŸ', 'ß'), 'Ã¼', 'ü'), 'Ã¶', 'ö'), 'Ã©', 'é') as by_bytes from e")
-on_entries("publisher_location", lambda e: e.where("page_id % 12 = 10").select("page_id", extract.publisher_location(_c()).alias("x")).select("page_id", "x.*"), "select page_id, regexp_extract(content, 'Verlag ([^,]+),', 1) as publisher, 'Moskva' as location from e where page_id % 12 = 10")
-on_entries("entry_titles", lambda e: e.where("page_id % 12 = 10").select("page_id", extract.titles(_c()).alias("x")).select("page_id", "x.*"), r"select page_id, trim(regexp_extract(content, '^([^\[]+)\s*\[(.*?)\]', 1)) as title, regexp_extract(content, '^([^\[]+)\s*\[(.*?)\]', 2) as original from e where page_id % 12 = 10")
+on_entries("publisher_location", lambda e: e.select("page_id", extract.publisher_location(_c()).alias("x")).select("page_id", "x.*"),
+    _FLAT + r""" select page_id, trim(coalesce(nullif(regexp_extract(flat, ':\s+"([^"]+)"', 1), ''), nullif(regexp_extract(flat, '(?:Izdatel''stvo|Publishing|Verlag|Éditions)\s+"?([^",.]+)"?', 1), ''), nullif(regexp_extract(flat, '(?:[A-Z][a-zA-Z\s]+:)?\s*([^,]+?)(?:,|\s+\d{4})', 1), ''), '')) as publisher, trim(coalesce(nullif(regexp_extract(flat, '([A-Z][a-zA-Z\s]+):', 1), ''), nullif(regexp_extract(flat, '(?i)(?:^|\s)(Moscow|Moskva|Berlin|London|New York|Paris|Wien|Vienna|Frankfurt|Leipzig)\b', 1), ''), '')) as location from f""")
+on_entries("entry_titles", lambda e: e.select("page_id", extract.titles(_c()).alias("x")).select("page_id", "x.*"),
+    _FLAT + r" select page_id, trim(case when regexp_matches(flat, '^[^\[]+\s*\[.*?\]') then regexp_extract(flat, '^([^\[]+)\s*\[(.*?)\]', 1) when regexp_matches(flat, '^(?:.*?\W)?\.(?:\W|$)') then regexp_extract(flat, '^((?:.*?\W)?)\.(?:\W|$)', 1) else flat end) as title, case when regexp_matches(flat, '^[^\[]+\s*\[.*?\]') then regexp_extract(flat, '^([^\[]+)\s*\[(.*?)\]', 2) else '' end as original from f")
 on_entries("content_items", lambda e: e.select("page_id", F.explode(extract.content_items(F.concat(F.lit("Contents\n1. First ["), F.col("page_title"), F.lit("]. Translated by Jo Doe, pp. 1-"), F.col("pages_no"), F.lit("\n2. Second\n\nEnd")))).alias("i")).select("page_id", "i.*"), "select page_id, 'First' as title, page_title as original_title, 'Jo Doe' as translator, concat('1-', cast(pages_no as varchar)) as pages from e union all select page_id, 'Second', '', '', '' from e")
 on_entries("primary_languages", lambda e: profile.value_counts(e.select(extract.primary_language(extract.biblio_info(_c())["language"]).alias("language")), "language", 15).where("language <> 'Unknown'"), "select 'German' as language, count(*) as n from e where page_id % 12 = 5")
-on_entries("places", lambda e: e.where("page_id % 12 in (3, 10)").select("page_id", extract.normalise_place(F.when(F.col("page_id") % 12 == 3, "Wien").otherwise("Paris")).alias("place"), extract.iso_language(extract.language_from_categories(markup.categories(_c()))).alias("iso")), "select page_id, case when page_id % 12 = 3 then 'Vienna' else 'Paris' end as place, case when page_id % 12 = 10 then 'ru' end as iso from e where page_id % 12 in (3, 10)")
+on_entries("places", lambda e: e.select("page_id", extract.normalise_place(extract.biblio_info(_c())["location"]).alias("place"), extract.iso_language(extract.language_from_categories(markup.categories(_c()))).alias("iso")),
+    r", p as (select page_id, nullif(regexp_extract(content, '\b(Wien|Berlin|Frankfurt|Leipzig|London|New York|Paris|Hamburg|Salzburg)\b', 1), '') as place from e) select page_id, case place when 'Wien' then 'Vienna' else place end as place, case page_id % 12 when 2 then 'de' when 4 then 'fr' when 10 then 'ru' end as iso from p")
 
 on_entries("scored_fields", lambda e: e.select("page_id", extract.scored_year(_c()).alias("y"), extract.iso_by_indicators(_c()).alias("iso")).select("page_id", "y.year", "y.confidence", "iso"),
     r", t as (select page_id, lower(content) as low, nullif(regexp_extract(content, '(?i)(?:published|erschienen).*?(\d{4})', 1), '') as a, nullif(regexp_extract(content, '\[(\d{4})\]', 1), '') as b, " + _Y + " as c from e) select page_id, coalesce(a, b, c) as year, case when a is not null then 0.9 when b is not null then 0.8 when c is not null then 0.7 end::double as confidence, case when low is null then null when contains(low, 'verlag') then 'de' when contains(low, 'english') or contains(low, 'translated') then 'en' end as iso from t")
@@ -245,7 +252,7 @@ on_entries("bibliography_patterns", lambda e: profile.bibliography_patterns(e.se
     r", b as (select * from e where page_id % 12 in (2, 4, 10)), n as (select count(*) as n, count(*) filter (page_id % 12 = 2) as two, count(*) filter (page_id % 12 = 4) as four, count(*) filter (page_id % 12 = 10) as ten, count(*) filter (regexp_matches(content, '\b(1[8-9]\d{2}|20[0-2]\d)\b')) as y from b) select pattern, k as n, round(100.0 * k / n, 4) as pct from (" + " union all ".join(f"select '{p}' as pattern, {v} as k, n from n" for p, v in (("has_volumes_header", "two"), ("has_triple_quotes", "two + four"), ("has_lst_tag", "two"), ("has_publisher", "two + ten"), ("has_year", "y"), ("has_location", "two + four"), ("has_page_count", "two + ten"), ("is_redirect", "0"))) + ")")
 on_entries("title_match_rate", lambda e: profile.true_rate(e, extract.title_match(F.col("page_title"), extract.content_title(_c()))), r", t as (select replace(page_title, '_', ' ') as p, coalesce(nullif(regexp_extract(content, '(.*?)', 1), ''), list_filter(list_transform(string_split(content, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], '') as title from e) select round(100.0 * count(*) filter (contains(p, title) or contains(title, p)) / count(*), 4) as pct from t")
 on_entries("types_unknown_last", lambda e: relations.unknown_last(e.groupBy(classify.identify_content_type(_c()).alias("kind")).agg(F.count("*").alias("n")), "kind", "n"), f"select {_TYPE} as kind, count(*) as n from e group by 1")
-on_entries("one_blob_per_id", lambda e: profile.all_equal(e.where("page_id % 8 = 3"), "blob_id"), "select count(distinct blob_id) = 1 as all_equal from e where page_id % 8 = 3")
+on_entries("one_blob", lambda e: profile.all_equal(e, "blob_id"), "select count(distinct blob_id) = 1 as all_equal from e")
 
 
 # The whole pipeline, and what looks at its result.
