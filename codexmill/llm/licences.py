@@ -3,7 +3,8 @@
 A sparse logistic regression over word n-grams tells licence families apart, paragraph by paragraph; it
 learns from the notices below, whole and in pieces, against paragraphs of the corpus and sentences that
 only speak of licences (the unknown class). A temperature from held-out pieces calibrates its
-probabilities. A prediction is confirmed if its words are those of one of the family's notices.
+probabilities. A prediction is confirmed if its words are those of one of the family's notices, or if it
+is a part of one: most of its words, three at least and two of them distinctive, are in that notice.
 """
 
 from __future__ import annotations
@@ -96,6 +97,7 @@ NOTICES: dict[str, list[str]] = {
         "Released under the Unlicense.",
     ],
     "Proprietary": [
+        "All rights reserved.",
         "Copyright Example Corporation. All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form without the prior written permission of the publisher.",
         "Proprietary and confidential. Unauthorized copying of this file, via any medium, is strictly prohibited.",
@@ -122,6 +124,9 @@ MENTIONS = [
 #: Only paragraphs with one of these (lower-cased) are scored; all others have no licence.
 CUES = ["licen", "copyright", "permission", "redistribut", "public domain", "rights reserved", "creative commons", "cc by", "cc0", "gpl", "proprietary", "spdx", "unencumbered"]
 
+# Words of the notices that say nothing of licences by themselves.
+COMMON = "a all an and any are as at be by can copy file following for free from general has have hereby if in is it may more no not obtain of on one only or other permitted person project provided public see some source text that the their then these this to under use version was with without work you your".split()
+
 
 def _has_cue(low: Column) -> Column:
     return reduce(lambda a, b: a | b, [low.contains(c) for c in CUES])
@@ -149,11 +154,11 @@ def _pieces(notice: str) -> list[str]:
 def train(docs: DataFrame, background: int = 1500) -> tuple[DataFrame, list[str], list[float], float]:
     """(gram, weights array) of the grams with weight, families, intercepts, temperature.
 
-    Bounds: the notices above and the first paragraphs of at most background documents.
+    Bounds: the notices above and the first paragraphs, where they have no licence cue, of at most background documents.
     """
     spark = docs.sparkSession
     known = [(p, f) for f, notices in NOTICES.items() for n in notices for p in _pieces(n)] + [(m, UNKNOWN) for m in MENTIONS for _ in range(4)]
-    other = bounded_sample(docs.where("text is not null").select("doc_id", F.substring_index("text", "\n", 1).alias("text")).where(F.length("text") > 0), F.struct("doc_id", "text"), background).select("text", F.lit(UNKNOWN).alias("family"))
+    other = bounded_sample(docs.where("text is not null").select("doc_id", F.substring_index("text", "\n", 1).alias("text")).where((F.length("text") > 0) & ~_has_cue(F.lower("text"))), F.struct("doc_id", "text"), background).select("text", F.lit(UNKNOWN).alias("family"))
     families = [*NOTICES, UNKNOWN]
     index = F.create_map(*[F.lit(x) for i, f in enumerate(families) for x in (f, float(i))])
     rows = spark.createDataFrame(known, "text string, family string").union(other)
@@ -193,7 +198,10 @@ def classify(paragraphs: DataFrame, model: tuple[DataFrame, list[str], list[floa
     own = F.array_distinct("w")
     like = F.array_max(F.transform(notices[F.col("family")], lambda t: F.size(F.array_intersect(own, t)) / F.size(F.array_union(own, t))))
     within = F.array_max(F.transform(notices[F.col("family")], lambda t: F.size(F.array_intersect(own, t)) / F.size(F.array_distinct(t))))
-    return out.withColumn("similarity", F.coalesce(F.greatest(like, within), F.lit(0.0))).select("line", "family", "probability", "similarity", ((F.col("family") != UNKNOWN) & (F.col("probability") >= 0.5) & (F.col("similarity") >= 0.6)).alias("confirmed"))
+    plain = F.array(*[F.lit(c) for c in COMMON])
+    shared = lambda t: F.array_intersect(own, t)
+    inside = F.array_max(F.transform(notices[F.col("family")], lambda t: F.when((F.size(shared(t)) >= 3) & (F.size(F.array_except(shared(t), plain)) >= 2), F.size(shared(t)) / F.size(own)).otherwise(F.lit(0.0))))
+    return out.withColumn("similarity", F.coalesce(F.greatest(like, within, inside), F.lit(0.0))).select("line", "family", "probability", "similarity", ((F.col("family") != UNKNOWN) & (F.col("probability") >= 0.5) & (F.col("similarity") >= 0.6)).alias("confirmed"))
 
 
 def scan(docs: DataFrame) -> DataFrame:

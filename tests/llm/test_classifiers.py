@@ -130,3 +130,15 @@ def test_licences(spark, odd, empty, docs):
     assert all(0 <= r["probability"] <= 1 for r in got.values()) and len(got) == rows.count()
     assert licences.op9_licence_scan(odd).count() == odd.count()
     assert licences.op9_licence_scan(empty).count() == 0
+
+
+def scanned(spark, docs, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(docs.select("doc_id", "text").withColumn("doc_id", F.col("doc_id") + 5000))
+    got = {r["doc_id"]: r for r in licences.op9_licence_scan(rows).where("doc_id < 5000").collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_licence_lines_that_are_parts_of_a_notice(spark, docs):
+    lines = ["All rights reserved.", "ALL RIGHTS RESERVED", "Copyright 2019 Jane Roe. All rights reserved.", "plain words\nAll rights reserved.\nmore words"]
+    assert [r["licence"] for r in scanned(spark, docs, lines)] == ["Proprietary"] * 4
+    assert not any(r["confirmed"] for r in scanned(spark, docs, ["She reserved a table with permission of all.", "The rights to the copy of it", "All copyright."]))
