@@ -4,7 +4,8 @@ A sparse logistic regression over word n-grams tells licence families apart, par
 learns from the notices below, whole and in pieces, against paragraphs of the corpus and sentences that
 only speak of licences (the unknown class). A temperature from held-out pieces calibrates its
 probabilities. A prediction is confirmed if its words are those of one of the family's notices, or if it
-is a part of one: most of its words, three at least and two of them distinctive, are in that notice.
+is a part of one: most of its words, three at least and two of them distinctive, are in that notice and in no other family's as many.
+Wrapped notices are put together from neighbouring lines.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexmill.llm.common import bounded_sample, cut, small, text_hash
@@ -184,7 +185,7 @@ def train(docs: DataFrame, background: int = 1500) -> tuple[DataFrame, list[str]
 
 
 def classify(paragraphs: DataFrame, model: tuple[DataFrame, list[str], list[float], float]) -> DataFrame:
-    """paragraphs (line, distinct) with family, probability, similarity, confirmed."""
+    """paragraphs (line, distinct) with family, probability, similarity, confirmed, alone (no other family's notice is as like)."""
     weights, families, intercepts, temperature = model
     rows = paragraphs.select("line", words(F.col("line")).alias("w"))
     scored = rows.select("line", F.explode(grams(F.col("w"))).alias("gram")).join(F.broadcast(weights), "gram")  # at most the notices' grams
@@ -195,28 +196,58 @@ def classify(paragraphs: DataFrame, model: tuple[DataFrame, list[str], list[floa
     total = F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     out = out.select("line", "w", best.alias("family"), (1 / total).alias("probability"))
     notices = F.create_map(*[x for f, n in NOTICES.items() for x in (F.lit(f), F.array(*[words(F.lit(t)) for t in n]))])
-    own = F.array_distinct("w")
-    like = F.array_max(F.transform(notices[F.col("family")], lambda t: F.size(F.array_intersect(own, t)) / F.size(F.array_union(own, t))))
-    within = F.array_max(F.transform(notices[F.col("family")], lambda t: F.size(F.array_intersect(own, t)) / F.size(F.array_distinct(t))))
-    plain = F.array(*[F.lit(c) for c in COMMON])
-    shared = lambda t: F.array_intersect(own, t)
-    inside = F.array_max(F.transform(notices[F.col("family")], lambda t: F.when((F.size(shared(t)) >= 3) & (F.size(F.array_except(shared(t), plain)) >= 2), F.size(shared(t)) / F.size(own)).otherwise(F.lit(0.0))))
-    return out.withColumn("similarity", F.coalesce(F.greatest(like, within, inside), F.lit(0.0))).select("line", "family", "probability", "similarity", ((F.col("family") != UNKNOWN) & (F.col("probability") >= 0.5) & (F.col("similarity") >= 0.6)).alias("confirmed"))
+    plain, own, family = F.array(*[F.lit(c) for c in COMMON]), F.array_distinct("w"), F.col("family")
+    out = out.withColumn("own", own).withColumn("near", F.transform_values(notices, lambda f, n: F.transform(n, lambda t: F.struct(F.array_intersect("own", t).alias("shared"), F.size(F.array_distinct(t)).alias("size")))))
+    part = lambda x: F.size(x["shared"]) / F.size("own")
+    like = F.transform_values("near", lambda f, n: F.array_max(F.transform(n, lambda x: F.size(x["shared"]) / (F.size("own") + x["size"] - F.size(x["shared"])))))
+    within = F.array_max(F.transform(F.col("near")[family], lambda x: F.size(x["shared"]) / x["size"]))
+    most = F.transform_values("near", lambda f, n: F.array_max(F.transform(n, lambda x: F.when((F.size(x["shared"]) >= 3) & (F.size(F.array_except(x["shared"], plain)) >= 2), part(x)).otherwise(0.0))))
+    first = lambda c: c[family] > F.array_max(F.map_values(F.map_filter(c, lambda f, x: f != family)))
+    out = out.withColumns({"like": like, "within": within, "part": most})
+    similarity = F.greatest(F.col("like")[family], F.col("within"), F.when(first(F.col("part")), F.col("part")[family]))
+    sure = (family != UNKNOWN) & (F.col("probability") >= 0.5) & (F.col("similarity") >= 0.6)
+    out = out.withColumn("similarity", F.coalesce(similarity, F.lit(0.0))).withColumns({"confirmed": F.coalesce(sure, F.lit(False)), "alone": F.coalesce(first(F.col("like")), F.lit(False))})
+    return out.select("line", "family", "probability", "similarity", "confirmed", "alone")
+
+
+def wrapped(lines: DataFrame) -> DataFrame:
+    """Runs of two or more neighbouring lines (doc_id, th, pos, line) most of whose words are in one notice: doc_id, th, run (the pos of its lines), line (all of them)."""
+    texts = [t for n in NOTICES.values() for t in n]
+    own = F.array_distinct(words(F.col("line")))
+    parts = F.array(*[words(F.lit(t)) for t in texts])
+    near = F.filter(F.transform(parts, lambda t, i: F.when(F.size(F.array_intersect("own", t)) >= 0.6 * F.size("own"), i)), lambda i: i.isNotNull())
+    by_line = cut(lines.select("line").distinct().withColumn("own", own).select("line", F.explode(near).alias("notice")))
+    members = lines.join(small(by_line, by_line.count(), 100_000), "line")
+    at = Window.partitionBy("doc_id", "th", "notice").orderBy("pos")
+    members = members.withColumn("run", F.col("pos") - F.row_number().over(at))
+    runs = members.groupBy("doc_id", "th", "notice", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("all")).where(F.size("all") > 1)
+    return runs.select("doc_id", "th", F.col("all.pos").alias("run"), F.array_join("all.line", " ").alias("line")).distinct()
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, n_paragraphs (with a licence cue), licence, probability, similarity, confirmed, families.
 
+    A paragraph is a line, or a run of wrapped lines that are confirmed together as one notice.
+
     licence is the family of the best paragraph: confirmed before unconfirmed, then by probability;
     `none` (0.0, 0.0, false) without a cue, `unknown` if no paragraph's prediction is confirmed.
     families lists all confirmed ones. Null texts have no paragraphs.
     """
     keyed = docs.select("doc_id", text_hash().alias("th"), "text")
-    lines = keyed.where(_has_cue(F.lower("text"))).select("doc_id", "th", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line")).where(_has_cue(F.lower("line"))).distinct()
-    lines = cut(lines)
-    distinct = lines.select("line").distinct()
-    found = cut(classify(distinct, train(docs)))
-    joined = lines.join(small(found, found.count(), 100_000), "line")
+    full = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]"))
+    lines = cut(keyed.where(_has_cue(F.lower("text"))).select("doc_id", "th", F.posexplode(full).alias("pos", "line")).distinct())
+    model = train(docs)
+    runs = cut(wrapped(lines).where(_has_cue(F.lower("line"))))
+    single = lines.where(_has_cue(F.lower("line"))).select("doc_id", "th", "line").distinct()
+    found = cut(classify(single.select("line").union(runs.select("line")).distinct(), model))
+    look = small(found, found.count(), 100_000)
+    joined_runs = cut(runs.join(look, "line").where("confirmed and alone"))
+    inside = joined_runs.select("doc_id", "th", F.explode("run").alias("pos")).distinct()
+    key = ["doc_id", "th", "pos"]
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"i.{c}")) for c in key])
+    loose = lines.where(_has_cue(F.lower("line"))).alias("l").join(inside.alias("i"), same, "left_anti").select("doc_id", "th", "line").distinct()
+    columns = ["doc_id", "th", "line", "family", "probability", "similarity", "confirmed"]
+    joined = loose.join(look, "line").select(columns).union(joined_runs.select(columns).distinct())
     rank = F.struct("confirmed", "probability", "similarity", F.when(F.col("confirmed"), F.col("family")).otherwise(UNKNOWN).alias("family"))
     per = joined.groupBy("doc_id", "th").agg(F.count("*").alias("n"), F.max(rank).alias("best"), F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("all"))
     per = per.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "n", "best", "all")

@@ -142,3 +142,15 @@ def test_licence_lines_that_are_parts_of_a_notice(spark, docs):
     lines = ["All rights reserved.", "ALL RIGHTS RESERVED", "Copyright 2019 Jane Roe. All rights reserved.", "plain words\nAll rights reserved.\nmore words"]
     assert [r["licence"] for r in scanned(spark, docs, lines)] == ["Proprietary"] * 4
     assert not any(r["confirmed"] for r in scanned(spark, docs, ["She reserved a table with permission of all.", "The rights to the copy of it", "All copyright."]))
+
+
+def test_licence_notices_wrapped(spark, docs):
+    import textwrap
+
+    known = [(f, t) for f, ts in licences.NOTICES.items() for t in ts if len(t) > 150]
+    shapes = [(width, mark) for width in (40, 72, 80) for mark in ("", "// ", " * ")]
+    wrap = lambda t, width, mark: "Some words before\n" + "\n".join(mark + x for x in textwrap.wrap(t, width)) + "\nand after"
+    got = scanned(spark, docs, [wrap(t, *s) for _, t in known for s in shapes])
+    want = [f for f, _ in known for _ in shapes]
+    assert [(f, r["licence"]) for f, r in zip(want, got, strict=True) if r["licence"] != f] == []
+    assert all(r["families"] == f for f, r in zip(want, got, strict=True))
