@@ -5,12 +5,15 @@ learns from the notices below, whole and in pieces, against paragraphs of the co
 only speak of licences (the unknown class). A temperature from held-out pieces calibrates its
 probabilities. A prediction is confirmed if its words are those of one of the family's notices, or if it
 is a part of one: most of its words, three at least and two of them distinctive, are in that notice and in no other family's as many.
-Wrapped notices are put together from neighbouring lines.
+Wrapped notices are put together from neighbouring lines. Short statements, in four languages, are confirmed
+by a name of the family and few words but those that such statements are made of. Every line that can be
+confirmed at all is scored: it must have a word of the notices that isn't common.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
@@ -104,6 +107,30 @@ NOTICES: dict[str, list[str]] = {
         "Proprietary and confidential. Unauthorized copying of this file, via any medium, is strictly prohibited.",
     ],
 }
+# Short names of the families, and the ways to say in four languages that a text is under one.
+NAMES: dict[str, list[str]] = {
+    "MIT": ["MIT"],
+    "Apache-2.0": ["Apache-2.0", "Apache License 2.0"],
+    "BSD": ["BSD", "BSD-3-Clause", "BSD-2-Clause"],
+    "ISC": ["ISC"],
+    "GPL-2.0": ["GPL-2.0", "GPLv2", "GNU GPL v2", "GPL version 2", "GPL-2.0-only", "GPL-2.0-or-later"],
+    "GPL-3.0": ["GPL-3.0", "GPLv3", "GNU GPL v3", "GPL version 3", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "LGPL": ["LGPL", "LGPLv3", "LGPL-2.1", "LGPL-3.0-or-later"],
+    "AGPL-3.0": ["AGPL", "AGPLv3", "AGPL-3.0"],
+    "MPL-2.0": ["MPL-2.0", "Mozilla Public License 2.0"],
+    "CC-BY": ["CC-BY", "CC-BY-4.0", "CC BY 3.0", "Creative Commons Attribution"],
+    "CC-BY-SA": ["CC-BY-SA", "CC-BY-SA-4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike"],
+    "CC-BY-NC": ["CC-BY-NC", "CC-BY-NC-4.0", "CC-BY-NC-SA", "CC-BY-NC-ND", "Creative Commons Attribution-NonCommercial"],
+    "CC-BY-ND": ["CC-BY-ND", "CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives"],
+    "CC0": ["CC0", "CC0-1.0"],
+    "Unlicense": ["Unlicense"],
+}
+FORMS = [
+    "Available under {}.", "Released under {}.", "Licensed under {}.", "Distributed under the {} license.", "Published under the terms of the {} licence.", "License: {}", "SPDX-License-Identifier: {}",
+    "Veröffentlicht unter der {}-Lizenz.", "Lizenziert unter {}.", "Dieses Werk steht unter der {} Lizenz.", "Lizenz: {}",
+    "Publié sous licence {}.", "Distribué sous la licence {}.", "Sous licence {}.", "Licence : {}",
+    "Publicado bajo la licencia {}.", "Distribuido bajo licencia {}.", "Bajo la licencia {}.", "Licencia: {}",
+]
 # Sentences with licence words that state no licence of a text.
 MENTIONS = [
     "He lost his driving license on the way to the court.",
@@ -122,11 +149,27 @@ MENTIONS = [
     "The old songs have been in the public domain since 1950, some say.",
     "Creative people often work in common rooms.",
 ]
-#: Only paragraphs with one of these (lower-cased) are scored; all others have no licence.
+#: Paragraphs with one of these (lower-cased) speak of licences: `unknown` if no prediction is confirmed. Which are scored doesn't depend on them.
 CUES = ["licen", "copyright", "permission", "redistribut", "public domain", "rights reserved", "creative commons", "cc by", "cc0", "gpl", "proprietary", "spdx", "unencumbered"]
 
 # Words of the notices that say nothing of licences by themselves.
-COMMON = "a all an and any are as at be by can copy file following for free from general has have hereby if in is it may more no not obtain of on one only or other permitted person project provided public see some source text that the their then these this to under use version was with without work you your".split()
+COMMON = "example http https sa nc nd a all an and any are as at be by can copy file following for free from general has have hereby if in is it may more no not obtain of on one only or other permitted person project provided public see some source text that the their then these this to under use version was with without work you your mit der die das dem den des dieses steht unter sous la le les un une bajo el los las de del ce cet cette est et se este esta es ist dieser diese wird".split()
+
+
+def _cut_words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+(?:[.+][^\W_]+)*", text.lower())
+
+
+#: All words of notices and statements; those that a confirmed paragraph must have one of. (`mit` is a German word too; sa, nc and nd stand beside cc or a word of licensing.)
+VOCABULARY = sorted({w for t in [*(n for ns in NOTICES.values() for n in ns), *(n for ns in NAMES.values() for n in ns), *(f.replace("{}", " ") for f in FORMS)] for w in _cut_words(t)})
+KEYS = [w for w in VOCABULARY if w not in COMMON and w[0].isalpha()]
+SAYING = sorted({w for f in FORMS for w in _cut_words(f.replace("{}", " "))} - set(COMMON))
+
+
+def _has_key(text: Column) -> Column:
+    """Has a word with the longest part of a key (a superset of those that have a key)."""
+    parts = sorted({max(re.split(r"[.+]", k), key=len) for k in KEYS})
+    return F.arrays_overlap(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), F.array(*[F.lit(x) for x in parts]))
 
 
 def _has_cue(low: Column) -> Column:
@@ -134,7 +177,7 @@ def _has_cue(low: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*)"), F.lit(1))
+    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:[.+][\p{L}\p{N}]+)*)"), F.lit(1))
 
 
 def grams(w: Column) -> Column:
@@ -155,10 +198,10 @@ def _pieces(notice: str) -> list[str]:
 def train(docs: DataFrame, background: int = 1500) -> tuple[DataFrame, list[str], list[float], float]:
     """(gram, weights array) of the grams with weight, families, intercepts, temperature.
 
-    Bounds: the notices above and the first paragraphs, where they have no licence cue, of at most background documents.
+    Bounds: the notices and statements above and the first paragraphs, where they have no licence cue, of at most background documents.
     """
     spark = docs.sparkSession
-    known = [(p, f) for f, notices in NOTICES.items() for n in notices for p in _pieces(n)] + [(m, UNKNOWN) for m in MENTIONS for _ in range(4)]
+    known = [(p, f) for f, notices in NOTICES.items() for n in notices for p in _pieces(n)] + [(form.format(n), f) for f, names in NAMES.items() for n in names for form in FORMS] + [(m, UNKNOWN) for m in MENTIONS for _ in range(4)]
     other = bounded_sample(docs.where("text is not null").select("doc_id", F.substring_index("text", "\n", 1).alias("text")).where((F.length("text") > 0) & ~_has_cue(F.lower("text"))), F.struct("doc_id", "text"), background).select("text", F.lit(UNKNOWN).alias("family"))
     families = [*NOTICES, UNKNOWN]
     index = F.create_map(*[F.lit(x) for i, f in enumerate(families) for x in (f, float(i))])
@@ -204,8 +247,14 @@ def classify(paragraphs: DataFrame, model: tuple[DataFrame, list[str], list[floa
     most = F.transform_values("near", lambda f, n: F.array_max(F.transform(n, lambda x: F.when((F.size(x["shared"]) >= 3) & (F.size(F.array_except(x["shared"], plain)) >= 2), part(x)).otherwise(0.0))))
     first = lambda c: c[family] > F.array_max(F.map_values(F.map_filter(c, lambda f, x: f != family)))
     out = out.withColumns({"like": like, "within": within, "part": most})
-    similarity = F.greatest(F.col("like")[family], F.col("within"), F.when(first(F.col("part")), F.col("part")[family]))
-    sure = (family != UNKNOWN) & (F.col("probability") >= 0.5) & (F.col("similarity") >= 0.6)
+    names = F.create_map(*[x for f in NOTICES for x in (F.lit(f), F.array(*[words(F.lit(n)) for n in NAMES.get(f, [])]).cast("array<array<string>>"))])
+    named = F.transform_values(names, lambda f, n: F.coalesce(F.array_max(F.transform(F.filter(n, lambda t: F.size(F.array_except(t, "own")) == 0), lambda t: F.size(t))), F.lit(0)))
+    letters = F.filter("own", lambda x: x.rlike(r"^\p{L}"))
+    known = F.array(*[F.lit(x) for x in sorted({*COMMON, *SAYING, *(w for ns in NAMES.values() for n in ns for w in _cut_words(n))})])
+    out = out.withColumns({"named": named, "said": F.size(F.array_intersect(letters, known)) / F.greatest(F.size(letters), F.lit(1))})
+    says = (F.col("named")[family] > 0) & (F.col("named")[family] == F.array_max(F.map_values("named"))) & F.arrays_overlap("own", F.array(*[F.lit(x) for x in SAYING]))
+    similarity = F.greatest(F.col("like")[family], F.col("within"), F.when(first(F.col("part")), F.col("part")[family]), F.when(says, F.col("said")))
+    sure = F.arrays_overlap("own", F.array(*[F.lit(k) for k in KEYS])) & (family != UNKNOWN) & (F.col("probability") >= 0.5) & (F.col("similarity") >= 0.6)
     out = out.withColumn("similarity", F.coalesce(similarity, F.lit(0.0))).withColumns({"confirmed": F.coalesce(sure, F.lit(False)), "alone": F.coalesce(first(F.col("like")), F.lit(False))})
     return out.select("line", "family", "probability", "similarity", "confirmed", "alone")
 
@@ -225,29 +274,31 @@ def wrapped(lines: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, n_paragraphs (with a licence cue), licence, probability, similarity, confirmed, families.
+    """One row per row of docs: doc_id, n_paragraphs (with a licence cue or confirmed), licence, probability, similarity, confirmed, families.
 
     A paragraph is a line, or a run of wrapped lines that are confirmed together as one notice.
 
     licence is the family of the best paragraph: confirmed before unconfirmed, then by probability;
-    `none` (0.0, 0.0, false) without a cue, `unknown` if no paragraph's prediction is confirmed.
+    `none` (0.0, 0.0, false) without such a paragraph, `unknown` if no paragraph's prediction is confirmed.
     families lists all confirmed ones. Null texts have no paragraphs.
     """
     keyed = docs.select("doc_id", text_hash().alias("th"), "text")
     full = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]"))
-    lines = cut(keyed.where(_has_cue(F.lower("text"))).select("doc_id", "th", F.posexplode(full).alias("pos", "line")).distinct())
+    lines = keyed.where(_has_key(F.col("text")) | _has_cue(F.lower("text"))).select("doc_id", "th", F.posexplode(full).alias("pos", "line"))
+    own = F.array_distinct(words(F.col("line")))
+    lines = lines.withColumns({"cue": _has_cue(F.lower("line")), "key": _has_key(F.col("line")), "own": own})
+    told = F.size(F.array_intersect("own", F.array(*[F.lit(x) for x in VOCABULARY]))) >= 0.6 * F.size("own")  # no run without it
+    lines = cut(lines.where(F.col("cue") | F.col("key") | told).drop("own").distinct())
     model = train(docs)
-    runs = cut(wrapped(lines).where(_has_cue(F.lower("line"))))
-    single = lines.where(_has_cue(F.lower("line"))).select("doc_id", "th", "line").distinct()
-    found = cut(classify(single.select("line").union(runs.select("line")).distinct(), model))
+    runs = cut(wrapped(lines).where(_has_key(F.col("line"))))
+    found = cut(classify(lines.where("cue or key").select("line").union(runs.select("line")).distinct(), model))
     look = small(found, found.count(), 100_000)
     joined_runs = cut(runs.join(look, "line").where("confirmed and alone"))
     inside = joined_runs.select("doc_id", "th", F.explode("run").alias("pos")).distinct()
-    key = ["doc_id", "th", "pos"]
-    same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"i.{c}")) for c in key])
-    loose = lines.where(_has_cue(F.lower("line"))).alias("l").join(inside.alias("i"), same, "left_anti").select("doc_id", "th", "line").distinct()
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"i.{c}")) for c in ("doc_id", "th", "pos")])
+    loose = lines.where("cue or key").alias("l").join(inside.alias("i"), same, "left_anti").select("doc_id", "th", "line", "cue").distinct().join(look, "line").where("cue or confirmed")
     columns = ["doc_id", "th", "line", "family", "probability", "similarity", "confirmed"]
-    joined = loose.join(look, "line").select(columns).union(joined_runs.select(columns).distinct())
+    joined = loose.select(columns).union(joined_runs.select(columns).distinct())
     rank = F.struct("confirmed", "probability", "similarity", F.when(F.col("confirmed"), F.col("family")).otherwise(UNKNOWN).alias("family"))
     per = joined.groupBy("doc_id", "th").agg(F.count("*").alias("n"), F.max(rank).alias("best"), F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("all"))
     per = per.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "n", "best", "all")

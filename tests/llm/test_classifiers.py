@@ -154,3 +154,16 @@ def test_licence_notices_wrapped(spark, docs):
     want = [f for f, _ in known for _ in shapes]
     assert [(f, r["licence"]) for f, r in zip(want, got, strict=True) if r["licence"] != f] == []
     assert all(r["families"] == f for f, r in zip(want, got, strict=True))
+
+
+def test_licence_lines_without_an_english_cue(spark, docs):
+    known = {
+        "Available under CC-BY-SA-4.0.": "CC-BY-SA", "Released under Apache-2.0.": "Apache-2.0", "Distributed under BSD-3-Clause.": "BSD", "Licensed under CC-BY-4.0.": "CC-BY",
+        "Veröffentlicht unter der MIT-Lizenz.": "MIT", "Dieser Text steht unter der CC-BY-NC-Lizenz.": "CC-BY-NC", "Ce texte est publié sous licence MIT.": "MIT",
+        "Este texto se distribuye bajo la licencia GPLv3.": "GPL-3.0", "Made available under GPL-2.0-or-later.": "GPL-2.0", "Released under MIT.": "MIT",
+    }
+    got = [r["licence"] for r in scanned(spark, docs, list(known))]
+    assert dict(zip(known, got, strict=True)) == known
+    none = ["Er kam mit der Bahn unter der Brücke.", "The film was released in May.", "Publié à Paris.", "Apache helicopters were available."]
+    assert not any(r["confirmed"] for r in scanned(spark, docs, none))
+    assert {r["licence"] for r in scanned(spark, docs, none)} == {"none"}
