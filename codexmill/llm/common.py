@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import shutil
 import tempfile
 
@@ -21,13 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialises df in the cluster's shared checkpoint folder and cuts its lineage.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset (tests, one machine)
-    a temporary one is made.
+    The folder is the session's spark.checkpoint.dir; only where that is unset on one machine (tests)
+    a temporary one is made. On a cluster without it this is an error: no other node could read that.
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None):
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
+            if not one_machine(context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
             folder = tempfile.mkdtemp(prefix="codexmill-checkpoint-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
             context.setCheckpointDir(folder)
@@ -37,6 +40,11 @@ def cut(df: DataFrame) -> DataFrame:
     return done
 
 
+def one_machine(master: str) -> bool:
+    """Whether driver and executors are one process: local and local[...], but not local-cluster[...]."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def release(spark: SparkSession) -> None:
     """Has the driver's JVM drop plans that nothing refers to any more; Spark then deletes their shuffle files, which else pile up until it happens to."""
     gc.collect()

@@ -54,3 +54,10 @@ def test_fm_index_counts(sigma, n, length):
     got = fmindex.FMIndex(text, sigma + 1, length + 1).repeated(text, starts, length)
     all_windows = [tuple(text[s : s + length]) for s in starts]
     assert got.tolist() == [all_windows.count(w) > 1 for w in all_windows]
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from codexmill.llm.common import one_machine
+
+    assert all(one_machine(m) for m in ("local", "local[4]", "local[*]", "local[4, 2]"))
+    assert not any(one_machine(m) for m in ("local-cluster[3,2,1024]", "yarn", "spark://host:7077", "k8s://host"))
