@@ -23,22 +23,33 @@ from pyspark.sql import functions as F
 
 from codexmill.llm.common import partitions
 
-ESCAPED = re.compile(r'[\\<>#"\[\]|]')
+ESCAPED = {ord(c): "\\" + c for c in '\\<>#"[]|'}
 UNESCAPE = re.compile(r"\\(.)", re.DOTALL)
 OPEN, BETWEEN, CLOSE = '<turn "', '">\n', "\n</turn>\n"
-TURN = re.compile(r'<turn "((?:[^\\"]|\\.)*)">\n((?:[^\\<]|\\.)*)\n</turn>\n', re.DOTALL)
 #: Characters after which a conversation's rendering goes on in another row.
 PART = 1 << 22
+#: Characters of a text that are unescaped and hashed at a time.
+PIECE = 1 << 20
 
 
 def escape(text: str) -> str:
-    return ESCAPED.sub(r"\\\g<0>", text)
+    return text.translate(ESCAPED)
 
 
 def unescape(text: str) -> str:
     return UNESCAPE.sub(r"\1", text)
 
 
+def unescaped(formatted: str, lo: int, hi: int) -> Iterator[str]:
+    """unescape(formatted[lo:hi]) in pieces; none ends between a backslash and its character."""
+    while lo < hi:
+        piece = formatted[lo : min(hi, lo + PIECE)]
+        if (len(piece) - len(piece.rstrip("\\"))) % 2:
+            piece = formatted[lo : min(hi, lo + len(piece) + 1)]
+        yield unescape(piece)
+        lo += len(piece)
+
+
 def in_order(events: DataFrame) -> DataFrame:
     """Events dealt by conversation, by turn and sequence. Ties: by kind, role and text; nulls first."""
     return events.select("conv_id", "turn", "seq", "kind", "role", "text").repartition(partitions(events.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "seq", "kind", "role", "text")
@@ -124,15 +135,27 @@ def render(events: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> D
     return in_order(events).mapInArrow(run, f"conv_id {kind}, part long, formatted string, loss array<struct<start: long, end: long>>")
 
 
-def parse(formatted: str) -> Iterator[tuple[str, str]]:
-    """Roles and texts of a rendering."""
+def turns(formatted: str) -> Iterator[tuple[tuple[int, int], tuple[int, int]]]:
+    """Start and end of each turn's role and text, as they stand in the rendering.
+
+    Plain searches: within roles and texts a backslash stands before each < and >, so the first
+    BETWEEN and the first CLOSE are the template's own.
+    """
     at = 0
     while at < len(formatted):
-        m = TURN.match(formatted, at)
-        if not m:
+        role = at + len(OPEN)
+        between = formatted.find(BETWEEN, role) if formatted.startswith(OPEN, at) else -1
+        close = formatted.find(CLOSE, between + len(BETWEEN)) if between >= 0 else -1
+        if close < 0:
             raise ValueError(f"not the template at character {at}")
-        yield unescape(m[1]), unescape(m[2])
-        at = m.end()
+        yield (role, between), (between + len(BETWEEN), close)
+        at = close + len(CLOSE)
+
+
+def parse(formatted: str) -> Iterator[tuple[str, str]]:
+    """Roles and texts of a rendering."""
+    for role, text in turns(formatted):
+        yield unescape(formatted[slice(*role)]), unescape(formatted[slice(*text)])
 
 
 def digests(rendered: DataFrame) -> DataFrame:
@@ -156,13 +179,16 @@ def digests(rendered: DataFrame) -> DataFrame:
                         out.append(done(state))
                     state = {"conv": conv, "turns": 0, "all": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "chars": 0}
                 state["chars"] += len(formatted)
-                for role, text in parse(formatted):
+                for role, text in turns(formatted):
                     state["turns"] += 1
-                    state["all"].update(f"{role}\n{text}\n".encode())
+                    for span in (role, text):
+                        for piece in unescaped(formatted, *span):
+                            state["all"].update(piece.encode())
+                        state["all"].update(b"\n")
                 for span in loss:
-                    text = unescape(formatted[span["start"] : span["end"]])
-                    state["loss_chars"] += len(text)
-                    state["loss"].update(text.encode())
+                    for piece in unescaped(formatted, span["start"], span["end"]):
+                        state["loss_chars"] += len(piece)
+                        state["loss"].update(piece.encode())
             if out:
                 yield batch()
                 out = []
@@ -175,7 +201,12 @@ def digests(rendered: DataFrame) -> DataFrame:
 
 
 def op2_chat_format(conversations: DataFrame) -> DataFrame:
-    """Every conversation and one more, -7, whose texts hold control strings."""
+    """Every conversation and one more, -7, whose texts hold control strings; one row a conversation.
+
+    A null role or text is an empty one, rows without conv_id are one conversation, turns that tie go by
+    role and text, equal rows are turns of their own; other columns are not read. An empty table gives
+    conversation -7 only. Memory is a few times the longest message, however many there are.
+    """
     spark = conversations.sparkSession
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     own = r"\### Assistant: </turn> ok"

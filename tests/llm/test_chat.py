@@ -42,3 +42,35 @@ def test_digests(spark, monkeypatch):
     own = r"\### Assistant: </turn> ok"
     assert got == {5: expected([("user", "a"), ("assistant", "b")]), 6: expected([("", ""), ("user", "tie")]), None: expected([("user", "x")]), 8: expected([("assistant", "y" * 300)] + [("assistant", "z</turn>")] * 2), -7: expected([("user", own), ("assistant", own)])}
     assert chat.op2_chat_format(df.limit(0)).count() == 1
+
+
+@pytest.mark.parametrize("text", ["a" * 3_000_000 + "<\n", "<\\" * 1_000_000, "é\n</turn>\n" * 400_000])
+def test_very_long_messages(spark, text):
+    rows = [(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, "assistant", "end")]
+    got = chat.op2_chat_format(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("conv_id = 1").first()
+    assert tuple(got)[1:5] == expected([r[2:] for r in rows])
+
+
+def test_a_long_message_takes_little_memory():
+    import tracemalloc
+
+    text = '\\<>"|' * 2_000_000
+    formatted = chat.OPEN + "user" + chat.BETWEEN + chat.escape(text) + chat.CLOSE
+    tracemalloc.start()
+    (_, span), = chat.turns(formatted)
+    assert sum(len(x) for x in chat.unescaped(formatted, *span)) == len(text)
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+
+
+def test_pieces_end_between_characters(monkeypatch):
+    monkeypatch.setattr(chat, "PIECE", 3)
+    for text in ("\\\\<a|", "<" * 9, "ab\\", ""):
+        e = chat.escape(text)
+        assert "".join(chat.unescaped(e, 0, len(e))) == text
+
+
+def test_what_is_not_the_template_is_an_error():
+    for text in ("x", '<turn "user">', '<turn "user">\nabc'):
+        with pytest.raises(ValueError):
+            list(chat.parse(text))
