@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.llm.common import bounded_sample, fold_of
+from codexmill.llm.common import bounded_sample, fold_of, text_hash
 
 STATISTICS = ["chars", "words", "word_chars", "upper", "symbols", "digits", "loud", "distinct_words", "repeated_lines", "short_words"]
 
@@ -137,16 +137,23 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, rate: flo
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 20_000) -> Rules:
     """Learns from at most bound labelled documents; only their statistics reach the driver.
 
-    A doc_id with several labels counts by their mean; null labels and ids are left out.
+    A doc_id with several labels counts by their mean, one with several texts by that of the least
+    hash; null labels and ids are left out.
     """
     chosen = bounded_sample(labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y")), F.col("doc_id"), bound)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", statistics(F.col("text")).alias("s")).select("doc_id", "y", "s.*").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", text_hash().alias("th"), statistics(F.col("text")).alias("s"))
+    rows = rows.groupBy("doc_id").agg(F.first("y").alias("y"), F.min_by("s", "th").alias("s")).select("doc_id", "y", "s.*").collect()
     rows.sort(key=lambda r: tuple(r))
     return fit(np.array([[r[k] for k in STATISTICS] for r in rows]).reshape(len(rows), len(STATISTICS)), np.array([r["y"] for r in rows], float))
 
 
 def op7_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Learns from labels outside fold 0 of 5; scores every document, null and empty texts too."""
+    """Learns from labels outside fold 0 of 5; scores every document, one row for each row of documents.
+
+    Null and empty texts have the statistics of an empty text; very long texts are read whole; repeated
+    rows come out as often as they go in; without labels all scores are one half; columns besides doc_id
+    and text are not read. An empty table gives an empty one.
+    """
     fold = fold_of("doc_id", 5)
     rules = train(docs, labels.where(fold != 0).select("doc_id", "quality"))
     scored = docs.select("doc_id", statistics(F.col("text")).alias("s"))
