@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from codexmill.llm import langid, licences, quality, toxicity
 from codexmill.llm.langid import Model, Scorer
+from tests.llm.conftest import prose
 
 D = "/root/testdata/sf0.01"
 
@@ -83,13 +84,42 @@ def test_quality_rules_are_what_is_scored(spark, docs, labels):
 
 def test_toxicity_held_out(docs, labels):
     rows = toxicity.op10_toxicity(docs, labels).join(labels, "doc_id").collect()
-    _, held = f1(rows, "toxic")
+    score, held = f1(rows, "toxic")
     clean = [r for r in held if r["toxic"] == 0]
+    assert score >= 0.7  # some 300 rows to learn from
     assert sum(r["predicted"] for r in clean) / len(clean) <= 0.05
     toxic = [r["score"] for r in held if r["toxic"] == 1]
     assert sum(toxic) / len(toxic) > 2 * sum(r["score"] for r in clean) / len(clean)
 
 
+def test_toxicity_held_out_with_more_labels(spark):
+    tables = [spark.read.parquet(f"{D.replace('0.01', '0.1')}/{t}.parquet") for t in ("documents", "labels")]
+    rows = toxicity.op10_toxicity(*tables).join(tables[1], "doc_id").collect()
+    score, held = f1(rows, "toxic")
+    toxic, clean = ([r["predicted"] for r in held if r["toxic"] == y] for y in (1, 0))
+    assert sum(toxic) / len(toxic) >= 0.88 and sum(clean) / len(clean) <= 0.012 and score >= 0.9
+
+
+def test_toxicity_calibration():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    margin = r.normal(0, 3, 4000)
+    y = (r.random(4000) < 1 / (1 + np.exp(-(0.5 * margin - 1)))).astype(float)
+    slope, offset = toxicity.calibrate(margin, y)
+    assert abs(slope - 0.5) < 0.06 and abs(offset + 1) < 0.15
+    assert toxicity.calibrate(margin, np.ones(4000)) == (1.0, 0.0)
+    assert toxicity.calibrate(np.where(y > 0, 1e9, -1e9), y)[0] > 0  # parted without error
+
+
+def test_one_id_in_many_rows_is_learnt_from_once(spark):
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    once = spark.createDataFrame([(i, f"{prose(i, 20)} {'bad deed' if i % 2 else ''}") for i in range(60)], "doc_id long, text string")
+    many = once.union(spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("zz other "), F.col("id").cast("string"))))
+    assert toxicity.train(many, labels, bound=60)[2] is not None
+    assert quality.train(many, labels, bound=60).bias == quality.train(many.repartition(3), labels, bound=60).bias
+
+
 def test_toxicity_learns_pairs_and_skips(spark):
     r = random.Random(4)
     words = [f"w{i}" for i in range(60)]
