@@ -35,6 +35,23 @@ def test_marginals_meet_their_targets(spark):
             assert abs(got - share / sum(goal.values())) < 1e-6
 
 
+def test_both_ways_to_rake_agree(spark, monkeypatch):
+    cells = spark.createDataFrame([(f"s{i % 7}", f"l{i % 3}", f"t{i % 2}", 0 if i == 5 else 1 + i * i % 13) for i in range(42)], "source string, lang string, topic string, t long")
+    for targets in (None, {"lang": {"l0": 2, "l1": 1}}):
+        few = {tuple(r[:3]): r for r in mixing.rake(cells, targets=targets).collect()}
+        monkeypatch.setattr(mixing, "CELLS", 0)
+        many = {tuple(r[:3]): r for r in mixing.rake(cells, targets=targets).collect()}
+        monkeypatch.undo()
+        assert set(few) == set(many) and len(few) == 42
+        assert all(abs(few[k]["weight"] - many[k]["weight"]) < 1e-9 and few[k]["t"] == many[k]["t"] for k in few)
+        assert {r["residual"] < 1e-6 for r in (*few.values(), *many.values())} == {True}
+
+
+def test_targets_that_no_weights_meet_leave_a_residual(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 1), ("b", "y", "p", 1)], "source string, lang string, topic string, t long")
+    assert mixing.rake(cells, targets={"source": {"a": 9, "b": 1}, "lang": {"x": 1, "y": 9}}).first()["residual"] > 0.5
+
+
 def test_draw_is_calibrated(spark):
     df = spark.range(20_000).selectExpr("id as doc_id", "repeat('w ', 10) as text", "case when id % 3 = 0 then 'hot' else concat('s', id % 5) end as source", "'en' as lang")
     out = mixing.mix(df, targets={"source": {"hot": 1, "s0": 1, "s1": 1, "s2": 1, "s3": 1, "s4": 1}}, budget=1.0)
@@ -46,7 +63,12 @@ def test_draw_is_calibrated(spark):
 
 
 def test_mixing_odd_rows(odd, empty):
-    assert mixing.op1_mixing(odd).count() == odd.count()
+    rows, got = odd.collect(), mixing.op1_mixing(odd).collect()
+    words = lambda t: len(brute.blanks(t))
+    assert sorted(((r["doc_id"], r["source"], r["lang"], r["n_tokens"]) for r in got), key=repr) == sorted(((r["doc_id"], r["source"] or "?", r["lang"] or "?", words(r["text"])) for r in rows), key=repr)
+    for r in got:
+        key = "" if r["doc_id"] is None else str(r["doc_id"])
+        assert 0 <= r["p"] <= 1 and r["sampled"] == (int(hashlib.md5(f"{key}:1".encode()).hexdigest()[:13], 16) / 2**52 < r["p"])
     assert mixing.op1_mixing(empty).count() == 0
 
 
