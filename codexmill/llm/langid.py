@@ -2,7 +2,7 @@
 
 A word that the model knows scores by its log frequency in each language; an unseen word backs off
 to character n-grams, longest first, until a length has known n-grams. A text scores the mean of its
-words. Whole texts are read; the model is bounded by parameters, so its broadcast is too.
+words. Whole texts are read; the model's size is bounded by parameters, so its broadcast is too.
 """
 
 from __future__ import annotations
@@ -11,17 +11,25 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.llm.common import fold_of
+from codexmill.llm.common import cut, fold_of
 
 WORD = re.compile(r"[^\W\d_]+")
+GAP = re.compile(r"[\W\d_]")
+#: Characters of a text whose words are scored at a time; a word that goes on beyond them counts there.
+PIECE = 1 << 20
+#: A word over so many characters isn't kept in a scorer's cache.
+LONG_WORD = 100
 #: Log10 probability of what a language never showed, in words and in n-grams.
 PENALTY = -7.0
+#: Most entries of a model, and most cells of its tables (entries times languages; 4 bytes each).
+ENTRIES, CELLS = 1_500_000, 48_000_000
 
 
 @dataclass(frozen=True)
@@ -34,9 +42,14 @@ class Model:
     lengths: tuple[int, ...]  # longest first
 
 
-def _grams(word: str, n: int) -> list[str]:
+def _grams(word: str, n: int) -> Iterator[str]:
     padded = f"\x02{word}\x03"
-    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+    return (padded[i : i + n] for i in range(len(padded) - n + 1))
+
+
+def share(langs: int, kinds: int) -> int:
+    """How many entries of each kind (words, n-grams of a length) a language may have, so that the model keeps to ENTRIES and CELLS."""
+    return max(1, min(ENTRIES, CELLS // max(langs, 1)) // (max(langs, 1) * kinds))
 
 
 def train(docs: DataFrame, per_lang: int = 3000, max_words: int = 30_000, max_grams: int = 20_000, lengths: tuple[int, ...] = (5, 4, 3, 2, 1), max_langs: int = 500) -> Model:
@@ -44,7 +57,8 @@ def train(docs: DataFrame, per_lang: int = 3000, max_words: int = 30_000, max_gr
 
     Bounds: about per_lang documents a language (those with the smallest hash of doc_id, the share
     follows from each language's count), the max_words commonest words and max_grams n-grams of each
-    length a language. More than max_langs languages is an error, not a silent cut.
+    length a language, or fewer of both where there are so many languages that the model would go
+    beyond ENTRIES or CELLS. More than max_langs languages is an error, not a silent cut.
     """
     rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
@@ -53,11 +67,14 @@ def train(docs: DataFrame, per_lang: int = 3000, max_words: int = 30_000, max_gr
     langs = sorted(counts)
     if not langs:
         return Model([], {}, np.zeros((0, 0), np.float32), {}, np.zeros((0, 0), np.float32), lengths)
+    most = share(len(langs), 1 + len(lengths))
+    max_words, max_grams = min(max_words, most), min(max_grams, most)
     rate = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, per_lang / counts[k]))])
     rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < rate[F.col("lang")] * float(1 << 30))
-    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n"))
+    # The texts are read once; the counts of their words several times.
+    words = cut(rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n")))
     # The commonest words by a count threshold: as large as the bound lets it be, found from the counts' histogram.
-    hist = words.groupBy("lang", F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("k")).collect()
+    hist = words.groupBy("lang", F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("k"), F.sum("n").alias("t")).collect()
     floor = {}
     for lang in langs:
         left, least = max_words, 100_001
@@ -68,9 +85,9 @@ def train(docs: DataFrame, per_lang: int = 3000, max_words: int = 30_000, max_gr
         floor[lang] = least
     least = F.create_map(*[F.lit(x) for k in langs for x in (k, floor[k])])
     tables = {lang: {} for lang in langs}
-    for r in words.where(F.col("n") >= least[F.col("lang")]).toLocalIterator():
+    for r in words.where((F.col("n") >= least[F.col("lang")]) & (F.length("w") <= LONG_WORD)).toLocalIterator():
         tables[r["lang"]][r["w"]] = r["n"]
-    totals = {r["lang"]: r["t"] for r in words.groupBy("lang").agg(F.sum("n").alias("t")).collect()}
+    totals = {lang: sum(r["t"] for r in hist if r["lang"] == lang) for lang in langs}
     grams: dict[str, dict[int, dict[str, int]]] = {}
     for lang in langs:
         grams[lang] = {}
@@ -113,19 +130,26 @@ class Scorer:
     def back_off(self, word: str) -> np.ndarray:
         get = self.m.grams.get
         for n in self.m.lengths:
-            found = [i for g in _grams(word, n) if (i := get(g)) is not None]
-            if found:
-                return self.m.gram_logs[found].mean(0)
+            total, k, found = np.zeros(len(self.m.langs), np.float64), 0, (i for g in _grams(word, n) if (i := get(g)) is not None)
+            while some := list(islice(found, 1 << 16)):  # a word may be as long as a text
+                total += self.m.gram_logs[some].sum(0, dtype=np.float64)
+                k += len(some)
+            if k:
+                return (total / k).astype(np.float32)
         return np.full(len(self.m.langs), PENALTY, np.float32)
 
     def score(self, text: str | None) -> tuple[str, float]:
         total, n = np.zeros(len(self.m.langs)), 0
-        low, letters = (text or "").lower(), False
-        for at in range(0, len(low), 1 << 20):  # a very long text goes piece by piece; a word across a cut counts as two
-            words = WORD.findall(low, at, at + (1 << 20))
+        low, letters, at = (text or "").lower(), False, 0
+        while at < len(low):
+            end = at + PIECE
+            if end < len(low):  # to the end of the word that the piece would cut
+                end = gap.start() if (gap := GAP.search(low, end)) else len(low)
+            words = WORD.findall(low, at, end)
+            at = end
             if not words:
                 continue
-            letters = letters or any(c.isalpha() for w in words[:50] for c in w) or any(c.isalpha() for w in words for c in w)
+            letters = letters or any(c.isalpha() for w in words for c in w)
             if not self.m.langs:
                 continue
             ids = list(map(self.index.get, words))
@@ -147,8 +171,8 @@ class Scorer:
         i = self.index.get(word)
         if i is not None:
             return i
-        if self.used - self.base >= self.limit:
-            total += self.back_off(word)  # the cache is full: as good, only slower
+        if self.used - self.base >= self.limit or len(word) > LONG_WORD:
+            total += self.back_off(word)  # not kept: as good, only slower
             return None
         i = self.used
         self.rows[i] = self.back_off(word)
@@ -179,7 +203,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def op3_language_id(docs: DataFrame) -> DataFrame:
-    """Learns from the rows outside fold 0 of 5 (crc32 of doc_id) that have text and lang; predicts every row."""
+    """Learns from the rows outside fold 0 of 5 (crc32 of doc_id) that have text and lang; predicts every row.
+
+    `und` and 0.0 for null and empty texts, texts without letters, and where nothing could be learnt;
+    very long texts are read whole, words across pieces too; languages that tie go by name; repeated rows
+    come out as often as they go in; columns besides doc_id, text and lang are not read. An empty table
+    gives an empty one.
+    """
     fold = fold_of("doc_id", 5)
     model = train(docs.where(fold != 0))
     return identify(docs, model).select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
