@@ -44,11 +44,20 @@ def _hashes(df: DataFrame) -> DataFrame:
     return df.withColumn("g", grams).drop("h")
 
 
-def _fingerprints() -> Column:
-    """Of g: the distinct least hashes of its runs."""
+def _least() -> Column:
+    """Of g: the least hash of each run, by the run's first place."""
     n = F.size("g") - (GRAM - 1)  # the last ones are not of GRAM words
     least = F.transform("g", lambda x, i: F.least(x, *[F.get(F.col("g"), i + j) for j in range(1, RUN)]))
-    return F.array_distinct(F.slice(least, F.lit(1), F.greatest(n - (RUN - 1), F.lit(0))))
+    return F.slice(least, F.lit(1), F.greatest(n - (RUN - 1), F.lit(0)))
+
+
+def _marks() -> Column:
+    """Of m, what _least() gives: fp and at, for the first run of each stretch of runs that have the same hash, and again every RUN runs.
+
+    So the windows of any hit begin at most RUN - 1 words after a mark with its hash.
+    """
+    first = lambda x, i: (i % RUN == 0) | (x != F.get(F.col("m"), i - 1))
+    return F.filter(F.transform("m", lambda x, i: F.when(first(x, i), F.struct(x.alias("fp"), i.alias("at")))), lambda x: x.isNotNull())
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -59,31 +68,37 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return items.select("item_id", k.alias("k"), F.explode(F.transform(starts, lambda s: F.array_join(F.slice(F.col("w"), s, k), " "))).alias("window")).distinct()
 
 
+def cells(found: DataFrame, *arrays: str) -> int:
+    """Rows and entries of the arrays, which a broadcast of found would hold."""
+    return sum(x or 0 for x in found.agg(F.count("*"), *[F.sum(F.size(c)) for c in arrays]).first())
+
+
 def hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """doc_id, th, start (word, from 1), k, window: every occurrence of an item's window in a document, once; and item_windows()."""
     windows = cut(item_windows(benchmark))
     distinct = windows.select("k", "window").distinct()
-    n_windows, short = distinct.agg(F.count("*"), F.collect_set(F.when(F.col("k") < WINDOW, F.col("k")))).first()
+    n_windows, chars, short = distinct.agg(F.count("*"), F.sum(F.length("window")), F.collect_set(F.when(F.col("k") < WINDOW, F.col("k")))).first()
     keyed = docs.select("doc_id", text_hash().alias("th"), words("text").alias("w"))
     items = benchmark.select(words("text").alias("w"))
-    prints = _hashes(items).select(F.explode(_fingerprints()).alias("fp")).distinct()
-
-    # Fingerprints of documents that some item has.
-    found = _hashes(keyed).select("doc_id", "th", F.explode(_fingerprints()).alias("fp")).join(small(prints, n_windows), "fp")
-    found = cut(found.groupBy("doc_id", "th").agg(F.collect_set("fp").alias("fps")))
-    near = found.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "fps")
-    theirs = docs.select("doc_id", text_hash().alias("th"), "text").join(small(near, found.count(), 100_000), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th"))).dropDuplicates(["doc_id", "th"])
-    # Around each: the windows that hold it, compared as words.
-    full = _hashes(theirs.select("doc_id", "th", "fps", words("text").alias("w")))
-    at = F.filter(F.transform("g", lambda x, i: F.when(F.array_contains("fps", x), i)), lambda i: i.isNotNull())
-    starts = F.array_distinct(F.flatten(F.transform(at, lambda i: F.sequence(F.greatest(i - (RUN - 1), F.lit(0)), i))))
-    full = full.withColumn("start", F.explode(starts)).where(f"start + {WINDOW} <= size(w)")
-    full = full.select("doc_id", "th", (F.col("start") + 1).alias("start"), F.lit(WINDOW).alias("k"), F.array_join(F.slice("w", F.col("start") + 1, F.lit(WINDOW)), " ").alias("window"))
+    prints = _hashes(items).select(F.explode(F.array_distinct(_least())).alias("fp")).distinct()
+
+    # Marks of documents that some item has, too.
+    marks = _hashes(keyed).select("doc_id", "th", _least().alias("m")).select("doc_id", "th", F.explode(_marks()).alias("x"))
+    found = marks.select("doc_id", "th", "x.fp", "x.at").join(small(prints, n_windows), "fp")
+    found = cut(found.groupBy("doc_id", "th").agg(F.collect_set("at").alias("marks")))
+    near = found.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "marks")
+    theirs = docs.select("doc_id", text_hash().alias("th"), "text").join(small(near, cells(found, "marks")), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th"))).dropDuplicates(["doc_id", "th"])
+    # After each: the windows that may hold it, compared as words.
+    full = theirs.select("doc_id", "th", "marks", words("text").alias("w"))
+    starts = F.array_distinct(F.flatten(F.transform("marks", lambda i: F.sequence(i + 1, i + RUN))))
+    starts = F.filter(starts, lambda s: s + (WINDOW - 1) <= F.size("w"))
+    full = full.select("doc_id", "th", F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_join(F.slice(F.col("w"), s, F.lit(WINDOW)), " ").alias("window")))).alias("x"))
+    full = full.select("doc_id", "th", "x.start", F.lit(WINDOW).alias("k"), "x.window")
     for k in sorted(short or []):  # items too short to have a fingerprint: their one window against all runs of as many words
         own = keyed.dropDuplicates(["doc_id", "th"]).where(F.size("w") >= k)
         runs = own.select("doc_id", "th", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - k + 1), lambda s: F.array_join(F.slice(F.col("w"), s, F.lit(k)), " "))).alias("p", "window"))
         full = full.union(runs.select("doc_id", "th", (F.col("p") + 1).alias("start"), F.lit(k).alias("k"), "window"))
-    return full.join(small(distinct, n_windows, 300_000), ["k", "window"]), windows
+    return full.join(small(distinct, max(n_windows, (chars or 0) // 100), 300_000), ["k", "window"]), windows
 
 
 def found_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -120,15 +135,24 @@ def clean(docs: DataFrame, benchmark: DataFrame, least_items: int = 2) -> DataFr
     """
     found = cut(found_items(docs, benchmark))
     rows = docs.select(F.struct(*docs.columns).alias("doc"), text_hash().alias("th"))
-    rows = rows.join(small(found, found.count(), 100_000), F.col("doc.doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left").where(F.coalesce(F.size("items") < least_items, F.lit(True)))
+    rows = rows.join(small(found, cells(found, "hit_words", "items")), F.col("doc.doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left").where(F.coalesce(F.size("items") < least_items, F.lit(True)))
     gap = CASED_WORDS.replace("[^", "[")
     pieces = F.regexp_extract_all(F.col("doc.text"), F.lit(f"({gap[:-1]}*{CASED_WORDS})"), F.lit(1))
-    left = F.trim(F.concat(F.array_join(F.filter(pieces, lambda _, i: ~F.array_contains("hit_words", i + 1)), ""), F.regexp_extract(F.col("doc.text"), f"({gap[:-1]}*)$", 1)))
+    places = lambda p: F.array_except(F.when(F.size(p) > 0, F.sequence(F.lit(1), F.size(p))).otherwise(F.array().cast("array<int>")), F.col("hit_words"))
+    kept = F.get(F.transform(F.array(pieces), lambda p: F.array_join(F.transform(places(p), lambda i: F.get(p, i - 1)), "")), F.lit(0))
+    left = F.trim(F.concat(kept, F.regexp_extract(F.col("doc.text"), f"({gap[:-1]}*)$", 1)))
     text = F.when(F.col("hit_words").isNull(), F.col("doc.text")).otherwise(left)
     return rows.select(*[text.alias(c) if c == "text" else F.when(F.col("hit_words").isNull(), F.col("doc.n_chars")).otherwise(F.length(left)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def op8_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """decontaminate(), the items as their digest: one row for each row of documents.
+
+    Null and empty texts have no words, hits or items (the digest of the empty string); very long texts
+    are read whole, by steps that follow their length; repeated rows and ids come out as often as they
+    go in; items that tie are sorted as strings; columns besides doc_id and text are not read. An empty
+    table gives an empty one, an empty benchmark no hits.
+    """
     return decontaminate(docs, benchmark).select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
