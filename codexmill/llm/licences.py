@@ -2,12 +2,13 @@
 
 A sparse logistic regression over word n-grams tells licence families apart, paragraph by paragraph; it
 learns from the notices below, whole and in pieces, against paragraphs of the corpus and sentences that
-only speak of licences (the unknown class). A temperature from held-out pieces calibrates its
-probabilities. A prediction is confirmed if its words are those of one of the family's notices, or if it
+only speak of licences (the unknown class). A temperature calibrates its probabilities, from notices
+and wordings that the model fitted for it hasn't seen, with all their pieces and copies. A prediction is confirmed if its words are those of one of the family's notices, or if it
 is a part of one: most of its words, three at least and two of them distinctive, are in that notice and in no other family's as many.
 Wrapped notices are put together from neighbouring lines. Short statements, in four languages, are confirmed
-by a name of the family and few words but those that such statements are made of. Every line that can be
-confirmed at all is scored: it must have a word of the notices that isn't common.
+by a name of the family and few words but those that such statements are made of, or by a name that is no
+word of a language (`GPLv3`, `CC BY 4.0`, `MIT` in capitals) beside a word of licensing. Every line that
+can be confirmed at all is scored: it must have a word of the notices that isn't common, or such a name.
 """
 
 from __future__ import annotations
@@ -130,7 +131,10 @@ FORMS = [
     "Veröffentlicht unter der {}-Lizenz.", "Lizenziert unter {}.", "Dieses Werk steht unter der {} Lizenz.", "Lizenz: {}",
     "Publié sous licence {}.", "Distribué sous la licence {}.", "Sous licence {}.", "Licence : {}",
     "Publicado bajo la licencia {}.", "Distribuido bajo licencia {}.", "Bajo la licencia {}.", "Licencia: {}",
+    "{}", "Code: {}", "SPDX: {}", "Released under the {} terms.", "Everything here is under {}.", "{} licensed",
 ]
+# Words by which a statement says that something is under the licence that it names.
+UNDER = "as licence licences licenced license licenses licensed licensing lizenz lizenziert licencia licenciado licencié under unter sous bajo term terms".split()
 # Sentences with licence words that state no licence of a text.
 MENTIONS = [
     "He lost his driving license on the way to the court.",
@@ -148,12 +152,16 @@ MENTIONS = [
     "Which license should I choose for my project?",
     "The old songs have been in the public domain since 1950, some say.",
     "Creative people often work in common rooms.",
+    "She explained how GPLv3 differs from its predecessor in court.",
+    "The committee discussed Apache 2.0 and CC BY for an hour.",
 ]
+#: One notice, wording or paragraph of so many is kept for the temperature.
+HELD = 4
 #: Paragraphs with one of these (lower-cased) speak of licences: `unknown` if no prediction is confirmed. Which are scored doesn't depend on them.
 CUES = ["licen", "copyright", "permission", "redistribut", "public domain", "rights reserved", "creative commons", "cc by", "cc0", "gpl", "proprietary", "spdx", "unencumbered"]
 
 # Words of the notices that say nothing of licences by themselves.
-COMMON = "example http https sa nc nd a all an and any are as at be by can copy file following for free from general has have hereby if in is it may more no not obtain of on one only or other permitted person project provided public see some source text that the their then these this to under use version was with without work you your mit der die das dem den des dieses steht unter sous la le les un une bajo el los las de del ce cet cette est et se este esta es ist dieser diese wird".split()
+COMMON = "example http https code everything here sa nc nd a all an and any are as at be by can copy file following for free from general has have hereby if in is it may more no not obtain of on one only or other permitted person project provided public see some source text that the their then these this to under use version was with without work you your mit der die das dem den des dieses steht unter sous la le les un une bajo el los las de del ce cet cette est et se este esta es ist dieser diese wird".split()
 
 
 def _cut_words(text: str) -> list[str]:
@@ -166,8 +174,22 @@ KEYS = [w for w in VOCABULARY if w not in COMMON and w[0].isalpha()]
 SAYING = sorted({w for f in FORMS for w in _cut_words(f.replace("{}", " "))} - set(COMMON))
 
 
+#: Names that are no words of a language, by family, as their words; the others must be in capitals.
+STRONG = {f: [" ".join(_cut_words(n)) for n in ns if any(c.isdigit() for c in n) or len(_cut_words(n)) > 2 or n in ("BSD", "GPLv2", "LGPL", "AGPL", "CC-BY")] for f, ns in NAMES.items()}
+CAPITALS = {"MIT": "MIT", "ISC": "ISC"}
+
+
+def _capitals(line: Column, name: str) -> Column:
+    """The name in capitals, in a line that isn't all capitals."""
+    return line.rlike(rf"(?U)\b{name}\b") & line.rlike(r"\p{Ll}")
+
+
 def _has_key(text: Column) -> Column:
-    """Has a word with the longest part of a key (a superset of those that have a key)."""
+    """Has a word with the longest part of a key (a superset of those that have a key), or a name in capitals."""
+    return _has_word(text) | reduce(lambda a, b: a | b, [text.contains(n) for n in CAPITALS.values()])
+
+
+def _has_word(text: Column) -> Column:
     parts = sorted({max(re.split(r"[.+]", k), key=len) for k in KEYS})
     return F.arrays_overlap(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), F.array(*[F.lit(x) for x in parts]))
 
@@ -201,20 +223,24 @@ def train(docs: DataFrame, background: int = 1500) -> tuple[DataFrame, list[str]
     Bounds: the notices and statements above and the first paragraphs, where they have no licence cue, of at most background documents.
     """
     spark = docs.sparkSession
-    known = [(p, f) for f, notices in NOTICES.items() for n in notices for p in _pieces(n)] + [(form.format(n), f) for f, names in NAMES.items() for n in names for form in FORMS] + [(m, UNKNOWN) for m in MENTIONS for _ in range(4)]
-    other = bounded_sample(docs.where("text is not null").select("doc_id", F.substring_index("text", "\n", 1).alias("text")).where((F.length("text") > 0) & ~_has_cue(F.lower("text"))), F.struct("doc_id", "text"), background).select("text", F.lit(UNKNOWN).alias("family"))
+    known = [(p, f, n) for f, notices in NOTICES.items() for n in notices for p in _pieces(n)] + [(form.format(n), f, form) for f, names in NAMES.items() for n in names for form in FORMS] + [(m, UNKNOWN, m) for m in MENTIONS for _ in range(4)]
+    other = bounded_sample(docs.where("text is not null").select("doc_id", F.substring_index("text", "\n", 1).alias("text")).where((F.length("text") > 0) & ~_has_cue(F.lower("text"))), F.struct("doc_id", "text"), background).select("text", F.lit(UNKNOWN).alias("family"), F.col("text").alias("source"))
     families = [*NOTICES, UNKNOWN]
     index = F.create_map(*[F.lit(x) for i, f in enumerate(families) for x in (f, float(i))])
-    rows = spark.createDataFrame(known, "text string, family string").union(other)
-    rows = rows.select("family", index[F.col("family")].alias("label"), grams(words(F.col("text"))).alias("grams"), (F.abs(F.xxhash64("text")) % 5 == 0).alias("held")).where(F.size("grams") > 0)
+    rows = spark.createDataFrame(known, "text string, family string, source string").union(other)
+    rows = rows.select("family", index[F.col("family")].alias("label"), grams(words(F.col("text"))).alias("grams"), (F.pmod(F.xxhash64("source"), F.lit(HELD)) == 0).alias("held")).where(F.size("grams") > 0)
     weigh = F.when(F.col("family") == UNKNOWN, F.lit(1.0)).otherwise(F.lit(4.0))
     rows = cut(rows.withColumn("w", weigh).coalesce(1))
-    vocabulary = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=1.0, vocabSize=60_000).fit(rows.where(F.col("family") != UNKNOWN))
-    rows = vocabulary.transform(rows)
-    fit = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=2e-3, maxIter=60, standardization=False, weightCol="w").fit(rows)
+
+    def fitted(rows: DataFrame, steps: int) -> tuple:
+        vocabulary = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=1.0, vocabSize=60_000).fit(rows.where(F.col("family") != UNKNOWN))
+        return vocabulary, LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=2e-3, maxIter=steps, standardization=False, weightCol="w").fit(vocabulary.transform(rows))
+
+    vocabulary, unseen = fitted(rows.where("not held"), 40)
+    held = [(int(r["label"]), [float(x) for x in r["rawPrediction"]]) for r in unseen.transform(vocabulary.transform(rows.where("held"))).select("label", "rawPrediction").collect()]
+    vocabulary, fit = fitted(rows, 60)
     weights, intercepts = fit.coefficientMatrix.toArray(), [float(x) for x in fit.interceptVector]
     table = [(g, [float(x) for x in weights[:, i]]) for i, g in enumerate(vocabulary.vocabulary) if weights[:, i].any()]
-    held = [(int(r["label"]), [float(x) for x in r["rawPrediction"]]) for r in fit.transform(rows.where("held")).select("label", "rawPrediction").collect()]
 
     def loss(t: float) -> float:
         total = 0.0
@@ -228,16 +254,16 @@ def train(docs: DataFrame, background: int = 1500) -> tuple[DataFrame, list[str]
 
 
 def classify(paragraphs: DataFrame, model: tuple[DataFrame, list[str], list[float], float]) -> DataFrame:
-    """paragraphs (line, distinct) with family, probability, similarity, confirmed, alone (no other family's notice is as like)."""
+    """paragraphs (lid, line; distinct) with family, probability, similarity, confirmed, alone (no other family's notice is as like)."""
     weights, families, intercepts, temperature = model
-    rows = paragraphs.select("line", words(F.col("line")).alias("w"))
-    scored = rows.select("line", F.explode(grams(F.col("w"))).alias("gram")).join(F.broadcast(weights), "gram")  # at most the notices' grams
-    sums = scored.groupBy("line").agg(*[F.sum(F.col("weights")[i]).alias(f"z{i}") for i in range(len(families))])
+    rows = paragraphs.select("lid", "line", words(F.col("line")).alias("w"))
+    scored = rows.select("lid", F.explode(grams(F.col("w"))).alias("gram")).join(F.broadcast(weights), "gram")  # at most the notices' grams
+    sums = scored.groupBy("lid").agg(*[F.sum(F.col("weights")[i]).alias(f"z{i}") for i in range(len(families))])
     z = F.array(*[(F.coalesce(F.col(f"z{i}"), F.lit(0.0)) + intercepts[i]) / temperature for i in range(len(families))])
-    out = rows.join(sums, "line", "left").select("line", "w", z.alias("z")).withColumn("top", F.array_max("z"))
+    out = rows.join(sums, "lid", "left").select("lid", "line", "w", z.alias("z")).withColumn("top", F.array_max("z"))
     best = F.get(F.array(*[F.lit(f) for f in families]), F.array_position("z", F.col("top")).cast("int") - 1)
     total = F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
-    out = out.select("line", "w", best.alias("family"), (1 / total).alias("probability"))
+    out = out.select("lid", "line", "w", best.alias("family"), (1 / total).alias("probability"))
     notices = F.create_map(*[x for f, n in NOTICES.items() for x in (F.lit(f), F.array(*[words(F.lit(t)) for t in n]))])
     plain, own, family = F.array(*[F.lit(c) for c in COMMON]), F.array_distinct("w"), F.col("family")
     out = out.withColumn("own", own).withColumn("near", F.transform_values(notices, lambda f, n: F.transform(n, lambda t: F.struct(F.array_intersect("own", t).alias("shared"), F.size(F.array_distinct(t)).alias("size")))))
@@ -253,20 +279,32 @@ def classify(paragraphs: DataFrame, model: tuple[DataFrame, list[str], list[floa
     known = F.array(*[F.lit(x) for x in sorted({*COMMON, *SAYING, *(w for ns in NAMES.values() for n in ns for w in _cut_words(n))})])
     out = out.withColumns({"named": named, "said": F.size(F.array_intersect(letters, known)) / F.greatest(F.size(letters), F.lit(1))})
     says = (F.col("named")[family] > 0) & (F.col("named")[family] == F.array_max(F.map_values("named"))) & F.arrays_overlap("own", F.array(*[F.lit(x) for x in SAYING]))
-    similarity = F.greatest(F.col("like")[family], F.col("within"), F.when(first(F.col("part")), F.col("part")[family]), F.when(says, F.col("said")))
-    sure = F.arrays_overlap("own", F.array(*[F.lit(k) for k in KEYS])) & (family != UNKNOWN) & (F.col("probability") >= 0.5) & (F.col("similarity") >= 0.6)
+    joined = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" "))
+    length = lambda n: F.when(joined.contains(f" {n} "), n.count(" ") + 1).otherwise(0)
+    runs = {f: [length(n) for n in STRONG.get(f, [])] + ([F.when(_capitals(F.col("line"), CAPITALS[f]), 1).otherwise(0)] if f in CAPITALS else []) for f in NOTICES}
+    out = out.withColumn("runs", F.create_map(*[x for f, found in runs.items() for x in (F.lit(f), F.array_max(F.array(*found)) if found else F.lit(0))]))
+    under = F.arrays_overlap("own", F.array(*[F.lit(x) for x in sorted({*UNDER, *SAYING})])) | (F.size("w") <= 5)
+    stated = (F.col("runs")[family] > 0) & (F.col("runs")[family] == F.array_max(F.map_values("runs"))) & under
+    similarity = F.greatest(F.col("like")[family], F.col("within"), F.when(first(F.col("part")), F.col("part")[family]), F.when(says, F.col("said")), F.when(stated, F.lit(1.0)))
+    key = F.arrays_overlap("own", F.array(*[F.lit(k) for k in KEYS])) | reduce(lambda a, b: a | b, [_capitals(F.col("line"), n) for n in CAPITALS.values()])
+    sure = key & (family != UNKNOWN) & (F.col("probability") >= 0.5) & (F.col("similarity") >= 0.6)
     out = out.withColumn("similarity", F.coalesce(similarity, F.lit(0.0))).withColumns({"confirmed": F.coalesce(sure, F.lit(False)), "alone": F.coalesce(first(F.col("like")), F.lit(False))})
-    return out.select("line", "family", "probability", "similarity", "confirmed", "alone")
+    return out.select("lid", "family", "probability", "similarity", "confirmed", "alone")
+
+
+def line_id(line: Column) -> Column:
+    """64 bits by which lines are told apart, so that joins and broadcasts carry no texts."""
+    return F.xxhash64(line, F.length(line))
 
 
 def wrapped(lines: DataFrame) -> DataFrame:
-    """Runs of two or more neighbouring lines (doc_id, th, pos, line) most of whose words are in one notice: doc_id, th, run (the pos of its lines), line (all of them)."""
+    """Runs of two or more neighbouring lines (doc_id, th, pos, lid, line) most of whose words are in one notice: doc_id, th, run (the pos of its lines), line (all of them)."""
     texts = [t for n in NOTICES.values() for t in n]
     own = F.array_distinct(words(F.col("line")))
     parts = F.array(*[words(F.lit(t)) for t in texts])
     near = F.filter(F.transform(parts, lambda t, i: F.when(F.size(F.array_intersect("own", t)) >= 0.6 * F.size("own"), i)), lambda i: i.isNotNull())
-    by_line = cut(lines.select("line").distinct().withColumn("own", own).select("line", F.explode(near).alias("notice")))
-    members = lines.join(small(by_line, by_line.count(), 100_000), "line")
+    by_line = cut(lines.groupBy("lid").agg(F.first("line").alias("line")).withColumn("own", own).select("lid", F.explode(near).alias("notice")))
+    members = lines.join(small(by_line, by_line.count()), "lid")
     at = Window.partitionBy("doc_id", "th", "notice").orderBy("pos")
     members = members.withColumn("run", F.col("pos") - F.row_number().over(at))
     runs = members.groupBy("doc_id", "th", "notice", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("all")).where(F.size("all") > 1)
@@ -288,16 +326,17 @@ def scan(docs: DataFrame) -> DataFrame:
     own = F.array_distinct(words(F.col("line")))
     lines = lines.withColumns({"cue": _has_cue(F.lower("line")), "key": _has_key(F.col("line")), "own": own})
     told = F.size(F.array_intersect("own", F.array(*[F.lit(x) for x in VOCABULARY]))) >= 0.6 * F.size("own")  # no run without it
-    lines = cut(lines.where(F.col("cue") | F.col("key") | told).drop("own").distinct())
+    lines = cut(lines.where(F.col("cue") | F.col("key") | told).drop("own").distinct().withColumn("lid", line_id(F.col("line"))))
     model = train(docs)
-    runs = cut(wrapped(lines).where(_has_key(F.col("line"))))
-    found = cut(classify(lines.where("cue or key").select("line").union(runs.select("line")).distinct(), model))
-    look = small(found, found.count(), 100_000)
-    joined_runs = cut(runs.join(look, "line").where("confirmed and alone"))
+    runs = cut(wrapped(lines).where(_has_key(F.col("line"))).withColumn("lid", line_id(F.col("line"))))
+    every = lines.where("cue or key").select("lid", "line").union(runs.select("lid", "line"))
+    found = cut(classify(every.groupBy("lid").agg(F.first("line").alias("line")), model))
+    look = small(found, found.count(), 500_000)
+    joined_runs = cut(runs.join(look, "lid").where("confirmed and alone"))
     inside = joined_runs.select("doc_id", "th", F.explode("run").alias("pos")).distinct()
     same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"i.{c}")) for c in ("doc_id", "th", "pos")])
-    loose = lines.where("cue or key").alias("l").join(inside.alias("i"), same, "left_anti").select("doc_id", "th", "line", "cue").distinct().join(look, "line").where("cue or confirmed")
-    columns = ["doc_id", "th", "line", "family", "probability", "similarity", "confirmed"]
+    loose = lines.where("cue or key").alias("l").join(inside.alias("i"), same, "left_anti").select("doc_id", "th", "lid", "cue").distinct().join(look, "lid").where("cue or confirmed")
+    columns = ["doc_id", "th", "lid", "family", "probability", "similarity", "confirmed"]
     joined = loose.select(columns).union(joined_runs.select(columns).distinct())
     rank = F.struct("confirmed", "probability", "similarity", F.when(F.col("confirmed"), F.col("family")).otherwise(UNKNOWN).alias("family"))
     per = joined.groupBy("doc_id", "th").agg(F.count("*").alias("n"), F.max(rank).alias("best"), F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("all"))
@@ -314,4 +353,11 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def op9_licence_scan(docs: DataFrame) -> DataFrame:
+    """scan(): one row for each row of documents.
+
+    Null and empty texts have no paragraphs (`none`); very long texts are read whole, line by line;
+    repeated rows and ids come out as often as they go in; paragraphs that tie go by probability,
+    similarity, then family's name; columns besides doc_id and text are not read. An empty table gives
+    an empty one.
+    """
     return scan(docs)
