@@ -34,6 +34,10 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.op4_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def _near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op5_ngram_jaccard(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": _op1, "op2_chat_format": _op2, "op3_language_id": _op3, "op4_fingerprints": _op4, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op9_licence_scan": _op9, "op10_toxicity": _op10}
+    return {"op1_mixing": _op1, "op2_chat_format": _op2, "op3_language_id": _op3, "op4_fingerprints": _op4, "near_fingerprints": _near, "op5_ngram_jaccard": _op5, "op6_substring_dedup": _op6, "op7_quality": _op7, "op8_decontamination": _op8, "op9_licence_scan": _op9, "op10_toxicity": _op10}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,6 +18,8 @@ def test_edit_distance():
             for j, y in enumerate(b, 1):
                 last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
         assert edit_distance(a, b) == row[-1]
+        assert [min(edit_distance(a, b, m), m + 1) for m in range(13)] == [min(row[-1], m + 1) for m in range(13)]
+        assert fingerprint.alike(a, b, 0.8) == (5 * row[-1] <= max(len(a), len(b)))
 
 
 @pytest.mark.parametrize("n", [40, 400, 4000])
@@ -75,3 +77,44 @@ def test_near_classes(spark):
     rows = [(5, base), (2, base), (9, base[:200] + "##" + base[202:]), (7, prose(2, 80)), (3, ""), (4, None), (8, prose(3, 5))]
     got = {r["doc_id"]: r["class_id"] for r in fingerprint.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {5: 2, 2: 2, 9: 2, 7: 7, 3: 3, 4: 3, 8: 8}
+
+
+def test_near_classes_recall(spark):
+    """Near copies with edits of words: of the pairs of edit similarity 0.8 or more, those that one class has."""
+    r = random.Random(8)
+    texts = []
+    for base in range(8):
+        words = prose(100 + base, 60).split()
+        for _ in range(16):
+            w = list(words)
+            for _ in range(r.randint(0, 7)):
+                w[r.randrange(len(w))] = f"new{r.randrange(10**4)}"
+            texts.append(" ".join(w))
+    got = {x["doc_id"]: x["class_id"] for x in fingerprint.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if fingerprint.alike(texts[i], texts[j], 0.8)]
+    assert len(near) > 150
+    assert sum(got[i] == got[j] for i, j in near) / len(near) >= 0.9
+    assert all(got[i] // 16 == i // 16 for i in got)  # nothing far is linked
+
+
+def test_near_classes_odd_rows(odd, empty):
+    rows = odd.select("doc_id", "text").collect()
+    got = fingerprint.near_classes(odd).collect()
+    assert sorted((r["doc_id"] for r in got), key=repr) == sorted((r["doc_id"] for r in rows), key=repr)
+    by = {r["doc_id"]: r["class_id"] for r in got}
+    assert by[1] == by[2] == 1 and by[4] == 4 and by[7] == 7 and by[8] == 8
+    assert fingerprint.near_classes(empty).count() == 0
+
+
+def test_many_rows_without_id(spark):
+    """A null id that fills most runs is split by the texts' hashes."""
+    rows = [(None, prose(i, 12)) for i in range(300)] + [(i, prose(1000 + i, 12)) for i in range(60)] + [(77, "same")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    runs = fingerprint._in_order(df.withColumn("th", fingerprint.text_hash())).collect()
+    own = [x for x in runs if not x["tail"]]
+    sizes = [sum(x["run"] == k for x in own) for k in {x["run"] for x in own}]
+    assert len(own) == len(rows) and max(sizes) <= 0.6 * len(rows) and len(runs) <= len(rows) + 12
+    texts = [x["text"] for x in sorted(own, key=lambda x: (x["doc_id"] is not None, x["doc_id"], x["th"]) if x["doc_id"] is not None else (False, 0, x["th"]))]
+    got = fingerprint.op4_fingerprints(df).collect()
+    pairs = sorted(hashlib.sha256((t[: len(t) - len(t) // 2] + a[: len(t) // 2]).encode()).hexdigest() for t, a in zip(texts, texts[1:] + texts[:1], strict=True))
+    assert sorted(x["edited_sha256"] for x in got) == pairs
