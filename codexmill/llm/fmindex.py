@@ -7,6 +7,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Patterns that are searched for together; bounds the memory of a search.
+LOCKSTEP = 1 << 16
+
 
 class Bits:
     """A bit vector of n bits with rank in constant time: n bits packed in words, one count a word."""
@@ -65,8 +68,11 @@ class FMIndex:
     def repeated(self, text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
         """Which of the patterns text[s : s + length] occur at least twice, by matching statistics cut at length.
 
-        A pattern's search ends at the first suffix of it that occurs once.
+        A pattern's search ends at the first suffix of it that occurs once. LOCKSTEP patterns are searched
+        for at a time.
         """
+        if len(starts) > LOCKSTEP:
+            return np.concatenate([self.repeated(text, starts[i : i + LOCKSTEP], length) for i in range(0, len(starts), LOCKSTEP)])
         alive = np.arange(len(starts))
         lo, hi = np.zeros(len(starts), np.int64), np.full(len(starts), self.n, np.int64)
         for k in range(length - 1, -1, -1):

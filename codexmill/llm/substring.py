@@ -6,8 +6,8 @@ anchor form a segment. So whatever repeats meets under one anchor:
 
 1. anchors that occur once are dropped, and with them all that is unique;
 2. equal segments are counted before anything is gathered: all windows of one that occurs twice repeat.
-   Those that occur very often are few; they are broadcast (if their number allows) and looked up
-   where the documents are;
+   Those that occur very often are few; a bounded number of the commonest is broadcast and looked up
+   where the documents are, the others are counted by a shuffle;
 3. the different segments of an anchor go to shards. A shard builds a compressed FM-index (wavelet
    matrix) over blocks of its segments and streams their windows through backward search: a window
    repeats if its matching statistic reaches the width in two places;
@@ -32,9 +32,9 @@ from codexmill.llm.textkit import _SEEDS, BLANK, Hasher, U, grams, mix
 
 GRAM = 8
 #: Words in a block that an FM-index is built over, at least; one anchor's segments stay together.
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 100_000
 #: A segment that occurs so often is found in the documents against a broadcast, not by a shuffle,
-#: as long as there are no more such anchors than this (a few MB; else fewer, commoner ones).
+#: as long as there are no more such anchors, and no more such segments, than this (a few MB each; else fewer, commoner ones).
 COMMON, BROADCAST_ANCHORS = 16, 200_000
 #: An anchor with more different segments than this is counted by window instead.
 SEGMENTS = 4_000
@@ -72,8 +72,14 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == values
 
 
+def _among_segments(anchor: np.ndarray, seg: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which segments are among known: a row of segments, sorted and all different, and a row of their anchors."""
+    at = np.minimum(np.searchsorted(known[0], seg), known.shape[1] - 1)
+    return (known[0][at] == seg) & (known[1][at] == anchor)
+
+
 def _segments(docs: DataFrame, width: int, anchors: np.ndarray | None = None, without: np.ndarray | None = None) -> DataFrame:
-    """doc_id, th, anchor, seg, place (first window << 8 | windows): of some anchors only, or without some segments (both sorted, from a broadcast)."""
+    """doc_id, th, anchor, seg, place (first window << 8 | windows): of some anchors only (sorted), or without some segments (as _among_segments has them), from a broadcast."""
     given = docs.sparkSession.sparkContext.broadcast((anchors, without))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +90,7 @@ def _segments(docs: DataFrame, width: int, anchors: np.ndarray | None = None, wi
                 row, first, count, anchor, seg = _runs(words, starts, width)
                 anchor, seg = anchor.view(np.int64), seg.view(np.int64)
                 if anchors is not None or without is not None:
-                    stay = _among(anchor, anchors) if anchors is not None else ~_among(seg, without)
+                    stay = _among(anchor, anchors) if anchors is not None else ~_among_segments(anchor, seg, without)
                     row, first, count, anchor, seg = row[stay], first[stay], count[stay], anchor[stay], seg[stay]
                 at = pa.array(row + lo)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("th").take(at), pa.array(anchor), pa.array(seg), pa.array(first << 8 | count)], ["doc_id", "th", "anchor", "seg", "place"])
@@ -101,8 +107,8 @@ def _common_hits(docs: DataFrame, width: int, common: np.ndarray) -> DataFrame:
         hasher = Hasher(BLANK, lower=False)
         for b in batches:
             for lo, hi, words, starts in hasher.rows(b.column("text")):
-                row, first, count, _, seg = _runs(words, starts, width)
-                hit = _among(seg.view(np.int64), given.value) if len(seg) else np.zeros(0, bool)
+                row, first, count, anchor, seg = _runs(words, starts, width)
+                hit = _among_segments(anchor.view(np.int64), seg.view(np.int64), given.value)
                 row, e = row[hit], first[hit] << 32 | ((np.int64(1) << count[hit]) - 1)
                 ends = np.searchsorted(row, np.arange(hi - lo + 1))
                 some = pa.array(np.flatnonzero(np.diff(ends)))
@@ -169,7 +175,7 @@ def _search(contents: DataFrame, width: int) -> DataFrame:
         parts = [r[-1] for r in rows]
         sizes = np.array([len(p) for p in parts])
         known, ids = np.unique(np.concatenate(parts), return_inverse=True)
-        text = np.zeros(sizes.sum() + len(parts), np.int64)  # symbol 0 parts and ends the segments
+        text = np.zeros(sizes.sum() + len(parts), np.int32)  # symbol 0 parts and ends the segments
         begin = np.cumsum([0, *(sizes[:-1] + 1)])
         text[np.repeat(begin - np.cumsum([0, *sizes[:-1]]), sizes) + np.arange(sizes.sum())] = ids + 1
         asked = np.flatnonzero([r[3] for r in rows])  # of segments that repeat whole all windows are known
@@ -214,7 +220,11 @@ def _common(docs: DataFrame, width: int, often: DataFrame) -> DataFrame | None:
     hot = often.where(F.col("k") >= least).select("anchor").toPandas()["anchor"].to_numpy()
     if not len(hot):
         return None
-    kinds = cut(_kinds(_segments(docs, width, anchors=np.sort(hot))).where(F.col("m") >= least))
+    kinds = cut(_kinds(_segments(docs, width, anchors=np.sort(hot))).where(F.col("m") >= least).dropDuplicates(["seg"]))
+    found = {r["e"]: r["n"] for r in kinds.groupBy(F.floor(F.log2("m")).alias("e")).agg(F.count("*").alias("n")).collect()}
+    while sum(n for e, n in found.items() if 2 << e > least) > BROADCAST_ANCHORS:  # an anchor may have any number of segments
+        least *= 2
+    kinds = kinds.where(F.col("m") >= least)
     return kinds if kinds.limit(1).count() else None
 
 
@@ -229,7 +239,10 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
         raise ValueError("width must be 9 to 39")
     often = cut(_segments(docs, width).groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1"))
     common = _common(docs, width, often)
-    known = None if common is None else np.sort(common.select("seg").toPandas()["seg"].to_numpy())
+    known = None
+    if common is not None:
+        pairs = common.select("seg", "anchor").toPandas().sort_values("seg")
+        known = np.stack([pairs["seg"].to_numpy(), pairs["anchor"].to_numpy()])
     segments = cut(_segments(docs, width, without=known).join(often.select("anchor"), "anchor"))  # both sides plain exchanges: Spark can split a hot anchor
     kinds = _kinds(segments)
     kinds = cut(kinds if common is None else kinds.union(common))
@@ -297,4 +310,10 @@ def remove_repeated(docs: DataFrame, width: int = 35) -> DataFrame:
 
 
 def op6_substring_dedup(docs: DataFrame) -> DataFrame:
+    """remove_repeated() by 35 words, what is kept as its digest: one row for each row of documents.
+
+    Null and empty texts, and texts under 35 words, have no windows and keep all their words (none: the
+    digest of the empty string); very long texts are read whole, in pieces; repeated rows repeat all their
+    windows; columns besides doc_id and text are not read. An empty table gives an empty one.
+    """
     return remove_repeated(docs.select("doc_id", "text")).select("rest.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
