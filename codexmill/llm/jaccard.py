@@ -8,16 +8,19 @@ hashes). What a set is linked to then follows from a very similar set wherever i
    usual prefix make that test sharp, and exact), and then enough of all of it;
 3. answers by relation: in the lists of a few tokens of each set, every set is compared with the
    list's leading set only; linked sets form components, and inside one no other pair needs work;
-4. skipping: a list whose sets are all in one component is skipped whole. In the others the sets
-   outside the list's largest component are compared with the rest, but for pairs that size blocks,
-   positions or the distances to a common leading set rule out;
+4. skipping: a list whose sets are all in one component is skipped whole. The others fall into blocks
+   by size, of which a set meets its own and the next ones only; there the sets outside the list's
+   largest component are compared with the rest, but for pairs that positions or the distances to a
+   common leading set rule out;
 5. components of all links.
 
-Nothing is capped; every comparison is of whole sets.
+Nothing is capped; every comparison is of whole sets, as hashes of 64 bits. Sets are one only if 128 bits
+and the sizes agree.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,19 +36,19 @@ from codexmill.llm.textkit import BLANK, Hasher, U, grams, mix
 LEADING = 8
 
 
-def shingles(docs: DataFrame, width: int, percent: int, slack: float, keep: str) -> DataFrame:
-    """One row per row of docs: doc_id, th, sid (64-bit id of the set), n (its size), tokens.
+def shingles(docs: DataFrame, width: int, percent: int, slack: float, keep: str, salt: int = 0) -> DataFrame:
+    """One row per row of docs: doc_id, th, sid (64-bit id of the set, by salt), again (64 bits more of it), n (its size), tokens.
 
-    tokens are the set's hashes in ascending order: none of them (keep "none"), the extended prefix
-    ("prefix") or all ("all"). Words are what blanks part, A-Z lower-cased; a text of fewer than
-    width words is one shingle, a text without words has the empty set (n 0).
+    tokens are the set's hashes in ascending order: the extended prefix (keep "prefix") or all ("all").
+    Words are what blanks part, A-Z lower-cased; a text of fewer than width words is one shingle, a text
+    without words has the empty set (n 0).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANK, lower=True)
         for b in batches:
             for lo, hi, words, starts in hasher.rows(b.column("text")):
-                whole, sizes, sids, parts = grams(words, width), [], [], []
+                whole, sizes, sids, more, parts = grams(words, width), [], [], [], []
                 for i, j in zip(starts[:-1], starts[1:], strict=True):
                     if j - i >= width:
                         tokens = np.unique(whole[i : j - width + 1])
@@ -55,20 +58,17 @@ def shingles(docs: DataFrame, width: int, percent: int, slack: float, keep: str)
                         tokens = words[:0]
                     n = len(tokens)
                     sizes.append(n)
-                    sids.append(int((mix(tokens + U(7)).sum(dtype=U) ^ U(n))) if n else 0)
-                    if keep != "none":
-                        parts.append(tokens if keep == "all" else tokens[: prefix_length(n, percent) + int(np.ceil(slack * n))])
-                out = [b.column("doc_id").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo), pa.array(mix(np.array(sids, U)).view(np.int64)), pa.array(np.array(sizes, np.int64))]
-                names = ["doc_id", "th", "sid", "n"]
-                if keep != "none":
-                    ends = np.cumsum([0, *map(len, parts)])
-                    flat = np.concatenate(parts) if parts else words[:0]
-                    out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((flat ^ U(1 << 63)).view(np.int64))))
-                    names.append("tokens")
-                yield pa.RecordBatch.from_arrays(out, names)
+                    sids.append(int((mix(tokens + U(7 + salt)).sum(dtype=U) ^ U(n))) if n else 0)
+                    more.append(int(mix(tokens ^ U(0x9E3779B97F4A7C15)).sum(dtype=U)) if n else 0)
+                    parts.append(tokens if keep == "all" else tokens[: prefix_length(n, percent) + int(np.ceil(slack * n))])
+                out = [b.column("doc_id").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo), pa.array(mix(np.array(sids, U)).view(np.int64)), pa.array(np.array(more, U).view(np.int64)), pa.array(np.array(sizes, np.int64))]
+                ends = np.cumsum([0, *map(len, parts)])
+                flat = np.concatenate(parts) if parts else words[:0]
+                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((flat ^ U(1 << 63)).view(np.int64))))
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "th", "sid", "again", "n", "tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_hash().alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, sid long, n long" + (", tokens array<long>" if keep != "none" else ""))
+    return docs.select("doc_id", text_hash().alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, sid long, again long, n long, tokens array<long>")
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -87,18 +87,23 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"))
 
 
-def candidates(docs: DataFrame, rows: DataFrame, width: int, percent: int, slack: float) -> DataFrame:
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """Materialised: sid, n, copies, least (doc_id), head (doc_id and th) of the sets that aren't empty, and whether one sid stands for several."""
+    both = F.struct("n", "again")
+    return cut(rows.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "th")).alias("head"), (F.min(both) != F.max(both)).alias("several")))
+
+
+def candidates(docs: DataFrame, rows: DataFrame, known: DataFrame, width: int, percent: int, slack: float, salt: int) -> DataFrame:
     """Step 2, materialised: sid, n, tokens (those that another of these sets has, rarest first) of the sets that may link."""
-    index = shingles(docs, width, percent, slack, "prefix").where("n > 0").select("sid", F.explode("tokens").alias("token"))
+    index = rows.where("n > 0").select("sid", F.explode("tokens").alias("token"))
     shared = cut(index.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("token"))
-    copies = rows.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "th")).alias("first"))
     enough = F.greatest(F.lit(1), F.floor(F.col("n") * slack) - 1)
     hits = index.join(shared, "token").groupBy("sid").agg(F.count("*").alias("hits"))
-    alive = cut(hits.join(copies, "sid").where(F.col("hits") >= enough * F.col("copies")).select(F.col("first.doc_id").alias("k_id"), F.col("first.th").alias("k_th")))
+    alive = cut(hits.join(known, "sid").where(F.col("hits") >= enough * F.col("copies")).select(F.col("head.doc_id").alias("k_id"), F.col("head.th").alias("k_th")))
 
     # Only the sets that stay are gathered, one row each, however many rows have them.
     theirs = docs.select("doc_id", "text", text_hash().alias("th")).join(small(alive, alive.count()), F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left_semi").select("doc_id", "text")
-    whole = cut(shingles(theirs, width, percent, slack, "all").groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
+    whole = cut(shingles(theirs, width, percent, slack, "all", salt).groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
     each = whole.select("sid", "n", F.explode("tokens").alias("token"))
     known = cut(each.groupBy("token").agg(F.count("*").alias("k")).where("k > 1"))
     kept = each.join(known, "token").groupBy("sid").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("k", "token"))).alias("t"))
@@ -126,11 +131,13 @@ def link_sets(sets: DataFrame, percent: int) -> DataFrame:
         .select("sid", "n", "root", (F.col("pos") + F.col("alone")).alias("pos"), F.col("alone"), "token")
     )
     mixed = cut(lists.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("token", "main"))
-    entries = cut(lists.join(mixed, "token"))
-    x = entries.where("root <> main").select("token", "main", *[F.col(c).alias(f"x_{c}") for c in ("sid", "n", "pos", "root")])
-    y = entries.select("token", *[F.col(c).alias(f"y_{c}") for c in ("sid", "n", "pos", "root")])
+    # Linked sets' sizes are so near that their blocks are the same or neighbours.
+    block = F.floor(F.ln("n") / F.lit(math.log(100 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
+    entries = cut(lists.join(mixed, "token").withColumn("block", block))
+    x = entries.where("root <> main").select("token", "main", F.explode(F.sequence(F.col("block") - 1, F.col("block") + 1)).alias("block"), *[F.col(c).alias(f"x_{c}") for c in ("sid", "n", "pos", "root")])
+    y = entries.select("token", "block", *[F.col(c).alias(f"y_{c}") for c in ("sid", "n", "pos", "root")])
     bound = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
-    pairs = x.join(y, "token").where(
+    pairs = x.join(y, ["token", "block"]).where(
         (F.col("x_root") != F.col("y_root"))
         & ((F.col("y_root") == F.col("main")) | (F.col("x_sid") < F.col("y_sid")))
         & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
@@ -155,10 +162,13 @@ def ngram_jaccard(docs: DataFrame, width: int = 5, percent: int = 80, slack: flo
     of them are null); rows with equal sets are linked, rows without words with nothing. first holds
     for one set of doc_id and th in each component (for a row without words: itself).
     """
-    rows = cut(shingles(docs, width, percent, slack, "none"))
-    comps = link_sets(candidates(docs, rows, width, percent, slack), percent)
-    sets = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "th")).alias("head"))
-    placed = cut(sets.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")))
+    for salt in range(8):
+        rows = cut(shingles(docs, width, percent, slack, "prefix", salt))
+        known = distinct_sets(rows)
+        if not known.where("several").limit(1).count():
+            break
+    comps = link_sets(candidates(docs, rows, known, width, percent, slack, salt), percent)
+    placed = cut(known.select("sid", "least", "head").join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")))
     tops = cut(placed.groupBy("root").agg(F.min("least").alias("component_id"), F.min("head").alias("head")))  # a plain exchange follows: a large component can be split
     named = placed.select("sid", "root").join(tops, "root").select("sid", "component_id", "head")
     full = rows.where("n > 0").join(named, "sid").select("doc_id", "th", F.col("n").alias("n_shingles"), "component_id", (F.struct("doc_id", "th").eqNullSafe(F.col("head"))).alias("first"))
@@ -166,4 +176,10 @@ def ngram_jaccard(docs: DataFrame, width: int = 5, percent: int = 80, slack: flo
 
 
 def op5_ngram_jaccard(docs: DataFrame) -> DataFrame:
+    """ngram_jaccard() by five words and four fifths: one row for each row of documents.
+
+    Null and empty texts have no shingles and are linked with nothing; very long texts are read whole,
+    in pieces; repeated rows are linked, as their sets are equal; of tied ids there is but one smallest;
+    columns besides doc_id and text are not read. An empty table gives an empty one.
+    """
     return ngram_jaccard(docs).select("doc_id", "n_shingles", "component_id")

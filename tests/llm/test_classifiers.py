@@ -55,6 +55,58 @@ def test_back_off_and_full_cache(docs):
     assert Scorer(Model([], {}, large.rows[:0, :0], {}, large.rows[:0, :0], (2, 1))).score("word")[0] == "und"
 
 
+def test_pieces_do_not_change_a_score(docs, monkeypatch):
+    model = langid.train(docs.where("doc_id < 200"))
+    texts = [" ".join(prose(i, 40) for i in range(3)) + " 12 éelle aiment", "x" * 500 + " the and of", "12 " * 300, "ab1cd_ef " * 50]
+    whole = [Scorer(model).score(t) for t in texts]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(langid, "PIECE", size)
+        for t, (lang, p) in zip(texts, whole, strict=True):
+            got = Scorer(model).score(t)
+            assert got[0] == lang and abs(got[1] - p) < 1e-5
+
+
+def brute_language(model, text):
+    """The same by its definition, word by word."""
+    import math
+
+    words = langid.WORD.findall((text or "").lower())
+    if not any(c.isalpha() for w in words for c in w):
+        return "und", 0.0
+    sums = [0.0] * len(model.langs)
+    for w in words:
+        if w in model.words:
+            logs = model.word_logs[model.words[w]]
+        else:
+            logs = [langid.PENALTY] * len(model.langs)
+            for n in model.lengths:
+                padded = f"\x02{w}\x03"
+                rows = [model.grams[g] for g in (padded[i : i + n] for i in range(len(padded) - n + 1)) if g in model.grams]
+                if rows:
+                    logs = [sum(float(model.gram_logs[r][j]) for r in rows) / len(rows) for j in range(len(model.langs))]
+                    break
+        sums = [a + float(b) for a, b in zip(sums, logs, strict=True)]
+    mean = [x / len(words) for x in sums]
+    p = [10 ** ((x - max(mean)) * min(len(words), 20)) for x in mean]
+    return model.langs[mean.index(max(mean))], max(p) / sum(p)
+
+
+def test_language_is_brute_force(docs, odd):
+    model = langid.train(docs.where("doc_id < 300"))
+    for df in (docs.where("doc_id % 9 = 0"), odd):
+        rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+        got = sorted((tuple(r) for r in langid.identify(df, model).collect()), key=repr)
+        want = sorted(((i, *brute_language(model, t)) for i, t in rows), key=repr)
+        assert [r[:2] for r in got] == [r[:2] for r in want] and all(abs(a[2] - b[2]) < 1e-4 for a, b in zip(got, want, strict=True))
+
+
+def test_model_size_is_bounded(docs, monkeypatch):
+    assert langid.share(4, 6) >= 30_000 and all(langid.share(n, 6) * 6 * n <= langid.ENTRIES and langid.share(n, 6) * 6 * n * n <= langid.CELLS for n in (1, 4, 50, 500))
+    monkeypatch.setattr(langid, "ENTRIES", 600)
+    model = langid.train(docs)
+    assert 0 < len(model.words) + len(model.grams) <= 600
+
+
 def test_too_many_languages_is_an_error(docs):
     with pytest.raises(ValueError):
         langid.train(docs, max_langs=2)
@@ -197,3 +249,37 @@ def test_licence_lines_without_an_english_cue(spark, docs):
     none = ["Er kam mit der Bahn unter der Brücke.", "The film was released in May.", "Publié à Paris.", "Apache helicopters were available."]
     assert not any(r["confirmed"] for r in scanned(spark, docs, none))
     assert {r["licence"] for r in scanned(spark, docs, none)} == {"none"}
+
+
+#: Wordings and names that the operator doesn't learn from.
+WORDINGS = [
+    "You may use this under the terms of the {} license.", "This project uses the {} license", "The software is {} licensed.", "Code is released as {}", "{} (see LICENSE)",
+    "Der Quelltext ist unter {} lizenziert.", "Alle Inhalte stehen unter {}.", "Le texte est distribué selon les termes de la licence {}.", "Este programa está bajo la licencia {}.",
+    "Copyright 2021 Jane Roe, licensed under {}", "Use of these pages is subject to {}.", "Source available under {} at our site", "Licensing: {} for all modules",
+    "This document (c) 2015 the authors, {} license", "Dual licensed; this part: {}", "Das Programm wird unter {} veröffentlicht.", "Sauf mention contraire, contenu sous {}.",
+    "Salvo indicación contraria, bajo {}.", "Unless noted otherwise, text is under {}.", "Released to everyone under the {} license, no warranty.",
+]
+KNOWN = {"MIT": "MIT", "Apache-2.0": "Apache-2.0", "BSD": "BSD-2-Clause", "GPL-3.0": "GPLv3", "GPL-2.0": "GPL-2.0", "CC-BY-SA": "CC-BY-SA-4.0", "CC0": "CC0", "MPL-2.0": "MPL-2.0", "ISC": "ISC", "LGPL": "LGPL-2.1"}
+
+
+def test_licence_wordings_that_were_not_learnt(spark, docs):
+    texts = [(w.format(n), f) for w in WORDINGS for f, n in KNOWN.items() if w not in licences.FORMS]
+    got = scanned(spark, docs, [t for t, _ in texts])
+    right = sum(r["licence"] == f for (_, f), r in zip(texts, got, strict=True))
+    assert right / len(texts) >= 0.9
+    wrong = [(t, r["licence"]) for (t, f), r in zip(texts, got, strict=True) if r["licence"] not in (f, "unknown", "none")]
+    assert len(wrong) / len(texts) <= 0.01
+
+
+def test_short_statements_of_licences(spark, docs):
+    known = {"Released under the Apache 2.0 terms.": "Apache-2.0", "Code: Apache-2.0": "Apache-2.0", "Distributed under BSD-3-Clause": "BSD", "Released under MIT": "MIT", "Dieses Werk steht unter der MIT-Lizenz.": "MIT", "SPDX: BSD-3-Clause": "BSD"}
+    assert dict(zip(known, [r["licence"] for r in scanned(spark, docs, list(known))], strict=True)) == known
+    none = ["ER KAM MIT DER BAHN UNTER DER BRÜCKE.", "Er kam mit der Bahn.", "Version 2.0 of the plan was released under pressure.", "An ISO standard and a public mission.", "Two clauses of the bill were available to all."]
+    assert not any(r["confirmed"] for r in scanned(spark, docs, none))
+
+
+def test_licence_odd_rows(spark, odd):
+    rows = odd.select("doc_id", "text").unionByName(spark.createDataFrame([(20, "Released under the MIT License."), (20, "Released under the MIT License."), (20, "plain")], "doc_id long, text string"))
+    got = [(r["doc_id"], r["licence"], r["n_paragraphs"]) for r in licences.op9_licence_scan(rows).collect()]
+    assert sorted((x for x in got if x[0] == 20), key=repr) == [(20, "MIT", 1), (20, "MIT", 1), (20, "none", 0)]
+    assert all(x[1:] == ("none", 0) for x in got if x[0] != 20) and len(got) == rows.count()

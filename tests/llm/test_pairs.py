@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +38,21 @@ def test_jaccard_is_brute_force(spark, seed, edits, length):
     assert sorted(got) == sorted(brute.jaccard(rows))
 
 
+def test_sets_that_share_an_id_are_told_apart(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, 11, 5, 50, 3), (2, 12, 5, 50, 3), (3, 13, 6, 50, 3), (4, 14, 6, 51, 3), (5, 15, 7, 50, 3), (6, 16, 7, 50, 4)], "doc_id long, th long, sid long, again long, n long")
+    assert {r["sid"]: r["several"] for r in jaccard.distinct_sets(rows).collect()} == {5: False, 6: True, 7: True}
+    tried, real = [], jaccard.shingles
+
+    def colliding(docs, width, percent, slack, keep, salt=0):
+        tried.append(salt)
+        out = real(docs, width, percent, slack, keep, salt)
+        return out.withColumn("sid", F.when(F.col("n") > 0, F.lit(1)).otherwise(F.col("sid"))) if salt == 0 else out
+
+    monkeypatch.setattr(jaccard, "shingles", colliding)
+    texts = [(1, prose(1, 30)), (2, prose(2, 30)), (3, prose(1, 30))]
+    assert sorted(r["component_id"] for r in jaccard.op5_ngram_jaccard(frame(spark, texts)).collect()) == [1, 1, 2] and tried[:2] == [0, 1]
+
+
 def test_jaccard_odd_rows(odd, empty):
     rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
     got = [tuple(r) for r in jaccard.op5_ngram_jaccard(odd).collect()]
@@ -67,6 +83,19 @@ def test_repeats_are_brute_force(spark, monkeypatch, hot):
         assert got[i]["kept_sha256"] == hashlib.sha256(" ".join(kept).encode()).hexdigest()
 
 
+def test_common_segments_are_bounded_and_told_by_both_hashes(spark, monkeypatch):
+    known = np.array([[3, 5, 9], [30, 50, 90]])
+    assert substring._among_segments(np.array([30, 31, 90, 50]), np.array([3, 3, 9, 9]), known).tolist() == [True, False, True, False]
+    monkeypatch.setattr(substring, "COMMON", 2)
+    passages = [prose(500 + i, 60) for i in range(6)]
+    texts = [f"{prose(i, 10)} {passages[i % 6]}" for i in range(48)]
+    want = brute.repeats(texts)
+    for bound in (200_000, 20, 0):
+        monkeypatch.setattr(substring, "BROADCAST_ANCHORS", bound)
+        got = {x["doc_id"]: x["n_removed"] for x in substring.op6_substring_dedup(frame(spark, list(enumerate(texts)))).collect()}
+        assert [got[i] for i in range(48)] == [gone for _, gone, _ in want]
+
+
 def test_repeats_odd_rows(odd, empty):
     rows = odd.select("doc_id", "text").collect()
     expected = [(r["doc_id"], n, gone, hashlib.sha256(" ".join(kept).encode()).hexdigest()) for r, (n, gone, kept) in zip(rows, brute.repeats([r["text"] for r in rows]), strict=True)]
