@@ -45,13 +45,31 @@ ISO_INDICATORS = {
     "it": ["edizione", "italiana", "tradotto", "pubblicato"],
 }
 SENTENCE_END = r"(?<!\w)\.(?!\w)"
-PERIODS = ["Before 1881", "1881-1942 (Lifetime)", "1943-1980 (Post-war)", "1981-2000 (Late 20th century)", "2001-present (21st century)"]
+PERIODS = ["Pre-lifetime (before 1881)", "During Lifetime (1881-1942)", "Post-WWII (1943-1980)", "Late 20th Century (1981-2000)", "Contemporary (after 2000)"]
+# Patterns of titles, lists of contents, publishers and places.
+TITLE = r"'''(.*?)'''"
+CONTENTS = r"Contents\s*\n(.*?)(?:\n\n|\z)"
+CONTENTS_BELOW = r"Contents.*?\n(.*?)(?:\n\n|\z)"
+PAIR = r"([^\[\n]+)\s*\[(.*?)(?:\.\s*Translated|\])"
+BRACKETED = r"^([^\[]+)\s*\[(.*?)\]"
+LEADING = r"^\s*\[(.*?)\]"
+BRACKET = r"\[(.*?)\]"
+SECTIONS = [r"[Cc]ontents\s*\n(.*?)(?:\n\n|\z)", r"(?:\n\n|\n)(\d+\.\s+.*?)(?:\n\n|\z)"]
+NUMBERED = r"(?:\n|^)(\d+\.\s+.*?)(?=\n\d+\.|\z)"
+LINED = r"(?:\n|^)([^.\n]+\s*\[.*?\].*?)(?=\n|$)"
+ITEM_ENDS = r"\n\d+\.|\n-|\n\*|\n"
+ITEM_PAGES = r"pp\.\s*(\(?\d+\)?-\d+|\d+)"
+ITEM_TRANSLATORS = [r"(?:[Tt]ranslated by|[Tt]r\.)\s+(.*?)[.,]", r"(?:[Tt]ranslation by|[Tt]rans\.)\s+(.*?)[.,]"]
+HOUSES = [r':\s+"([^"]+)"', r"(?:Izdatel'stvo|Publishing|Verlag|Éditions)\s+\"?([^\",.]+)\"?", r"(?:[A-Z][a-zA-Z\s]+:)?\s*([^,]+?)(?:,|\s+\d{4})"]
+TOWNS = r"(?:^|\s)(Moscow|Moskva|Berlin|London|New York|Paris|Wien|Vienna|Frankfurt|Leipzig)\b"
+BEFORE_COLON = r"([A-Z][a-zA-Z\s]+):"
+PAGE_COUNTS = [r"(\d+)\s*(?:p\.|pages)", r"(\d+)/\(\d+\)p\.", r"(?:total|in all|altogether)\s+(\d+)\s*(?:p\.|pages)"]
 
 
 def content_title(c: Column) -> Column:
     """Text between three quotes, else the first line that isn't blank, else empty."""
     lines = F.filter(F.transform(F.split(c, "\n"), strip), lambda x: x != "")
-    return F.coalesce(first(c, "'''(.*?)'''"), F.get(lines, F.lit(0)), F.lit(""))
+    return F.coalesce(first(c, TITLE), F.get(lines, F.lit(0)), F.lit(""))
 
 
 def title_match(page_title: Column, title: Column) -> Column:
@@ -82,7 +100,7 @@ def bibliographic_data(c: Column, page_title: Column) -> dict[str, Column]:
         return F.coalesce(*[strip(first(t, p, ignore_case=True)) for p in patterns], F.lit(""))
 
     return {
-        "title": first_of(first(t, "'''(.*?)'''"), F.when(~starts(named, "#REDIRECT"), named), F.when(plain, line), F.lit(None).cast("string")),
+        "title": first_of(first(t, TITLE), F.when(~starts(named, "#REDIRECT"), named), F.when(plain, line), F.lit(None).cast("string")),
         "year": F.array_join(F.slice(every(t, YEAR), 1, 3), ", "),
         "publisher": one(PUBLISHER_WIDE),
         "location": F.array_join(F.array_distinct(every(t, "|".join(rf"\b{x}\b" for x in MORE_CITIES), 0, ignore_case=True)), ", "),
@@ -125,31 +143,46 @@ def titles(c: Column, compat: bool = False, flat: Column | None = None, lines: C
     """
     flat = plain(c, given=flat)
     lines = flat if compat else plain(c, True, lines)
-    listed = first(lines, r"Contents\s*\n(.*?)(?:\n\n|\z)", ignore_case=True, dot_all=True)
-    pair = r"([^\[\n]+)\s*\[(.*?)(?:\.\s*Translated|\])"
-    items = F.slice(F.arrays_zip(F.transform(every(listed, pair, 1), strip).alias("t"), F.transform(every(listed, pair, 2), strip).alias("o")), 1, 2)
-    several = F.coalesce(F.size(every(listed, pair, 1)) >= 2, F.lit(False))
+    listed = first(lines, CONTENTS, ignore_case=True, dot_all=True)
+    items = F.slice(F.arrays_zip(F.transform(every(listed, PAIR, 1), strip).alias("t"), F.transform(every(listed, PAIR, 2), strip).alias("o")), 1, 2)
+    several = F.coalesce(F.size(every(listed, PAIR, 1)) >= 2, F.lit(False))
     joined = F.struct(F.array_join(F.transform(items, lambda x: x["t"]), " * ").alias("title"), F.array_join(F.transform(items, lambda x: x["o"]), " * ").alias("original"))
-    head = r"^([^\[]+)\s*\[(.*?)\]"
-    bracketed = F.struct(strip(F.regexp_extract(flat, rf"(?dU){head}", 1)).alias("title"), strip(F.regexp_extract(flat, rf"(?dU){head}", 2)).alias("original"))
-    only = F.struct(F.lit("").alias("title"), F.coalesce(first(flat, r"\[(.*?)\]"), F.lit("")).alias("original"))
-    sentence = F.struct(strip(F.get(F.split(flat, f"(?dU){SENTENCE_END}", 2), F.lit(0))).alias("title"), F.lit("").alias("original"))
-    return F.when(several, joined).when(matches(flat, head), bracketed).when(matches(flat, r"\[(.*?)\]"), only).otherwise(sentence)
+    bracketed = F.struct(strip(F.regexp_extract(flat, rf"(?dU){BRACKETED}", 1)).alias("title"), strip(F.regexp_extract(flat, rf"(?dU){BRACKETED}", 2)).alias("original"))
+    below = every(first(lines, CONTENTS_BELOW, ignore_case=True, dot_all=True), r"([^\[\n]+)\s*\[")
+    led = matches(flat, LEADING) & F.coalesce(F.size(below) >= 2, F.lit(False))
+    under = F.struct(F.array_join(F.transform(F.slice(below, 1, 2), strip), " * ").alias("title"), F.coalesce(first(flat, LEADING), F.lit("")).alias("original"))
+    only = F.struct(F.lit("").alias("title"), F.coalesce(first(flat, BRACKET), F.lit("")).alias("original"))
+    sentence = F.struct(first_sentence(flat).alias("title"), F.lit("").alias("original"))
+    return F.when(several, joined).when(matches(flat, BRACKETED), bracketed).when(led, under).when(matches(flat, BRACKET), only).otherwise(sentence)
 
 
-def extract_title(redirect: Column, pair: Column) -> Column:
-    """The redirect's target, the title, the original title; over 100 characters: ten words and an ellipsis."""
-    found = F.coalesce(F.nullif(pair["title"], F.lit("")), pair["original"])
-    words = F.split(strip(found), r"\s+")
-    return F.coalesce(F.when(redirect.isNotNull(), remove_wiki_markup(redirect)), F.when((F.length(found) > 100) & (pair["original"] == ""), F.concat(F.array_join(F.slice(words, 1, 10), " "), F.lit("..."))).otherwise(found))
+def first_sentence(flat: Column) -> Column:
+    """Up to the first full stop that isn't inside a word; all of it without one."""
+    return strip(F.get(F.split(flat, f"(?dU){SENTENCE_END}", 2), F.lit(0)))
 
 
-def original_title(c: Column, title: Column, flat: Column | None = None) -> Column:
-    """The bracket right after the title, else the first bracket; '' without."""
-    flat = plain(c, given=flat)
-    at = F.instr(flat, title)
-    after = F.when((title != "") & (at > 0), F.substring(flat, at + F.length(title), F.length(flat)))
-    return F.coalesce(first(strip(after), r"^\[(.*?)\]"), first(c, r"\[(.*?)\]"), F.lit(""))
+def short_title(c: Column) -> Column:
+    """Over 100 characters: the first ten words and an ellipsis."""
+    return F.when(F.length(c) > 100, F.concat(F.array_join(F.slice(F.split(strip(c), r"(?U)\s+"), 1, 10), " "), F.lit("..."))).otherwise(c)
+
+
+def extract_title(redirect: Column, pair: Column, flat: Column) -> Column:
+    """The title, the redirect's target, the original title, else the first sentence, shortened."""
+    return first_of(pair["title"], F.when(redirect.isNotNull(), remove_wiki_markup(redirect)), pair["original"], short_title(first_sentence(flat)), F.lit(""))
+
+
+def original_title(c: Column, title: Column | None = None, flat: Column | None = None) -> Column:
+    """The bracket right after the title, if one is given, else the first bracket, without brackets left at its ends; '' without."""
+    found = [without_brackets(first(c, BRACKET)), F.lit("")]
+    if title is not None:
+        flat = plain(c, given=flat)
+        at = F.instr(flat, title)
+        found.insert(0, first(strip(F.when((title != "") & (at > 0), F.substring(flat, at + F.length(title), F.length(flat)))), LEADING))
+    return F.coalesce(*found)
+
+
+def without_brackets(c: Column) -> Column:
+    return F.regexp_replace(c, r"^\[|\]\z", "")
 
 
 def catalog_numbers(text_id: Column) -> Column:
@@ -170,19 +203,17 @@ def content_items(c: Column, compat: bool = False, lines: Column | None = None)
     compat collapses line ends before the list is looked for, and deletes every number from titles with pages.
     """
     t = plain(c) if compat else plain(c, True, lines)
-    numbered = every(t, r"(?:\n|^)(\d+\.\s+.*?)(?=\n\d+\.|\z)", dot_all=True)
-    rows = every(t, r"(?:\n|^)([^.\n]+\s*\[.*?\].*?)(?=\n|$)")
+    numbered, rows = every(t, NUMBERED, dot_all=True), every(t, LINED)
     section = F.coalesce(
-        first(t, r"[Cc]ontents\s*\n(.*?)(?:\n\n|\z)", dot_all=True),
-        first(t, r"(?:\n\n|\n)(\d+\.\s+.*?)(?:\n\n|\z)", dot_all=True),
+        *[first(t, p, dot_all=True) for p in SECTIONS],
         F.when(F.size(numbered) > 0, F.array_join(numbered, "\n")),
         F.when(F.size(rows) > 1, F.array_join(rows, "\n")),
     )
-    items = F.filter(F.transform(F.split(section, r"\n\d+\.|\n-|\n\*|\n"), strip), lambda x: x != "")
+    items = F.filter(F.transform(F.split(section, ITEM_ENDS), strip), lambda x: x != "")
 
     def fields(x: Column) -> Column:
-        pages, original = first(x, r"pp\.\s*(\(?\d+\)?-\d+|\d+)"), first(x, r"\[(.*?)\]")
-        translator = F.coalesce(first(x, r"(?:[Tt]ranslated by|[Tt]r\.)\s+(.*?)[.,]"), first(x, r"(?:[Tt]ranslation by|[Tt]rans\.)\s+(.*?)[.,]"))
+        pages, original = first(x, ITEM_PAGES), first(x, BRACKET)
+        translator = F.coalesce(*[first(x, p) for p in ITEM_TRANSLATORS])
         title = F.when(original.isNotNull(), replace(x, r"\[.*?\]", "")).otherwise(x)
         title = F.when(translator.isNotNull(), replace(title, r"(?:[Tt]ranslated by|[Tt]r\.|[Tt]ranslation by|[Tt]rans\.)\s+.*?[.,]", "")).otherwise(title)
         title = F.when(pages.isNotNull(), replace(title, r"pp\.\s*\(?\d+\)?-\d+|\d+" if compat else r"pp\.\s*(?:\(?\d+\)?-\d+|\d+)", "")).otherwise(title)
@@ -195,8 +226,8 @@ def content_items(c: Column, compat: bool = False, lines: Column | None = None)
 def publisher_location(c: Column, flat: Column | None = None) -> Column:
     """A struct of publisher (quoted, else after a keyword, else before the first comma or year) and location (before a colon, else a city)."""
     t = plain(c, given=flat)
-    publisher = F.coalesce(first(t, r':\s+"([^"]+)"'), first(t, r"(?:Izdatel'stvo|Publishing|Verlag|Éditions)\s+\"?([^\",.]+)\"?"), first(t, r"(?:[A-Z][a-zA-Z\s]+:)?\s*([^,]+?)(?:,|\s+\d{4})"), F.lit(""))
-    location = F.coalesce(first(t, r"([A-Z][a-zA-Z\s]+):"), first(t, r"(?:^|\s)(Moscow|Moskva|Berlin|London|New York|Paris|Wien|Vienna|Frankfurt|Leipzig)\b", ignore_case=True), F.lit(""))
+    publisher = F.coalesce(*[first(t, p) for p in HOUSES], F.lit(""))
+    location = F.coalesce(first(t, BEFORE_COLON), first(t, TOWNS, ignore_case=True), F.lit(""))
     return F.struct(strip(publisher).alias("publisher"), strip(location).alias("location"))
 
 
@@ -209,7 +240,7 @@ def language_from_categories(names: Column) -> Column:
 
 def page_count(c: Column, flat: Column | None = None) -> Column:
     t = plain(c, given=flat)
-    return F.coalesce(first(t, r"(\d+)\s*(?:p\.|pages)"), first(t, r"(\d+)/\(\d+\)p\."), first(t, r"(?:total|in all|altogether)\s+(\d+)\s*(?:p\.|pages)", ignore_case=True), F.lit(""))
+    return F.coalesce(*[first(t, p, ignore_case=i == 2) for i, p in enumerate(PAGE_COUNTS)], F.lit(""))
 
 
 def primary_language(language: Column) -> Column:

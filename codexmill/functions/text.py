@@ -13,6 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Unicode's white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def let(x: Column, f: Callable[[Column], Column]) -> Column:
     """f(x) with x computed once, however often f uses it; plain nesting would copy x's expression."""
     return F.get(F.transform(F.array(x), lambda y: f(y)), F.lit(0))
@@ -51,8 +55,8 @@ def replace(c: Column, pattern: str, by: str, ignore_case: bool = False, dot_all
 
 
 def strip(c: Column) -> Column:
-    """Without white space at both ends; trim() knows only spaces."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    """Without white space at both ends; trim() by itself knows only spaces."""
+    return F.btrim(c, F.lit(WHITE))
 
 
 def first_of(*options: Column) -> Column:
@@ -60,10 +64,6 @@ def first_of(*options: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in options])
 
 
-def missing(c: Column) -> Column:
-    return c.isNull() | (c == "")
-
-
 def cases(*pairs: tuple[Column, str], otherwise: str | None) -> Column:
     """The label of the first condition that holds."""
     return F.coalesce(*[F.when(cond, F.lit(label)) for cond, label in pairs], F.lit(otherwise))
@@ -83,6 +83,11 @@ def find(c: Column, literal: str) -> Column:
     return F.instr(c, literal) - 1
 
 
+def locate(c: Column, literal: str) -> Column:
+    """LOCATE as MySQL has it: 1-based, 0 if the literal doesn't occur."""
+    return F.instr(c, literal)
+
+
 def mysql_substring(c: Column, start: Column, length: int) -> Column:
     """SUBSTRING as MySQL has it: from place 0 it is empty."""
     return F.when(start == 0, F.lit("")).otherwise(F.substring(c, start, F.lit(length)))
@@ -100,6 +105,21 @@ def shorten_label(c: Column) -> Column:
     return F.when(F.length(c) <= 40, c).when(F.size(parts) > 2, both).otherwise(F.concat(F.substring(c, 1, 37), F.lit("...")))
 
 
-def mediawiki_timestamp(c: Column) -> Column:
-    """`YYYYMMDDHHMMSS`, as bytes, to a timestamp."""
-    return F.try_to_timestamp(F.decode(c, "UTF-8"), F.lit("yyyyMMddHHmmss"))
+
+def decode_escapes(c: Column) -> Column:
+    """MySQL's backslash escapes undone: \\n, \\r, \\t, \\0, \\Z and \\b, and any other character for itself."""
+    t = F.replace(c, F.lit("\\\\"), F.lit("\x00"))  # a doubled one stands aside
+    for letter, value in (("n", "\n"), ("r", "\r"), ("t", "\t"), ("b", "\b"), ("Z", "\x1a"), ("0", "")):
+        t = F.replace(t, F.lit("\\" + letter), F.lit(value))
+    return F.replace(F.replace(t, F.lit("\\"), F.lit("")), F.lit("\x00"), F.lit("\\"))
+
+
+def stamped(name: str, at: Column) -> Column:
+    """A file's name with the time in it: name_YYYYMMDD_HHMM."""
+    return F.concat(F.lit(f"{name}_"), F.date_format(at, "yyyyMMdd_HHmm"))
+
+
+def top_of_map(c: Column, k: int) -> Column:
+    """The k entries of a map of counts with the greatest counts, ties by key: an array of (key, value)."""
+    order = lambda x, y: F.when(x["value"] != y["value"], F.when(x["value"] > y["value"], -1).otherwise(1)).otherwise(F.when(x["key"] < y["key"], -1).otherwise(1))
+    return F.slice(F.array_sort(F.map_entries(c), order), 1, k)

@@ -70,15 +70,23 @@ def shares(df: DataFrame, c: str, within: Sequence[str] = ()) -> DataFrame:
 def length_stats(df: DataFrame, c: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """Count, distinct values, and least, greatest, mean and median length; in one pass over the groups.
 
-    exact: the true median, which gathers a group's distinct lengths and their counts; else a sketch.
+    Values are told apart by 96 bits of hashes, so that no text is shuffled. exact: the true median,
+    which gathers a group's distinct lengths and their counts; else a sketch.
     """
     n = F.length(c)
     median = F.median(n) if exact else F.percentile_approx(n, 0.5, 10_000)
     return df.groupBy(*by).agg(
-        F.count("*").alias("n"), F.countDistinct(c).alias("n_distinct"), F.min(n).cast("long").alias("min_len"), F.max(n).cast("long").alias("max_len"), F.round(F.avg(n), 4).alias("avg_len"), median.cast("double").alias("median_len")
+        F.count("*").alias("n"), F.countDistinct(F.xxhash64(c), F.hash(c), F.nullif(F.isnotnull(c), F.lit(False))).alias("n_distinct"), F.min(n).cast("long").alias("min_len"), F.max(n).cast("long").alias("max_len"), F.round(F.avg(n), 4).alias("avg_len"), median.cast("double").alias("median_len")
     )
 
 
+def describe(df: DataFrame, x: Column, by: Sequence[str] = ()) -> DataFrame:
+    """count, mean, std, min, quartiles and max of a number, over all or per group; quartiles are interpolated."""
+    q = F.percentile(x, [0.25, 0.5, 0.75])
+    out = df.groupBy(*by).agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).cast("double").alias("least"), q.alias("q"), F.max(x).cast("double").alias("greatest"))
+    return out.select(*by, "count", *[F.round(c, 4).alias(c) for c in ("mean", "std")], "least", *[F.get("q", F.lit(i)).alias(f"q{25 * i + 25}") for i in range(3)], "greatest")
+
+
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """column, n_null, n_empty, pct_null: one pass for all columns."""
     columns = list(columns or df.columns)
@@ -111,7 +119,8 @@ def lifetime_split(df: DataFrame, year: str) -> DataFrame:
 
 
 def decade_histogram(df: DataFrame, year: str) -> DataFrame:
-    return df.where(F.col(year).isNotNull()).groupBy(decade(F.col(year)).alias("decade")).agg(F.count("*").alias("n"), F.countDistinct(year).alias("n_years")).select(F.concat(F.col("decade").cast("string"), F.lit("s")).alias("decade"), "n", "n_years")
+    """decade, n, n_years by decade."""
+    return df.where(F.col(year).isNotNull()).groupBy(decade(F.col(year)).alias("decade")).agg(F.count("*").alias("n"), F.countDistinct(year).alias("n_years")).orderBy("decade").select(F.concat(F.col("decade").cast("string"), F.lit("s")).alias("decade"), "n", "n_years")
 
 
 def period_histogram(df: DataFrame, year: str) -> DataFrame:
@@ -246,3 +255,14 @@ def validate(df: DataFrame, suspicious: str = "[ÃÂ]") -> DataFrame:
     texts = [c for c, t in df.dtypes if t == "string"]
     row = df.agg(*[F.count_if(F.col(c).rlike(suspicious)).alias(c) for c in texts])
     return missing_profile(df).join(long_form(row, "column", "n_suspicious"), "column", "left").select("column", "n_null", "n_empty", F.coalesce("n_suspicious", F.lit(0)).alias("n_suspicious"))
+
+
+def compare(frames: Mapping[str, DataFrame], kind: str) -> DataFrame:
+    """part, label, n of each frame in a column of its own, same: the number of rows and the rows of each kind, side by side."""
+    out = None
+    for name, df in frames.items():
+        rows = df.groupingSets([[], [F.col(kind)]], F.col(kind)).agg(F.count("*").alias(name), F.grouping_id(kind).alias("g"))
+        one = rows.select(F.when(F.col("g") == 1, "rows").otherwise("kind").alias("part"), F.coalesce(F.when(F.col("g") == 1, "all").otherwise(F.col(kind)), F.lit("")).alias("label"), name)
+        out = one if out is None else out.join(one, ["part", "label"], "full")
+    counts = [F.coalesce(F.col(n), F.lit(0)) for n in frames]
+    return out.select("part", "label", *[c.alias(n) for c, n in zip(counts, frames, strict=True)], (F.greatest(*counts) == F.least(*counts)).alias("same") if len(counts) > 1 else F.lit(True).alias("same"))

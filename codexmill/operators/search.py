@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import parse_qsl, unquote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexmill.functions.extract import PERIODS
@@ -41,20 +42,25 @@ def search(df: DataFrame, query: str = "", **filters: object) -> DataFrame:
     if query:
         hit = [F.coalesce(F.contains(F.lower(F.col(c)), F.lit(query.lower())), F.lit(False)) for c in SEARCHED if c in df.columns]
         found = found.where(reduce(lambda a, b: a | b, hit))
-    for facet, value in filters.items():
-        if value not in (None, ""):
-            c: Column = F.col(FACETS.get(facet, facet))
-            found = found.where(c.try_cast("double") == float(value)) if facet == "year" else found.where(c == value)
+    for condition in meets(filters):
+        found = found.where(condition)
     return found
 
 
+def meets(filters: Mapping[str, object]) -> list[Column]:
+    """A condition for each filter that has a value, by facet or column."""
+    given = {FACETS.get(facet, facet): value for facet, value in filters.items() if value not in (None, "")}
+    return [F.col(c).try_cast("double") == float(value) if c == "year" else F.col(c) == value for c, value in given.items()]
+
+
 def page(df: DataFrame, order: str, number: int, size: int, descending: bool = False) -> DataFrame:
     """One page of a sorted listing; ties by page_id."""
     return df.orderBy(F.desc(order) if descending else F.col(order), "page_id").offset(number * size).limit(size)
 
 
 def by_id(df: DataFrame, page_id: object) -> DataFrame:
-    return df.where(F.col("page_id").cast("string") == str(page_id)).limit(1)
+    """The row of an id, compared as the column's type, so that the source can look it up."""
+    return df.where(F.col("page_id") == F.lit(str(page_id)).try_cast(df.schema["page_id"].dataType)).limit(1)
 
 
 def detail(df: DataFrame) -> DataFrame:
@@ -63,15 +69,18 @@ def detail(df: DataFrame) -> DataFrame:
 
 
 def dashboard(df: DataFrame) -> DataFrame:
-    """part, label, n: totals, the year range, 12 categories, 10 languages, periods with rows."""
-    year = F.col("year").try_cast("double")
-    totals = df.agg(F.struct(F.lit("entries"), F.count("*").cast("double")).alias("a"), F.struct(F.lit("first_year"), F.min(year)).alias("b"), F.struct(F.lit("last_year"), F.max(year)).alias("c"))
-    out = totals.select(F.explode(F.array("a", "b", "c")).alias("x")).select(F.lit("total").alias("part"), F.col("x")["col1"].alias("label"), F.col("x")["col2"].alias("n"))
-    for part, c, k in (("category", "main_category", 12), ("language", "language", 10)):
-        top = df.where(F.col(c) != "").groupBy(c).agg(F.count("*").cast("double").alias("n")).orderBy(F.desc("n"), c).limit(k)
-        out = out.union(top.select(F.lit(part), c, "n"))
-    periods = df.where(F.col("time_period").isin(PERIODS)).groupBy("time_period").agg(F.count("*").cast("double").alias("n"))
-    return out.union(periods.select(F.lit("period"), "time_period", "n"))
+    """part, label, n: totals, the year range, 12 categories, 10 languages, periods with rows; df is computed once."""
+    names = ["main_category", "language", "time_period"]
+    rows = df.select(*names, F.col("year").try_cast("double").alias("y")).groupingSets([[], *[[F.col(c)] for c in names]], *[F.col(c) for c in names])
+    rows = rows.agg(F.count("*").cast("double").alias("n"), F.min("y").alias("a"), F.max("y").alias("b"), F.grouping_id(*names).alias("g"))
+    label = F.coalesce(*names)
+    rank = F.row_number().over(Window.partitionBy("g").orderBy(F.desc(F.coalesce(label, F.lit("")) != ""), F.desc("n"), label))
+    rows = rows.select("n", "a", "b", "g", label.alias("label"), rank.alias("rank")).where("g = 7 or label <> ''")  # a few rows from here on
+    entry = lambda part, label, n: F.struct(F.lit(part).alias("part"), label.alias("label"), n.alias("n"))
+    totals = F.array(*[entry("total", F.lit(k), F.col(c)) for k, c in (("entries", "n"), ("first_year", "a"), ("last_year", "b"))])
+    one = lambda part: F.array(entry(part, F.col("label"), F.col("n")))
+    found = F.when(F.col("g") == 7, totals).when((F.col("g") == 3) & (F.col("rank") <= 12), one("category")).when((F.col("g") == 5) & (F.col("rank") <= 10), one("language")).when((F.col("g") == 6) & F.col("label").isin(PERIODS), one("period"))
+    return rows.select(F.explode(found).alias("x")).select("x.part", "x.label", "x.n")
 
 
 @dataclass
