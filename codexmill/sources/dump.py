@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from codexmill.functions.encoding import decode_hex_title, decode_latin1
 from codexmill.functions.text import count_literal, first
+from codexmill.operators.relations import sample
 
 #: A record that wouldn't fit a window of so many characters from ten before its start is left out in compat mode.
 COMPAT_WINDOW = 2000
@@ -137,6 +138,17 @@ def extract_entries(pages: DataFrame, tuples: DataFrame) -> DataFrame:
     return found.select("page_id", "page_title", F.col("text_id").cast("string").alias("text_id"), "content", "flags", "blob_id")
 
 
+def extraction_counts(pages: DataFrame, entries: DataFrame) -> DataFrame:
+    """blob_id and n: entries found in each blob; the row without blob_id counts the pages whose text no blob has."""
+    return pages.select("page_id").join(entries.select("page_id", "blob_id"), "page_id", "left").groupBy("blob_id").agg(F.count("*").alias("n"))
+
+
+def probe(pages: DataFrame, tuples: DataFrame, n: int, seed: int) -> DataFrame:
+    """page_id, text_id, found of n pages by a seeded draw: whether any blob has their text."""
+    known = tuples.select("text_id").distinct().withColumn("found", F.lit(True))
+    return sample(pages.select("page_id", "text_id"), n, seed, "page_id").join(known, "text_id", "left").select("page_id", "text_id", F.coalesce("found", F.lit(False)).alias("found"))
+
+
 def not_found(pages: DataFrame, tuples: DataFrame) -> DataFrame:
     """Pages whose text no blob has."""
     return pages.join(tuples, "text_id", "left_anti")
@@ -145,5 +157,3 @@ def not_found(pages: DataFrame, tuples: DataFrame) -> DataFrame:
 def upsert(table: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """table with new's rows in place of those of the same key. A null key matches none."""
     return table.join(new.select(key), key, "left_anti").unionByName(new)
-
-

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql.types import BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 
@@ -25,3 +27,18 @@ FINAL = [
     *[f"content_item_{i}_{f}" for i in (1, 2, 3) for f in ("title", "original_title", "translator", "pages")],
     "categories", "main_category", "time_period",
 ]
+
+# Types of a dump's columns and what they are here.
+DDL_TYPES = {"tinyint": IntegerType, "smallint": IntegerType, "int": IntegerType, "bigint": LongType, "float": DoubleType, "double": DoubleType, "binary": StringType, "varbinary": StringType, "char": StringType, "varchar": StringType, "text": StringType, "mediumtext": StringType, "longtext": StringType, "blob": BinaryType, "mediumblob": BinaryType, "longblob": BinaryType}
+
+
+def from_ddl(sql: str) -> dict[str, StructType]:
+    """The tables of a dump's CREATE TABLE statements, by name; unsigned ints are long, types that aren't known strings."""
+    found = {}
+    for name, body in re.findall(r"CREATE TABLE(?: IF NOT EXISTS)? `(\w+)` \((.*?)\n\)", sql, re.DOTALL):
+        fields = []
+        for column, kind, rest in re.findall(r"^\s*`(\w+)` (\w+)([^\n]*)", body, re.MULTILINE):
+            known = DDL_TYPES.get(kind.lower(), StringType)
+            fields.append(StructField(column, LongType() if known is IntegerType and "unsigned" in rest else known(), "NOT NULL" not in rest))
+        found[name] = StructType(fields)
+    return found
