@@ -139,3 +139,69 @@ def test_files_compared(spark, tmp_path):
     for i, n in enumerate((2, 3)):
         spark.range(n).coalesce(1).write.csv(f"{tmp_path}/f{i}")
     assert sorted(r["n_rows"] for r in files.compare_files(spark.read.csv(f"{tmp_path}/f*")).collect()) == [2, 3]
+
+
+def test_http_and_charts(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Page(BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write('page_id,title\n1,"Zwölf, ""x"""\n2,\n'.encode("latin1" if "latin" in self.path else "utf-8"))
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Page)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    for path in ("utf", "latin"):
+        url = f"http://127.0.0.1:{server.server_port}/{path}"
+        assert [tuple(r) for r in files.read_http(spark, url, ["title"]).collect()] == [("1", 'Zwölf, "x"'), ("2", None)]
+    with pytest.raises(ValueError):
+        files.read_http(spark, url, most=5)
+    with pytest.raises(ValueError):
+        files.read_http(spark, url, ["year"])
+    server.shutdown()
+    assert files.bars([("a<b", 2), ("c", 1)]).count("<rect") == 2 and "a&lt;b" in files.bars([("a<b", 2)]) and files.bars([]).startswith("<svg")
+    stats = {"kinds": spark.createDataFrame([("a", 1)], "kind string, n int")}
+    assert "<svg" in files.html_report("T", stats) and "<svg" not in files.html_report("T", stats, charts=False)
+
+
+def test_database(spark):
+    """A table of a database in memory, whose driver comes with Spark."""
+    from codexmill.sources import database
+
+    url = "jdbc:derby:memory:codexmill;create=true"
+    spark.range(40).selectExpr("cast(id as int) as k", "concat('v', id) as v").write.format("jdbc").options(url=url, dbtable="t", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver").save()
+    got = database.read_table(spark, url, "t", key="k", lower=0, upper=40, parts=3, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert got.rdd.getNumPartitions() == 3 and sorted(r[0] for r in got.where("k < 5").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_small_results_are_bounded(spark):
+    with pytest.raises(ValueError):
+        files.to_json({"x": spark.range(11)}, most=10)
+
+
+def test_filters_before_extraction(spark):
+    from codexmill.plans.pipeline import analyse, clean_step, finish
+
+    rows = [(i, "T", str(i), f"Text {y}. [[Category:{c} (German)]]", "u", 1) for i, (y, c) in enumerate([(1902, "Fiction"), (1950, "Fiction"), (1902, "Essays")])]
+    entries = clean_step(analyse(spark.createDataFrame(rows, ENTRY)))
+    assert [r["page_id"] for r in finish(entries, filters={"year": "1902", "category": "Fiction (German)"}).collect()] == [0]
+    whole = {r["page_id"]: r for r in finish(entries).collect()}
+    assert [r for r in finish(entries, filters={"year": 1950}).collect()] == [whole[1]]
+
+
+def test_extract_by_links(spark, tmp_path):
+    from codexmill import cli
+
+    (tmp_path / "part_03").write_text(DUMP)
+    tables = {"page": "select 7 page_id, 0 page_namespace, '0x41' page_title, 70 page_latest union all select 8, 0, '0x42', 80", "revision": "select 70 rev_id union all select 80", "slots": "select 70 slot_revision_id, 700 slot_content_id union all select 80, 800", "content": "select 700 content_id, 'tt:31' content_address union all select 800, 'tt:999999'"}
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/links/{name}.parquet")
+    report = cli.main(["--extract", f"{tmp_path}/part_*", "--links", f"{tmp_path}/links", "--no-plots", "--output", f"{tmp_path}/out"], spark)
+    assert "blob_id: 3  n: 1" in report.read_text() and "<svg" not in (tmp_path / "out" / "report.html").read_text()
+    assert [r["page_id"] for r in files.read_csv(spark, f"{tmp_path}/out/entries").collect()] == ["7"]
+    assert [r["page_id"] for r in files.read_csv(spark, f"{tmp_path}/out/not_found").collect()] == ["8"]
