@@ -110,3 +110,28 @@ def test_pipeline_odd_rows(odd, empty, spark):
             out = stage(spark, df, D)
             assert out.columns[: len(df.columns)] == df.columns, name
             assert out.count() <= df.count()
+
+
+def test_what_stages_do_with_odd_rows(odd, spark):
+    from collections import Counter
+
+    stages = dict(corpus_pipeline.STAGES)
+    rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
+    kept = lambda name: Counter((r["doc_id"], r["text"]) for r in stages[name](spark, odd, D).select("doc_id", "text").collect())
+    groups, want = {}, Counter()
+    for row, (_, n, c) in zip(rows, brute.jaccard(rows), strict=True):
+        if n:
+            groups.setdefault(c, []).append(row)
+        else:
+            want[row] += 1
+    for group in groups.values():
+        want[min(group, key=lambda r: (r[0] is not None, r[0] or 0))] += 1
+    assert kept("ngram_jaccard") == want
+    got = stages["substring_dedup"](spark, odd, D).select("doc_id", "text", "n_chars", "k_id").collect()
+    words = lambda t: None if t is None else tuple(brute.blanks(t))
+    assert Counter((r["doc_id"], words(r["text"])) for r in got) == Counter((d, None if t is None else tuple(left)) for (d, t), (_, _, left) in zip(rows, brute.repeats([t for _, t in rows]), strict=True))
+    assert {r["k_id"] for r in got} == {"own"}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{D}/benchmark.parquet").collect()]
+    clean = [x for x, (_, hit, found) in zip(rows, brute.leaks([t for _, t in rows], items), strict=True) if not hit and len(found) < 2]
+    assert kept("decontamination") & Counter(clean) == Counter(clean)
+    assert kept("quality") <= Counter(rows) and kept("mixing") <= Counter(rows)
