@@ -26,6 +26,19 @@ TYPES = [
 ]
 CONFIDENCE = {"Redirect": 0.99, "Category": 0.95, "Bibliography Entry": 0.9, "Essay": 0.8, "Translation": 0.8, "Poetry": 0.75, "Correspondence": 0.75, "Unknown": 0.0}
 
+# Nine types by a pattern each, in order, with the confidence that a match gives.
+RULES = [
+    ("Redirect", r"^#REDIRECT \[\[(.*?)\]\]", 1.0),
+    ("Category", r"\[\[Category:(.*?)(?:\|.*?)?\]\]", 1.0),
+    ("Essay", r"\b(essay|essays|aufsatz|aufsätze)\b", 0.85),
+    ("Translation", r"\b(translation|translated by|übersetzt)\b", 0.9),
+    ("Biography", r"\b(biography|biographie|life of)\b", 0.8),
+    ("Collection", r"\b(collection|sammlung|collected works)\b", 0.75),
+    ("Review", r"\b(review|reviewed|critique|rezension)\b", 0.9),
+    ("Correspondence", r"\b(letter|brief|correspondence)\b", 0.85),
+    ("Film/Media", r"\b(film|movie|adaptation|recording)\b", 0.85),
+]
+
 
 def content_patterns(c: Column) -> dict[str, Column]:
     """Ten features; false for null."""
@@ -56,3 +69,9 @@ def identify_content_type(c: Column) -> Column:
 
 def type_confidence(kind: Column) -> Column:
     return F.coalesce(F.create_map(*[F.lit(x) for k in CONFIDENCE.items() for x in k])[kind], F.lit(0.0))
+
+
+def rule_type(c: Column) -> Column:
+    """A struct of kind and confidence: the first of nine rules that the text meets, in any case; Unknown and 0 without, and for null."""
+    one = lambda kind, sure: F.struct(F.lit(kind).alias("kind"), F.lit(float(sure)).alias("confidence"))
+    return F.coalesce(*[F.when(matches(c, p, True), one(kind, sure)) for kind, p, sure in RULES], one("Unknown", 0.0))

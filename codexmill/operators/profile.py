@@ -156,11 +156,12 @@ def top_in_groups(df: DataFrame, group: str, c: str, k: int = 5) -> DataFrame:
 def duplicated(df: DataFrame, c: str, key: str) -> DataFrame:
     """key of all rows whose c occurs more than once, nulls equal to each other.
 
-    Groups are counted by hash before rows meet them again, so no group is gathered.
+    Groups are counted by 96 bits of hashes before rows meet them again, so no group and no text is gathered.
     """
-    h = F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("\x00null")))
-    often = df.groupBy(h.alias("h")).agg(F.count("*").alias("times")).where("times > 1")
-    return df.select(key, h.alias("h")).join(often, "h").select(key, "times")
+    text = F.coalesce(F.col(c).cast("string"), F.lit("\x00null"))
+    hashed = {"h": F.xxhash64(text), "g": F.hash(text)}
+    often = df.groupBy(*[v.alias(k) for k, v in hashed.items()]).agg(F.count("*").alias("times")).where("times > 1")
+    return df.select(key, *[v.alias(k) for k, v in hashed.items()]).join(often, ["h", "g"]).select(key, "times")
 
 
 def list_counts(df: DataFrame, items: Column, name: str = "item") -> DataFrame:

@@ -13,6 +13,11 @@ def pick(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select([c for c in columns if c in df.columns])
 
 
+def retype(df: DataFrame, **types: str) -> DataFrame:
+    """df with some columns of other types; a value that can't be of its new type becomes null."""
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+
+
 def settle(df: DataFrame) -> DataFrame:
     """df behind a generator of one row each, over which the optimizer neither merges nor pushes expressions.
 

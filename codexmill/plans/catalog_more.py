@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from codexmill.functions import classify, encoding, extract, markup
 from codexmill.functions import text as tx
-from codexmill.operators import profile, relations
+from codexmill.operators import profile, relations, search
 from codexmill.plans import pipeline, report
-from codexmill.plans.catalog import _CATS, _CHAIN_SQL, _CLASS, _PERIOD, _TUPLES, _TYPE, _Y, _chain, _tuples, on_entries, on_table, query, table
+from codexmill.plans.catalog import _CATS, _CHAIN_SQL, _CLASS, _FACETS, _FINAL, _PERIOD, _PERIODS, _TUPLES, _TYPE, _Y, _chain, _final, _tuples, on_entries, on_table, query, table
 from codexmill.sources import dump, files, schemas
 from codexmill.streaming import live
 
@@ -54,6 +54,14 @@ on_table("kept_columns", "customer", lambda df: relations.keep_if_any(relations.
 on_table("export_rows", "customer", lambda df: files.for_export(df.select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("name"))), "select cast(c_custkey as varchar) as c_custkey, case when c_custkey % 2 = 0 then c_name else '' end as name from customer")
 on_table("escapes", "nation", lambda df: df.select("n_nationkey", tx.decode_escapes(F.concat(F.lit("a\\n"), F.col("n_name"), F.lit("\\'s \\\\n \\\" \\t"))).alias("text")), "select n_nationkey, 'a' || chr(10) || n_name || '''s \\n \" ' || chr(9) as text from nation")
 
+on_table("retyped", "customer", lambda df: relations.retype(df.select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey").cast("string")).otherwise("no number").alias("n"), F.col("c_name").alias("b")), n="bigint", b="binary").select("c_custkey", "n", F.length("b").alias("bytes")), "select c_custkey, case when c_custkey % 2 = 0 then c_custkey end as n, cast(strlen(c_name) as int) as bytes from customer")
+_RULED = [("Redirect", r"^#REDIRECT \[\[(.*?)\]\]", 1.0), ("Category", r"\[\[Category:(.*?)(?:\|.*?)?\]\]", 1.0), ("Essay", r"\b(essay|essays|aufsatz)\b", 0.85), ("Translation", r"\b(translation|translated by)\b", 0.9), ("Biography", r"\b(biography|biographie|life of)\b", 0.8), ("Collection", r"\b(collection|sammlung|collected works)\b", 0.75), ("Review", r"\b(review|reviewed|critique|rezension)\b", 0.9), ("Correspondence", r"\b(letter|brief|correspondence)\b", 0.85), ("Film/Media", r"\b(film|movie|adaptation|recording)\b", 0.85)]
+_EXTRA = "content || case page_id % 5 when 0 then ' a collection' when 1 then ' the life of' else '' end"
+on_entries("rule_types", lambda e: e.select("page_id", classify.rule_type(F.expr(_EXTRA)).alias("x")).select("page_id", "x.kind", "x.confidence"),
+    f", t as (select page_id, {_EXTRA} as content from e) select page_id, " + " ".join(["case", *[f"when regexp_matches(content, '(?i){p}') then '{k}'" for k, p, _ in _RULED], "else 'Unknown' end as kind, case", *[f"when regexp_matches(content, '(?i){p}') then {v}" for _, p, v in _RULED], "else 0 end::double as confidence from t"]))
+on_entries("route_answers", lambda e: search.answer(_final(e, *_FACETS), search.parse_route("#view=list&filter=category:Poetry,period:" + _PERIODS[4].replace(" ", "%20"))).select("page_id", "year"), f"{_FINAL} select page_id, year from g where main_category = 'Poetry' and time_period = '{_PERIODS[4]}'")
+on_entries("first_entries", lambda e: e.select("page_id", "blob_id").where("blob_id between 1 and 8").orderBy("page_id").limit(7), "select page_id, blob_id from e where blob_id between 1 and 8 order by page_id limit 7")
+
 # Encodings: what is broken, and what it should be.
 _PAIRS = [
     ("wÃ¤re KongreÃŸ Ã–st Ãœber", "wäre Kongreß Öst Über"), ("BernshteÄ­n ArskiÄ­", "Bernshteĭn Arskiĭ"), ("skiā­. shteā­", "skiĭ. shteĭ"), ("viá¸ á¸am praá¹‡am", "viḍ ḍam praṇam"), ("ká¹­a kÃ¡ á¹£ á¸¥ á¹ƒ", "kṭa ká ṣ ḥ ṃ"),
