@@ -131,11 +131,32 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     return distance
 
 
+def _grams(text: str, q: int, bins: int) -> np.ndarray:
+    """Counts of a text's runs of q characters, by hash in so many bins."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(U)
+    n = len(codes) - q + 1
+    if n <= 0:
+        return np.zeros(bins, np.int64)
+    total = codes[:n]
+    for j in range(1, q):
+        total = total * U(0x100000001B3) + codes[j : n + j]
+    return np.bincount((mix(total) >> U(40)).astype(np.int64) % bins, minlength=bins)
+
+
 def alike(a: str, b: str, least: float) -> bool:
-    """Whether the edit similarity, 1 - distance / length of the longer, is least or more."""
+    """Whether the edit similarity, 1 - distance / length of the longer, is least or more.
+
+    An edit changes q runs of q characters at most on either side, so texts whose counts of runs differ by
+    more are apart without more work.
+    """
     n = max(len(a), len(b))
     most = int((1 - least) * n + 1e-9)
-    return abs(len(a) - len(b)) <= most and edit_distance(a, b, most) <= most
+    if abs(len(a) - len(b)) > most:
+        return False
+    bins = 1 << max(8, min(18, n.bit_length() + 1))
+    if n > 40 and any(int(np.abs(_grams(a, q, bins) - _grams(b, q, bins)).sum()) > 2 * q * most for q in (3, 4)):
+        return False
+    return edit_distance(a, b, most) <= most
 
 
 def fingerprints(docs: DataFrame, sides: Sequence[tuple[int, bool]] = ((0, False),)) -> DataFrame:

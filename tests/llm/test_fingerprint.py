@@ -97,6 +97,18 @@ def test_near_classes_recall(spark):
     assert all(got[i] // 16 == i // 16 for i in got)  # nothing far is linked
 
 
+def test_alike_is_the_edit_similarity():
+    r = random.Random(5)
+    for k in range(60):
+        a = prose(k, r.randint(8, 60))
+        w = a.split()
+        for _ in range(r.randint(0, len(w) // 2)):
+            w[r.randrange(len(w))] = r.choice(("new", "x", "longer word"))
+        for b in (" ".join(w), prose(k + 500, len(w)), a[len(a) // 5 :], a + "!" * (len(a) // 4)):
+            for least in (0.5, 0.8, 0.9):
+                assert fingerprint.alike(a, b, least) == (edit_distance(a, b) <= int((1 - least) * max(len(a), len(b)) + 1e-9))
+
+
 def test_near_classes_odd_rows(odd, empty):
     rows = odd.select("doc_id", "text").collect()
     got = fingerprint.near_classes(odd).collect()
