@@ -100,7 +100,7 @@ on_entries("content_layouts", lambda e: e.select("page_id", F.posexplode(extract
 query("extraction_counts", f"{_CHAIN_SQL}, t as ({_TUPLES.format(orders='orders')}), b as (select page_id, min(blob_id) as blob_id from linked join t using (text_id) group by 1) select blob_id, count(*) as n from linked left join b using (page_id) group by 1")(lambda spark, d: (lambda p, t: dump.extraction_counts(p, dump.extract_entries(p, t)))(_chain(spark, d), _tuples(spark, d)))
 query("extraction_probe", f"{_CHAIN_SQL}, t as ({_TUPLES.format(orders='orders')}) select page_id, text_id, coalesce(text_id in (select text_id from t), false) as found from linked order by md5(concat(cast(page_id as varchar), ':5')), page_id limit 5")(lambda spark, d: dump.probe(_chain(spark, d), _tuples(spark, d), 5, 5))
 query("compat_window", "select o_orderkey as text_id, length(o_orderpriority) * 150 as n from orders where length(o_orderpriority) * 150 + length(cast(o_orderkey as varchar)) + 14 + 17 + 2 + 10 <= 2000")(
-    lambda spark, d: dump.insert_tuples(table(spark, d, "orders").select(F.lit(1).alias("blob_id"), F.concat(F.lit("INSERT INTO `t` VALUES ("), F.col("o_orderkey").cast("string"), F.lit(",_binary '"), F.expr("repeat('x', length(o_orderpriority) * 150)"), F.lit("',_binary 'utf-8');")).alias("text")), compat=True).select("text_id", F.length("content").alias("n"))
+    lambda spark, d: dump.insert_tuples(table(spark, d, "orders").select(F.lit(1).alias("blob_id"), F.concat(F.lit("INSERT INTO `t` VALUES ("), F.col("o_orderkey").cast("string"), F.lit(",_binary '"), F.expr("repeat('x', length(o_orderpriority) * 150)"), F.lit("',_binary 'utf-8');")).alias("text")), compat=True).select("text_id", F.length("content").cast("bigint").alias("n"))
 )
 _DDL = "CREATE TABLE `page` (\n  `page_id` int unsigned NOT NULL AUTO_INCREMENT,\n  `page_title` varbinary(255) NOT NULL,\n  `page_touched` binary(14),\n  `page_len` int NOT NULL,\n  PRIMARY KEY (`page_id`)\n) ENGINE=InnoDB;\nCREATE TABLE `text` (\n  `old_id` int(10) unsigned NOT NULL,\n  `old_text` longblob NOT NULL\n) ENGINE=InnoDB;\n"
 query("ddl_columns", "select * from (values ('page', 'page_id', 'bigint', false), ('page', 'page_title', 'string', false), ('page', 'page_touched', 'string', true), ('page', 'page_len', 'int', false), ('text', 'old_id', 'bigint', false), ('text', 'old_text', 'binary', false)) as t(name, col, kind, optional)")(lambda spark, d: spark.createDataFrame([(t, f.name, f.dataType.simpleString(), f.nullable) for t, s in schemas.from_ddl(_DDL).items() for f in s.fields], "name string, col string, kind string, optional boolean"))
@@ -137,12 +137,12 @@ def _newest(spark: SparkSession, d: str) -> DataFrame:
     return newest.union(files.discover(spark, f"{path}/half*", "part-*.txt").agg(F.lit("found"), F.count("*").cast("int"), F.lit("")))
 
 
-@query("binary_import", "select blob, sum(length(n_name) + 1) as size, count(*) as lines, true as ok from (select n_name, n_nationkey % 3 as blob from nation) group by 1")
+@query("binary_import", "select blob, cast(sum(length(n_name) + 1) as bigint) as size, count(*) as lines, true as ok from (select n_name, n_nationkey % 3 as blob from nation) group by 1")
 def _binary(spark: SparkSession, d: str) -> DataFrame:
     path, nation = files.scratch(spark, "blobs"), table(spark, d, "nation")
     for i in range(3):
         nation.where(f"n_nationkey % 3 = {i}").select("n_name").coalesce(1).write.text(f"{path}/z{i}")
-    blobs = dump.read_blobs(spark, f"{path}/z*/part-*").select(F.regexp_extract("path", "/z([0-9])/", 1).cast("bigint").alias("blob"), "content")
+    blobs = dump.read_blobs(spark, f"{path}/z*/part-*").select(F.regexp_extract("path", "/z([0-9])/", 1).cast("int").alias("blob"), "content")
     return blobs.select("blob", F.length("content").cast("bigint").alias("size"), tx.count_literal(dump.blob_text(F.col("content")), "\n").alias("lines")).join(files.loaded(blobs, 3).select("ok"), F.lit(True))
 
 
