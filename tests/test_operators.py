@@ -205,3 +205,10 @@ def test_extract_by_links(spark, tmp_path):
     assert "blob_id: 3  n: 1" in report.read_text() and "<svg" not in (tmp_path / "out" / "report.html").read_text()
     assert [r["page_id"] for r in files.read_csv(spark, f"{tmp_path}/out/entries").collect()] == ["7"]
     assert [r["page_id"] for r in files.read_csv(spark, f"{tmp_path}/out/not_found").collect()] == ["8"]
+
+
+def test_validate_reads_its_table_once(spark):
+    rows = spark.createDataFrame([(1, "Ã¤", None), (2, "", "x"), (None, "ÂÂ", "")], "i long, a string, b string")
+    out = profile.validate(rows)
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 0, 1, 2), ("b", 1, 1, 0), ("i", 1, 0, 0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
