@@ -1,6 +1,7 @@
 """Functions on small rows, held against Python's own re where it says the same."""
 
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +126,17 @@ def test_pipeline_on_empty_and_odd_entries(spark):
     assert len(got) == len(TEXTS) and out.columns[:4] == ["page_id", "text_id", "catalog_number_1", "catalog_number_2"]
     assert all(v is not None for r in got for v in r)
     assert finish(clean_step(analyse(spark.createDataFrame([], ENTRY)))).count() == 0
+
+
+def test_pipeline_computes_no_column_that_the_final_table_has_not(spark):
+    out = finish(clean_step(analyse(spark.createDataFrame([(1, "Angst", "1,2", "x", "utf-8", 1)], ENTRY))))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [c for c in ("content_title", "title_match", "content_type", "redirect_target", "blob_id") if f"{c}#" in plan and f"AS {c}#" in plan]
+
+
+def test_texts_below_u0300_pass_the_nfc_gate_by_one_comparison(spark):
+    assert encoding.UNSTABLE.startswith("[\\u0300-\\x{10FFFF}&&[")
+    points = [i for i in range(0x80, 0x11000) if not 0xD800 <= i < 0xE000]
+    gated = {ord(r["c"]) for r in spark.createDataFrame([(chr(i),) for i in points], "c string").where(F.col("c").rlike(encoding.UNSTABLE)).collect()}
+    assert {i for i in points if unicodedata.normalize("NFC", chr(i)) != chr(i)} <= gated and min(gated) == 0x300
+    assert {ord(x) for x in "̈ᅡᆨक़"} <= gated and not {ord(x) for x in "äéß€“д"} & gated
