@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from codexmill.llm import fingerprint
 from codexmill.llm.fingerprint import Walk, edit_distance, likeness
@@ -130,3 +131,20 @@ def test_many_rows_without_id(spark):
     got = fingerprint.op4_fingerprints(df).collect()
     pairs = sorted(hashlib.sha256((t[: len(t) - len(t) // 2] + a[: len(t) // 2]).encode()).hexdigest() for t, a in zip(texts, texts[1:] + texts[:1], strict=True))
     assert sorted(x["edited_sha256"] for x in got) == pairs
+
+
+def test_walks_together_are_walks_alone(monkeypatch):
+    sides = [(seed, backward) for seed in (0, 1) for backward in (False, True)]
+    texts = [prose(i, i) for i in range(40)] + ["", "a", "\U0001f600b" * 30, "é" * 500]
+    walks = fingerprint.Walks(sides)
+    for bound in (1 << 23, 3000):
+        monkeypatch.setattr(fingerprint, "TOGETHER", bound)
+        for text, own in zip(texts, walks.hashes(texts), strict=True):
+            assert [walk.finish(walk.letters[(h >> fingerprint.U(58)).astype(int)]) for (walk, _), h in zip(walks.sides, own, strict=True)] == [walk.fingerprint(text, backward) for walk, backward in walks.sides]
+
+
+def test_near_lists_hold_no_texts_by_length_alone(spark):
+    """Texts of about one length that have nothing in common share hardly a list, however many: their fingerprints' padding is no band."""
+    rows = [(i, "".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=300 + i % 40))) for i in range(400)]
+    kinds = fingerprint.bands(spark.createDataFrame(rows, "doc_id long, text string"), 4, [(0, False), (0, True)]).select(F.col("th").alias("kind"), "n_chars", "bands")
+    assert kinds.where("size(bands) > 20").count() == 400 and fingerprint._lists(kinds, 0.8).count() <= 20
