@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codexmill.functions.encoding import decode_hex_title, decode_latin1
-from codexmill.functions.text import count_literal, first
+from codexmill.functions.text import count_literal, first, let
 from codexmill.operators.relations import sample
 
 #: A record that wouldn't fit a window of so many characters from ten before its start is left out in compat mode.
 COMPAT_WINDOW = 2000
+#: Bytes of a text that go to the tokenizer at once; an Arrow batch holds 10,000 pieces at most.
+PIECE = 1024
 # A tuple `(id, _binary 'content', _binary 'flags')` as it stands in a dump.
 TUPLE = r"\((\d+),\s*_binary '((?:[^'\\]|\\.|'')*)',\s*_binary '((?:[^'\\]|\\.|'')*)'\)"
 
@@ -31,26 +35,46 @@ def insert_tuples(blobs: DataFrame, text: str = "text", compat: bool = False) ->
     """blob_id, text_id, content, flags: one row per tuple of all INSERT statements, several tuples a statement or one.
 
     A tokenizer goes through each text once, so that `(94,` inside another record's content is
-    content, records of any length count, and memory beyond the text itself is one record. Doubled
-    quotes become one; backslash escapes stay as they are. Null texts have no tuples.
+    content, records of any length count. Texts leave the JVM in pieces of PIECE bytes, so memory beside
+    it is a batch of pieces and one record, whatever a text's length. Doubled quotes become one;
+    backslash escapes stay as they are. Null texts have no tuples.
     """
 
-    def scan(text: str) -> Iterator[tuple[int, str, str]]:
-        quote, at = "_binary '", 0
-        while (start := text.find("INSERT INTO", at)) >= 0:
-            at = text.find("VALUES", start)
-            if at < 0:
-                return
-            at += 6
+    def scan(pieces: Iterator[str]) -> Iterator[tuple[int, str, str]]:
+        quote, rest, state, ended = "_binary '", "", 0, False  # 0: before an INSERT, 1: before its VALUES, 2: among its tuples
+        while not ended:
+            more, n = [rest], 0
+            while n <= max(len(rest), 1 << 16):  # twice as much each time that a record isn't whole yet
+                piece = next(pieces, None)
+                if piece is None:
+                    ended = True
+                    break
+                more.append(piece)
+                n += len(piece)
+            text, at = "".join(more), 0
             while True:
+                if state < 2:
+                    sought = ("INSERT INTO", "VALUES")[state]
+                    start = text.find(sought, at)
+                    if start < 0:
+                        at = max(at, len(text) - len(sought) + 1)  # it may have begun
+                        break
+                    at, state = (start, 1) if state == 0 else (start + len(sought), 2)
+                    continue
                 opened = at
                 while opened < len(text) and text[opened] in " \t\r\n,":
                     opened += 1
-                if opened >= len(text) or text[opened] != "(":
+                at = opened
+                if opened >= len(text):
                     break
+                if text[opened] != "(":
+                    state = 0
+                    continue
                 comma = text.find(",", opened)
+                if comma < 0 and not ended:
+                    break
                 number = text[opened + 1 : comma].strip() if comma > 0 else ""
-                values, i = [], comma
+                values, i, short = [], comma, False
                 if number.isdigit():
                     for _ in range(2):
                         i = text.find(quote, i)
@@ -68,33 +92,52 @@ def insert_tuples(blobs: DataFrame, text: str = "text", compat: bool = False) ->
                                 continue
                             else:
                                 i = stop
+                                short = stop + 1 == len(text)  # another quote may follow
                             break
                         values.append(text[begin:i])
                         i += 1
-                if len(values) < 2 or i > len(text):
-                    at = opened + 1
+                whole = len(values) == 2 and i <= len(text)
+                close = text.find(")", i) if whole else -1
+                if not ended and (short or close < 0) and number.isdigit():
                     break
-                at = text.find(")", i) + 1
-                if at <= 0:
+                if not whole:
+                    at, state = opened + 1, 0
+                    continue
+                if close < 0:
                     return
+                at = close + 1
                 if not compat or at - opened + 10 <= COMPAT_WINDOW:
                     yield int(number), values[0].replace("''", "'"), values[1].replace("''", "'")
+            rest = text[at:]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["blob_id", "text_id", "content", "flags"]
+    def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int | None, bytes]]:
+        n = 0
         for b in batches:
-            for blob, value in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                rows = []
-                for row in scan(value.as_py() or ""):
-                    rows.append((blob, *row))
-                    if len(rows) >= 1000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-                        rows = []
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+            for blob, at, piece in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                n += at == 0
+                yield n, blob, piece.as_py()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["blob_id", "text_id", "content", "flags"])
+
+        for (_, blob), group in groupby(pieces_of(batches), key=lambda x: x[:2]):
+            decoder = codecs.getincrementaldecoder("utf-8")("replace")
+            rows, held = [], 0
+            for row in scan(decoder.decode(piece) for _, _, piece in group):
+                rows.append((blob, *row))
+                held += len(row[1])
+                if len(rows) >= 1000 or held >= 1 << 20:
+                    yield batch()
+                    rows, held = [], 0
+            if rows:
+                yield batch()
 
     types = [pa.int32(), pa.int64(), pa.string(), pa.string()]
-    return blobs.select(F.col("blob_id").cast("int"), F.col(text).cast("string").alias("text")).mapInArrow(run, "blob_id int, text_id long, content string, flags string")
+    size = PIECE
+    # Of bytes, as the place of a byte is known and that of a character has to be counted out.
+    pieces = let(F.col(text).cast("string").cast("binary"), lambda b: F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(b), F.lit(1)), F.lit(size)), lambda i: F.substring(b, i, F.lit(size))))
+    return blobs.where(F.col(text).isNotNull()).select(F.col("blob_id").cast("int"), F.posexplode(pieces).alias("at", "piece")).mapInArrow(run, "blob_id int, text_id long, content string, flags string")
 
 
 def insert_tuples_by_line(lines: DataFrame, line: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -212,3 +212,15 @@ def test_validate_reads_its_table_once(spark):
     out = profile.validate(rows)
     assert sorted(tuple(r) for r in out.collect()) == [("a", 0, 1, 2), ("b", 1, 1, 0), ("i", 1, 0, 0)]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+@pytest.mark.parametrize("piece", [1, 7, 4096])
+def test_tuples_in_pieces(spark, monkeypatch, piece):
+    """Records and characters that lie across pieces, in texts one after another; no text goes to Python whole."""
+    texts = [DUMP + "é€" * 5, None, "", "INSERT INTO `t` VALUES (7,_binary 'cut", f"INSERT INTO `t` VALUES (x,1), (8,_binary '{'ü\'\'' * 1500}',_binary 'u'), (9,_binary '\\\\',_binary 'v');"]
+    monkeypatch.setattr(dump, "PIECE", piece)
+    blobs = spark.createDataFrame(list(enumerate(texts)), "blob_id int, text string").coalesce(1)
+    got = {(r["blob_id"], r["text_id"]): r["content"] for r in dump.insert_tuples(blobs).collect()}
+    assert set(got) == {(0, 31), (0, 94), (0, 11384)}
+    good = spark.createDataFrame([(4, texts[4].replace("(x,1), ", ""))], "blob_id int, text string")
+    assert {(r["text_id"], r["content"]) for r in dump.insert_tuples(good).collect()} == {(8, "ü'" * 1500), (9, "\\\\")}
