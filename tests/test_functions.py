@@ -1,5 +1,6 @@
 """Functions on small rows, held against Python's own re where it says the same."""
 
+import random
 import re
 import unicodedata
 
@@ -140,3 +141,14 @@ def test_texts_below_u0300_pass_the_nfc_gate_by_one_comparison(spark):
     gated = {ord(r["c"]) for r in spark.createDataFrame([(chr(i),) for i in points], "c string").where(F.col("c").rlike(encoding.UNSTABLE)).collect()}
     assert {i for i in points if unicodedata.normalize("NFC", chr(i)) != chr(i)} <= gated and min(gated) == 0x300
     assert {ord(x) for x in "̈ᅡᆨक़"} <= gated and not {ord(x) for x in "äéß€“д"} & gated
+
+
+@pytest.mark.parametrize("runs", [500, 1])
+def test_nfc_sends_runs_instead_of_texts(spark, monkeypatch, runs):
+    monkeypatch.setattr(encoding, "RUNS", runs)
+    marks = ["a", "A", " ", "o", "\u0308", "\u0323", "\u0344", "\u0958", "\u1100", "\u1161", "\u11a8", "\uac00", "\u212b", "\U0001d15e", "\u09c7", "\u09be"]
+    r = random.Random(4)
+    texts = ["".join(r.choices(marks, k=r.randint(0, 30))) for _ in range(400)] + ["plain", "", None, "a\u0308\u0323 a\u0308 \u0308"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, c string").select("i", encoding.nfc(F.col("c")).alias("n"))
+    assert {x["i"]: x["n"] for x in df.collect()} == {i: t if t is None else unicodedata.normalize("NFC", t) for i, t in enumerate(texts)}
+    assert "_composed(CASE WHEN" in df._jdf.queryExecution().optimizedPlan().toString()
